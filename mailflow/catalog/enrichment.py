@@ -347,9 +347,10 @@ def bm25_sql() -> str:
     )
     return f"""
 tokens AS (
-  SELECT email_id, regexp_extract_all(lower(concat(coalesce(subject, ''), ' ', email_body)), '[a-z]+') AS ws
+  SELECT email_id, length(lower(concat(coalesce(subject, ''), ' ', email_body))) AS dl,
+    regexp_extract_all(lower(concat(coalesce(subject, ''), ' ', email_body)), '[a-z]+') AS ws
   FROM mails WHERE email_body IS NOT NULL
-), tfs AS (SELECT email_id, len(ws) AS dl, {counts} FROM tokens),
+), tfs AS (SELECT email_id, dl, {counts} FROM tokens),
 figures AS (SELECT count(*) AS n, avg(dl) AS avgdl, {frequencies} FROM tfs),
 scored AS (SELECT email_id, round({parts}, 9) AS score FROM tfs, figures),
 hits AS (SELECT * FROM scored ORDER BY score DESC, email_id LIMIT 10)"""

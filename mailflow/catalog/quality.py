@@ -91,8 +91,7 @@ def dedupe_by_key(spark, sf):
 forms AS (
   SELECT email_id, trim(regexp_replace(concat_ws(chr(10),
     regexp_replace(lower(coalesce(subject, '')), '^( *(re|fw|fwd|aw) *:)+', ''),
-    regexp_replace(lower(coalesce(email_body, '')), '(^|\\n)[> ]+', chr(10), 'g')),
-    '[ \\t\\r\\n]+', ' ', 'g')) AS form FROM mails
+    lower(coalesce(email_body, ''))), '[> \\t\\r\\n]+', ' ', 'g')) AS form FROM mails
 )""", select="""
 SELECT email_id, min(email_id) OVER (PARTITION BY form) AS first_id,
   count(*) OVER (PARTITION BY form) AS copies

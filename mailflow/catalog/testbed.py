@@ -265,24 +265,22 @@ def summaries(spark: SparkSession, sf: str) -> DataFrame:
     )
     b = base(spark, sf).filter(F.col("processing_status") == values.COMPLETED)
     with_label = b.join(labels, "doc_id", "left")
-    rows = F.array(
-        *[
-            F.struct(F.lit(kind).alias("summary_type"), text.alias("summary_text"))
-            for kind, text in [
-                (values.BRIEF, F.substring("body", 1, 80)),
-                (values.DETAILED, F.substring("body", 1, 240)),
-                (values.ACTION_ITEMS, F.lit("none")),
-                (values.SENTIMENT, F.col("feeling")),
-            ]
-        ]
+    kinds = F.array(*[F.lit(kind) for kind in values.SUMMARY_TYPES])
+    kind, number = F.col("summary_type"), F.col("doc_id").cast("string")
+    tall = with_label.select(
+        "doc_id", "upload_timestamp", "body", "feeling", F.explode(kinds).alias("summary_type")
+    ).filter((kind != values.SENTIMENT) | F.col("feeling").isNotNull())
+    text = (
+        F.when(kind == values.BRIEF, F.substring("body", 1, 80))
+        .when(kind == values.DETAILED, F.substring("body", 1, 240))
+        .when(kind == values.ACTION_ITEMS, "none")
+        .otherwise(F.col("feeling"))
     )
-    number = F.col("doc_id").cast("string")
-    tall = with_label.select("doc_id", "upload_timestamp", F.inline(rows))
-    return tall.filter(F.col("summary_text").isNotNull()).select(
-        F.concat(F.lit("S"), number, F.lit("-"), F.col("summary_type")).alias("summary_id"),
+    return tall.select(
+        F.concat(F.lit("S"), number, F.lit("-"), kind).alias("summary_id"),
         F.concat(F.lit("M"), number).alias("email_id"),
         "summary_type",
-        "summary_text",
+        text.alias("summary_text"),
         ((F.col("doc_id") % 100) / 100).alias("confidence_score"),
         (F.col("upload_timestamp") + F.make_dt_interval(F.lit(0), F.lit(2))).alias("created_timestamp"),
     )

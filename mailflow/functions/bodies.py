@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from mailflow import values
+from mailflow.functions.arrays import let
 
 # Part trees up to this depth are searched by column expressions alone; deeper
 # ones go to ``_deep_body``.
@@ -18,10 +19,14 @@ TREE_DEPTH = 3
 def decode_base64url(data: Column) -> Column:
     """URL-safe base64 to text, padded and in lines or not; NULL where it does
     not decode."""
-    plain = F.rtrim(F.translate(data, "-_\r\n", "+/"), F.lit("="))
-    padded = F.concat(plain, F.repeat(F.lit("="), (4 - F.length(plain) % 4) % 4))
-    legal = F.when(plain.rlike("^[A-Za-z0-9+/]*$") & (F.length(plain) % 4 != 1), padded)
-    return F.try_validate_utf8(F.try_to_binary(legal, F.lit("base64")).cast("string"))
+
+    def decoded(plain: Column) -> Column:
+        padded = F.concat(plain, F.repeat(F.lit("="), (4 - F.length(plain) % 4) % 4))
+        legal = plain.rlike("^[A-Za-z0-9+/]*$") & (F.length(plain) % 4 != 1)
+        binary = F.try_to_binary(F.when(legal, padded), F.lit("base64"))
+        return F.try_validate_utf8(binary.cast("string"))
+
+    return let(F.rtrim(F.translate(data, "-_\r\n", "+/"), F.lit("=")), decoded)
 
 
 def _parts(node: Column) -> Column:
@@ -88,11 +93,15 @@ def extract_body(payload: Column) -> Column:
         _leaves(parts, TREE_DEPTH),
         lambda leaf: (leaf["mime"] == "text/plain") & leaf["data"].isNotNull(),
     )
-    data = F.when(parts.isNotNull(), F.get(plain, F.lit(0))["data"]).otherwise(
-        F.try_variant_get(payload, "$.body.data", "string")
+    own = F.try_variant_get(payload, "$.body.data", "string")
+    found = F.when(parts.isNotNull(), F.get(plain, F.lit(0))["data"]).otherwise(
+        F.nullif(own, F.lit(""))
     )
-    shallow = F.when(data.isNull() | (parts.isNull() & (data == "")), values.NO_CONTENT).otherwise(
-        F.coalesce(decode_base64url(data), F.lit(values.BAD_CONTENT))
+    shallow = let(
+        found,
+        lambda data: F.when(data.isNull(), values.NO_CONTENT).otherwise(
+            F.coalesce(decode_base64url(data), F.lit(values.BAD_CONTENT))
+        ),
     )
     deep = F.when(F.coalesce(_deeper(parts, TREE_DEPTH), F.lit(False)), F.to_json(payload))
     return F.coalesce(_deep_body(deep), shallow)

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from mailflow.functions.arrays import let, members, runs
+
 WORD = "[a-z]+"
 SENTENCE = "[^.!?\n]+[.!?]*"
 
@@ -72,6 +74,77 @@ def polarity(positive: Column, negative: Column) -> Column:
     return (signed / 10000).cast("decimal(9,4)").cast("string")
 
 
+def rank_sentences(split: Column, stop_words: list[str] = STOP_WORDS) -> Column:
+    """Sentence numbers as (-score, pos), best first.
+
+    A sentence's score is the mean frequency, within its mail, of its words, in
+    thousandths (after Luhn 1958); sentences without words are left out.  Sorting
+    the words puts equal ones side by side, so their frequency is the length of
+    their run, and no more than two sorts per mail are needed.
+    """
+    located = F.flatten(
+        F.transform(
+            split,
+            lambda sentence, pos: F.transform(
+                content_words(sentence, stop_words),
+                lambda w: F.struct(w.alias("word"), pos.alias("pos")),
+            ),
+        )
+    )
+
+    def weigh(words_: Column) -> Column:
+        """(pos, frequency of the word) for every word."""
+        return F.flatten(
+            F.transform(
+                runs(words_, "word"),
+                lambda run: F.transform(
+                    members(words_, run),
+                    lambda x: F.struct(x["pos"].alias("pos"), run["n"].alias("tf")),
+                ),
+            )
+        )
+
+    def score(weights: Column) -> Column:
+        def of_run(run: Column) -> Column:
+            total = F.aggregate(
+                members(weights, run), F.lit(0).cast("bigint"), lambda acc, x: acc + x["tf"]
+            )
+            thousandths = F.floor(total * 1000 / run["n"]).cast("bigint")
+            return F.struct(
+                (-thousandths).alias("minus_score"), F.get(weights, run["start"])["pos"].alias("pos")
+            )
+
+        return F.transform(runs(weights, "pos"), of_run)
+
+    weights = let(F.sort_array(located), weigh)
+    return F.sort_array(let(F.sort_array(weights), score))
+
+
+def summaries(
+    text: Column, sizes: dict[str, int], stop_words: list[str] = STOP_WORDS
+) -> Column:
+    """Struct of extractive summaries: the best sentences in text order.
+
+    A text without scored words is summarised by its first sentences.
+    """
+
+    def chosen(split: Column, ranked: Column, size: int) -> Column:
+        best = F.sort_array(F.transform(F.slice(ranked, 1, size), lambda r: r["pos"]))
+        picked = F.transform(best, lambda i: F.get(split, i))
+        first = F.slice(split, 1, size)
+        return F.array_join(F.when(F.size(ranked) > 0, picked).otherwise(first), " ")
+
+    return let(
+        sentences(text),
+        lambda split: let(
+            rank_sentences(split, stop_words),
+            lambda ranked: F.struct(
+                *[chosen(split, ranked, size).alias(name) for name, size in sizes.items()]
+            ),
+        ),
+    )
+
+
 def token_estimate(text: Column) -> Column:
     """Rough model tokens: one per hundred words, at least one."""
     count = F.size(F.regexp_extract_all(text, F.lit("[^ \n\t\r]+"), F.lit(0)))

@@ -49,4 +49,4 @@ def urgent_recent(
     view = recent.select(
         "email_id", "subject", "sender_email", "email_date", "extracted_timestamp"
     ).join(brief, "email_id", "left")
-    return view.orderBy(F.col("extracted_timestamp").desc()) if ordered else view
+    return view.orderBy(F.col("extracted_timestamp").desc(), "email_id") if ordered else view

@@ -28,12 +28,12 @@ def dedupe_exact(mails: DataFrame, keys: list[str] | None = None, order: list |
 
 
 def normal_form(subject: Column, body: Column) -> Column:
-    """Text without reply prefixes, quoting marks, letter case and spacing."""
+    """Text without reply prefixes, quote marks, letter case and spacing."""
     bare = F.regexp_replace(
         F.lower(F.coalesce(subject, F.lit(""))), "^( *(re|fw|fwd|aw) *:)+", ""
     )
-    text = F.concat_ws("\n", bare, F.regexp_replace(F.lower(F.coalesce(body, F.lit(""))), "(^|\n)[> ]+", "\n"))
-    return F.trim(F.regexp_replace(text, "[ \t\r\n]+", " "))
+    text = F.concat_ws("\n", bare, F.lower(F.coalesce(body, F.lit(""))))
+    return F.trim(F.regexp_replace(text, "[> \t\r\n]+", " "))
 
 
 def near_duplicates(mails: DataFrame) -> DataFrame:

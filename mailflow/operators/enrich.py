@@ -1,18 +1,18 @@
 """Enrichment: summaries, action items, sentiment, classes, entities.
 
-Everything that looks at one mail at a time is a projection.  Only the word
-weights behind the extractive summaries need grouping; those run on one hash
-exchange by mail.
+All of it looks at one mail at a time and is a projection over the mail table:
+nothing is shuffled, and no text leaves its task.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mailflow import schemas, values
 from mailflow.functions import ids, text, urgency
+from mailflow.functions.arrays import let
 
 BRIEF_SENTENCES = 3
 DETAILED_SENTENCES = 8
@@ -41,6 +41,14 @@ ENTITY_PATTERNS = {
     "email_addresses": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}",
 }
 
+# Texts without these characters cannot match the patterns above.
+ENTITY_CHARACTERS = {
+    "dates": "[0-9]",
+    "amounts": "[$€£]",
+    "phone_numbers": "[0-9]",
+    "email_addresses": "@",
+}
+
 # Names looked up in the text; replace them with the names that matter to you.
 GAZETTEER = {
     "people": ["John Smith", "Jane Doe", "Maria Garcia", "Wei Chen"],
@@ -49,89 +57,22 @@ GAZETTEER = {
 }
 
 
-# --- extractive summaries ---------------------------------------------------
-
-
-def _keyed(mails: DataFrame) -> DataFrame:
-    """Mails with a body, hash-partitioned by mail: the only exchange below."""
-    return (
-        mails.filter(F.col("email_body").isNotNull())
-        .select("email_id", "email_body")
-        .repartition("email_id")
-    )
-
-
-def sentence_scores(keyed: DataFrame, stop_words: list[str] = text.STOP_WORDS) -> DataFrame:
-    """Score per sentence: the mean frequency, within the mail, of its words,
-    in thousandths (after Luhn 1958).  Integers keep ties exact."""
-    split = keyed.select(
-        "email_id", F.posexplode(text.sentences(F.col("email_body"))).alias("pos", "sentence")
-    )
-    counted = (
-        split.select(
-            "email_id", "pos",
-            F.explode(text.content_words(F.col("sentence"), stop_words)).alias("word"),
-        )
-        .groupBy("email_id", "pos", "word")
-        .agg(F.count("*").alias("n"))
-    )
-    in_mail = Window.partitionBy("email_id", "word")
-    return (
-        counted.withColumn("tf", F.sum("n").over(in_mail))
-        .groupBy("email_id", "pos")
-        .agg(F.expr("sum(n * tf) * 1000 div sum(n)").alias("score"))
-    )
-
-
-def _best(scores: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """Positions of the best sentences per mail, one array per summary size."""
-    ranked = scores.withColumn(
-        "rank",
-        F.row_number().over(
-            Window.partitionBy("email_id").orderBy(F.col("score").desc(), "pos")
-        ),
-    ).filter(F.col("rank") <= max(sizes.values()))
-    return ranked.groupBy("email_id").agg(
-        *[
-            F.array_sort(F.collect_list(F.when(F.col("rank") <= size, F.col("pos")))).alias(name)
-            for name, size in sizes.items()
-        ]
-    )
-
-
-def summary_texts(mails: DataFrame, sizes: dict[str, int], stop_words=text.STOP_WORDS) -> DataFrame:
-    """One column per summary size holding the best sentences in text order.
-
-    A body without scored words is summarised by its first sentences.
-    """
-    keyed = _keyed(mails)
-    best = _best(sentence_scores(keyed, stop_words), {f"_{k}": n for k, n in sizes.items()})
-    split = keyed.join(best, "email_id", "left").withColumn(
-        "_s", text.sentences(F.col("email_body"))
-    )
-
-    def chosen(name: str, size: int) -> Column:
-        picked = F.transform(F.col(f"_{name}"), lambda i: F.get("_s", i))
-        return F.array_join(F.coalesce(picked, F.slice("_s", 1, size)), " ")
-
-    return split.select("email_id", *[chosen(k, n).alias(k) for k, n in sizes.items()])
-
-
 # --- per-mail expressions ---------------------------------------------------
 
 
 def action_items_text(body: Column, cues: list[str] = text.ACTION_CUES) -> Column:
     """Sentences with an action cue as bullets, or a fixed text."""
     bullets = F.transform(text.lines_with_cues(body, cues), lambda s: F.concat(F.lit("- "), s))
-    return F.when(F.size(bullets) > 0, F.array_join(bullets, "\n")).otherwise(
-        F.when(body.isNotNull(), values.NO_ACTION_ITEMS)
-    )
+    joined = F.array_join(bullets, "\n")
+    return F.coalesce(F.nullif(joined, F.lit("")), F.when(body.isNotNull(), values.NO_ACTION_ITEMS))
 
 
 def sentiment_text(body: Column, positive=text.POSITIVE_WORDS, negative=text.NEGATIVE_WORDS) -> Column:
     """Balance of positive and negative words between -1 and 1, as text."""
     known = F.filter(text.words(body), lambda w: w.isin([*positive, *negative]))
-    return text.polarity(text.count_in(known, positive), text.count_in(known, negative))
+    return let(
+        known, lambda w: text.polarity(text.count_in(w, positive), text.count_in(w, negative))
+    )
 
 
 def class_of(subject: Column, body: Column, rules=None) -> Column:
@@ -139,35 +80,35 @@ def class_of(subject: Column, body: Column, rules=None) -> Column:
     rules = rules or CLASS_RULES
     vocabulary = sorted({w for weights in rules.values() for w in weights})
     full = F.concat_ws(" ", F.coalesce(subject, F.lit(values.DEFAULT_SUBJECT)), body)
-    hits = F.filter(text.words(full), lambda w: w.isin(vocabulary))
+    found = F.filter(text.words(full), lambda w: w.isin(vocabulary))
 
-    def score(weights: dict[str, int]) -> Column:
+    def score(hits: Column, weights: dict[str, int]) -> Column:
         def add(total: Column, word: Column) -> Column:
-            points = F.lit(0)
+            points = F.lit(0).cast("bigint")
             for known, weight in weights.items():
                 points = F.when(word == known, weight).otherwise(points)
             return total + points
 
-        return F.aggregate(hits, F.lit(0), add)
+        return F.aggregate(hits, F.lit(0).cast("bigint"), add)
 
     ordered = [c for c in values.CLASSES if c in rules]
-    scored = F.array(
-        *[
-            F.struct(
-                score(rules[c]).alias("score"),
-                F.lit(-i).alias("order"),
-                F.lit(c).alias("label"),
-            )
+
+    def best(hits: Column) -> Column:
+        scored = [
+            F.struct(score(hits, rules[c]).alias("score"), F.lit(-i).alias("order"), F.lit(c).alias("label"))
             for i, c in enumerate(ordered)
         ]
-    )
-    return F.when(F.size(hits) > 0, F.array_max(scored)["label"]).otherwise("OTHER")
+        return F.when(F.size(hits) > 0, F.array_max(F.array(*scored))["label"]).otherwise("OTHER")
+
+    return let(found, best)
 
 
 def entities_of(body: Column, gazetteer=None, patterns=None) -> Column:
     """Struct of seven sorted arrays without repeats."""
     gazetteer = gazetteer or GAZETTEER
+    needed = ENTITY_CHARACTERS if patterns is None else {}
     patterns = patterns or ENTITY_PATTERNS
+    nothing = F.array().cast("array<string>")
 
     def found(kind: str) -> Column:
         if kind in patterns:
@@ -175,9 +116,13 @@ def entities_of(body: Column, gazetteer=None, patterns=None) -> Column:
         else:
             names = sorted(gazetteer.get(kind, []), key=len, reverse=True)
             if not names:
-                return F.array().cast("array<string>")
+                return nothing
             pattern = "(?<![A-Za-z])(?:" + "|".join(map(re.escape, names)) + ")(?![A-Za-z])"
-        return F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(pattern), F.lit(0))))
+        matches = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
+        result = F.sort_array(F.array_distinct(matches))
+        if kind in needed:
+            result = F.when(body.rlike(needed[kind]), result).when(body.isNotNull(), nothing)
+        return result
 
     return F.struct(*[found(kind).alias(kind) for kind in schemas.ENTITY_KINDS])
 
@@ -197,32 +142,30 @@ def sentiment(mails: DataFrame, positive=text.POSITIVE_WORDS, negative=text.NEGA
     )
 
 
+def summary_texts(mails: DataFrame, sizes: dict[str, int], stop_words=text.STOP_WORDS) -> DataFrame:
+    """One extractive summary column per size in sentences."""
+    made = mails.filter(F.col("email_body").isNotNull()).select(
+        "email_id", text.summaries(F.col("email_body"), sizes, stop_words).alias("_s")
+    )
+    return made.select("email_id", "_s.*")
+
+
 def summarize(mails: DataFrame, kind) -> DataFrame:
     """Summary text of a kind: a name for all mails, or a column with a name
     per mail.  Names are case-insensitive; an unknown name gives a message."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
-    sizes = {"brief": BRIEF_SENTENCES, "detailed": DETAILED_SENTENCES}
-    wanted = F.upper("kind")
     asked = mails.filter(F.col("email_body").isNotNull()).select(
         "email_id", "email_body", kind.alias("kind")
     )
-    extractive = asked.filter(wanted.isin(values.BRIEF, values.DETAILED))
-    others = asked.filter(~wanted.isin(values.BRIEF, values.DETAILED) | F.col("kind").isNull())
-    by_row = others.select(
-        "email_id",
-        "kind",
-        F.when(wanted == values.ACTION_ITEMS, action_items_text(F.col("email_body")))
-        .when(wanted == values.SENTIMENT, sentiment_text(F.col("email_body")))
+    wanted, body = F.upper("kind"), F.col("email_body")
+    summary = (
+        F.when(wanted == values.BRIEF, text.summaries(body, {"s": BRIEF_SENTENCES})["s"])
+        .when(wanted == values.DETAILED, text.summaries(body, {"s": DETAILED_SENTENCES})["s"])
+        .when(wanted == values.ACTION_ITEMS, action_items_text(body))
+        .when(wanted == values.SENTIMENT, sentiment_text(body))
         .otherwise(UNKNOWN_KIND)
-        .alias("summary_text"),
     )
-    texts = summary_texts(extractive, sizes).join(extractive.select("email_id", "kind"), "email_id")
-    scored = texts.select(
-        "email_id",
-        "kind",
-        F.when(wanted == values.BRIEF, F.col("brief")).otherwise(F.col("detailed")).alias("summary_text"),
-    )
-    return scored.unionByName(by_row)
+    return asked.select("email_id", "kind", summary.alias("summary_text"))
 
 
 def classify_rules(mails: DataFrame, rules=None, first_chars: int | None = None) -> DataFrame:
@@ -239,29 +182,20 @@ def extract_entities(mails: DataFrame, gazetteer=None, patterns=None) -> DataFra
     )
 
 
-def _with_summary_columns(mails: DataFrame, sizes: dict[str, int]) -> DataFrame:
+def analyze(mails: DataFrame) -> DataFrame:
+    """Full analysis: per mail its four summary texts, class and entities."""
     body = F.col("email_body")
-    own = mails.filter(body.isNotNull()).select(
+    sizes = {"brief": BRIEF_SENTENCES, "detailed": DETAILED_SENTENCES}
+    analysed = mails.filter(body.isNotNull()).select(
         "email_id",
-        action_items_text(body).alias("_action_items"),
-        sentiment_text(body).alias("_sentiment"),
+        text.summaries(body, sizes).alias("_s"),
+        action_items_text(body).alias("action_items"),
+        sentiment_text(body).alias("sentiment"),
         class_of(F.col("subject"), body).alias("email_classification"),
         entities_of(body).alias("extracted_entities"),
     )
-    return own.join(summary_texts(mails, sizes), "email_id")
-
-
-def analyze(mails: DataFrame) -> DataFrame:
-    """Full analysis: per mail its four summary texts, class and entities."""
-    sizes = {"_brief": BRIEF_SENTENCES, "_detailed": DETAILED_SENTENCES}
-    return _with_summary_columns(mails, sizes).select(
-        "email_id",
-        F.col("_brief").alias("brief"),
-        F.col("_detailed").alias("detailed"),
-        F.col("_action_items").alias("action_items"),
-        F.col("_sentiment").alias("sentiment"),
-        "email_classification",
-        "extracted_entities",
+    return analysed.select(
+        "email_id", "_s.*", "action_items", "sentiment", "email_classification", "extracted_entities"
     )
 
 
@@ -297,16 +231,12 @@ REALTIME_COLUMNS = {values.BRIEF: "brief", values.SENTIMENT: "sentiment"}
 def analyze_realtime(mails: DataFrame) -> DataFrame:
     """BRIEF, SENTIMENT and class (from the first 500 characters) per mail."""
     body = F.col("email_body")
-    own = mails.filter(body.isNotNull()).select(
+    opening = F.substring(body, 1, values.CLASSIFY_CAP)
+    return mails.filter(body.isNotNull()).select(
         "email_id",
+        text.summaries(body, {"s": BRIEF_SENTENCES})["s"].alias("brief"),
         sentiment_text(body).alias("sentiment"),
-        class_of(F.col("subject"), F.substring(body, 1, values.CLASSIFY_CAP)).alias(
-            "email_classification"
-        ),
-    )
-    briefs = summary_texts(mails, {"brief": BRIEF_SENTENCES})
-    return briefs.join(own, "email_id").select(
-        "email_id", "brief", "sentiment", "email_classification"
+        class_of(F.col("subject"), opening).alias("email_classification"),
     )
 
 

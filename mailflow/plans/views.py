@@ -6,7 +6,7 @@ per view; the one-row results are put side by side as scalars.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mailflow import values
 from mailflow.clock import ago, as_of_column
@@ -36,7 +36,9 @@ def processing_overview(
             "email_date", "brief_summary", "confidence_score",
         )
     )
-    return view.orderBy(F.col("upload_timestamp").desc()) if ordered else view
+    # The name breaks ties, so that very many equal times still split into ranges.
+    newest = [F.col("upload_timestamp").desc(), "file_name"]
+    return view.orderBy(*newest) if ordered else view
 
 
 def summary_pivot(summaries: DataFrame) -> DataFrame:
@@ -96,9 +98,10 @@ def format_counts(raw: DataFrame) -> DataFrame:
 
 
 def format_distribution(raw: DataFrame, ordered: bool = True) -> DataFrame:
-    """Files per format and their share; the window runs over the few formats."""
-    total = F.sum("file_count").over(Window.partitionBy())
-    view = format_counts(raw).withColumn(
+    """Files per format and their share of all files."""
+    counts = format_counts(raw)
+    total = counts.agg(F.sum("file_count")).scalar()
+    view = counts.withColumn(
         "percentage", F.round(F.col("file_count") * F.lit(100.0) / total, 2)
     )
     return view.orderBy(F.col("file_count").desc(), "email_format") if ordered else view

@@ -71,7 +71,7 @@ def explode_mail_batch(raw: DataFrame) -> DataFrame:
     """One row per mail: a file holding a JSON array gives a row per element.
 
     ``batch_pos`` is the element's place; rows from an array get their own file
-    id so that the mails stay distinguishable.
+    id so that the mails stay distinguishable, and no copy of the file's text.
     """
     is_array = F.schema_of_variant("file_content").startswith("ARRAY<")
     mails = F.when(
@@ -81,18 +81,17 @@ def explode_mail_batch(raw: DataFrame) -> DataFrame:
     exploded = raw.select(
         "file_id",
         *rest,
-        "file_text",
+        F.when(~F.coalesce(is_array, F.lit(False)), F.col("file_text")).alias("file_text"),
         is_array.alias("_batch"),
         F.posexplode(mails).alias("batch_pos", "file_content"),
     )
     own_id = F.when(F.col("_batch"), F.concat_ws("#", "file_id", "batch_pos"))
-    own_text = F.when(F.col("_batch"), F.to_json("file_content"))
     return exploded.select(
         F.coalesce(own_id, "file_id").alias("file_id"),
         *rest,
         "batch_pos",
         "file_content",
-        F.coalesce(own_text, "file_text").alias("file_text"),
+        "file_text",
     )
 
 
