@@ -16,7 +16,8 @@ from mailflow.sources import files, landing, pull
 
 def write_files(rows, folder: str, key: str) -> str:
     """One text file per row, below a folder named after the row's key."""
-    rows.repartition(key).write.partitionBy(key).text(folder)
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    rows.repartition(tasks, key).write.partitionBy(key).text(folder)
     return folder
 
 

@@ -3,17 +3,21 @@
 ``base`` joins documents with the event of the same number: the document is the
 mail's text, the event gives its time, sender and state.  From it come raw files
 (payloads in every format), mails and summaries; orders and their line items are
-the job log.
+the job log.  Tables are built once per session and folder: what is kept is the
+plan, never data.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailflow import values
 from mailflow.session import spread
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -26,6 +30,7 @@ def pick(number: Column, options: list) -> Column:
     return case
 
 
+@lru_cache(maxsize=64)
 def base(spark: SparkSession, sf: str) -> DataFrame:
     documents = spread(
         table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id"
@@ -191,6 +196,7 @@ def raw_from(b: DataFrame, text: Column) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     """Raw file table; the payload is composed here and parsed again."""
     b = base(spark, sf)
@@ -217,6 +223,7 @@ raw AS (
 # --- mails, summaries, jobs -------------------------------------------------
 
 
+@lru_cache(maxsize=64)
 def mails(spark: SparkSession, sf: str) -> DataFrame:
     """Processed mails: every file that did not fail; some have no body."""
     b, n = base(spark, sf), F.col("doc_id")
@@ -258,6 +265,7 @@ mails AS (
 ), now AS (SELECT max(extracted_timestamp) AS t FROM mails)"""
 
 
+@lru_cache(maxsize=64)
 def summaries(spark: SparkSession, sf: str) -> DataFrame:
     """Four summary rows per COMPLETED mail; SENTIMENT only where labelled."""
     labels = table(spark, sf, "labels").select(
@@ -311,6 +319,7 @@ JOB_TYPES = [
 ]
 
 
+@lru_cache(maxsize=64)
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
     """Job log: an order is a run, its line items are the files processed."""
     lines = (

@@ -11,26 +11,3 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Use a computed value several times: as a lambda's argument it is computed
     once per row, also where it is used for every element of another array."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def runs(items: Column, field: str) -> Column:
-    """Runs of equal ``field`` in a sorted array, as (start, n) from 0."""
-
-    def is_start(i: Column) -> Column:
-        return (i == 0) | (F.get(items, i)[field] != F.get(items, i - 1)[field])
-
-    starts = F.filter(F.transform(items, lambda x, i: i), is_start)
-    return let(
-        starts,
-        lambda at: F.transform(
-            at,
-            lambda start, j: F.struct(
-                start.alias("start"),
-                (F.coalesce(F.get(at, j + 1), F.size(items)) - start).alias("n"),
-            ),
-        ),
-    )
-
-
-def members(items: Column, run: Column) -> Column:
-    return F.slice(items, run["start"] + 1, run["n"])

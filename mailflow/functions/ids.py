@@ -10,4 +10,6 @@ def row_id(prefix: str, *cols) -> Column:
 
 
 def content_hash(text: Column) -> Column:
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
+    """Hash to group and join by.  It is never NULL and says so, which keeps
+    Spark from computing it once more to test a join key."""
+    return F.coalesce(F.sha2(F.coalesce(text, F.lit("")), 256), F.lit(""))

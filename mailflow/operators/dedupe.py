@@ -43,7 +43,7 @@ def near_duplicates(mails: DataFrame) -> DataFrame:
     """
     marked = mails.select(
         "email_id",
-        F.sha2(normal_form(F.col("subject"), F.col("email_body")), 256).alias("_form"),
+        ids.content_hash(normal_form(F.col("subject"), F.col("email_body"))).alias("_form"),
     )
     groups = (
         marked.groupBy("_form")

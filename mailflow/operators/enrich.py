@@ -1,7 +1,7 @@
 """Enrichment: summaries, action items, sentiment, classes, entities.
 
 All of it looks at one mail at a time and is a projection over the mail table:
-nothing is shuffled, and no text leaves its task.
+nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -41,12 +41,13 @@ ENTITY_PATTERNS = {
     "email_addresses": "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}",
 }
 
-# Texts without these characters cannot match the patterns above.
+# What the patterns above need: texts without such a character are skipped, and
+# a match can only start at the second one.
 ENTITY_CHARACTERS = {
-    "dates": "[0-9]",
-    "amounts": "[$€£]",
-    "phone_numbers": "[0-9]",
-    "email_addresses": "@",
+    "dates": ("[0-9]", "[0-9JFMASOND]"),
+    "amounts": ("[$€£]", "[$€£]"),
+    "phone_numbers": ("[0-9]", "[+0-9]"),
+    "email_addresses": ("@", "[A-Za-z0-9._%+-]"),
 }
 
 # Names looked up in the text; replace them with the names that matter to you.
@@ -111,7 +112,9 @@ def entities_of(body: Column, gazetteer=None, patterns=None) -> Column:
     nothing = F.array().cast("array<string>")
 
     def found(kind: str) -> Column:
-        if kind in patterns:
+        if kind in needed:
+            pattern = f"(?={needed[kind][1]})(?:{patterns[kind]})"
+        elif kind in patterns:
             pattern = patterns[kind]
         else:
             names = sorted(gazetteer.get(kind, []), key=len, reverse=True)
@@ -121,7 +124,7 @@ def entities_of(body: Column, gazetteer=None, patterns=None) -> Column:
         matches = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
         result = F.sort_array(F.array_distinct(matches))
         if kind in needed:
-            result = F.when(body.rlike(needed[kind]), result).when(body.isNotNull(), nothing)
+            result = F.when(body.rlike(needed[kind][0]), result).when(body.isNotNull(), nothing)
         return result
 
     return F.struct(*[found(kind).alias(kind) for kind in schemas.ENTITY_KINDS])
@@ -158,14 +161,17 @@ def summarize(mails: DataFrame, kind) -> DataFrame:
         "email_id", "email_body", kind.alias("kind")
     )
     wanted, body = F.upper("kind"), F.col("email_body")
+    sizes = {"brief": BRIEF_SENTENCES, "detailed": DETAILED_SENTENCES}
+    extractive = F.when(wanted.isin(values.BRIEF, values.DETAILED), body)
+    made = asked.withColumn("_s", text.summaries(extractive, sizes))
     summary = (
-        F.when(wanted == values.BRIEF, text.summaries(body, {"s": BRIEF_SENTENCES})["s"])
-        .when(wanted == values.DETAILED, text.summaries(body, {"s": DETAILED_SENTENCES})["s"])
+        F.when(wanted == values.BRIEF, F.col("_s.brief"))
+        .when(wanted == values.DETAILED, F.col("_s.detailed"))
         .when(wanted == values.ACTION_ITEMS, action_items_text(body))
         .when(wanted == values.SENTIMENT, sentiment_text(body))
         .otherwise(UNKNOWN_KIND)
     )
-    return asked.select("email_id", "kind", summary.alias("summary_text"))
+    return made.select("email_id", "kind", summary.alias("summary_text"))
 
 
 def classify_rules(mails: DataFrame, rules=None, first_chars: int | None = None) -> DataFrame:

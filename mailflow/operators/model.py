@@ -10,6 +10,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mailflow.functions import ids
 from mailflow.operators.lookup import HOT_SHARE, attach
 
 
@@ -27,7 +28,7 @@ def score_with_model(
     """
     asked = prompt if max_chars is None else F.substring(prompt, 1, max_chars)
     prompts = mails.select("email_id", asked.alias("prompt")).withColumn(
-        "prompt_hash", F.sha2(F.coalesce("prompt", F.lit("")), 256)
+        "prompt_hash", ids.content_hash(F.col("prompt"))
     )
     distinct = prompts.groupBy("prompt_hash").agg(
         F.first("prompt").alias("prompt"), F.count("*").alias("copies")

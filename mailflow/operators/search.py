@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow import values
 from mailflow.functions import text
+from mailflow.functions.arrays import let
 
 K1 = 1.2
 B = 0.75
@@ -20,22 +21,20 @@ def query_terms(query: str) -> list[str]:
 
 
 def term_counts(mails: DataFrame, terms: list[str]) -> DataFrame:
-    """Length and count per query term of every mail; no token table is made.
+    """Length in words and count per query term of every mail: no token table."""
+    full = F.concat_ws(" ", F.coalesce("subject", F.lit("")), "email_body")
 
-    Only whole words that are query terms are taken from the text.  The length
-    is in characters: it counts only in relation to the mean length.
-    """
-    full = F.lower(F.concat_ws(" ", F.coalesce("subject", F.lit("")), "email_body"))
-    whole_word = "(?<![a-z])(?:" + "|".join(terms) + ")(?![a-z])"
-    hits = mails.filter(F.col("email_body").isNotNull()).select(
-        "email_id",
-        F.length(full).alias("dl"),
-        F.regexp_extract_all(full, F.lit(whole_word), F.lit(0)).alias("_h"),
+    def measure(tokens: Column) -> Column:
+        hits = F.filter(tokens, lambda w: w.isin(terms))
+        return F.struct(F.size(tokens).alias("dl"), hits.alias("hits"))
+
+    measured = mails.filter(F.col("email_body").isNotNull()).select(
+        "email_id", let(text.words(full), measure).alias("_m")
     )
-    return hits.select(
+    return measured.select(
         "email_id",
-        "dl",
-        *[text.count_in(F.col("_h"), [t]).alias(f"tf{i}") for i, t in enumerate(terms)],
+        F.col("_m.dl").alias("dl"),
+        *[text.count_in(F.col("_m.hits"), [t]).alias(f"tf{i}") for i, t in enumerate(terms)],
     )
 
 
@@ -84,11 +83,11 @@ def search_mail(mails: DataFrame, summaries: DataFrame, query: str, n: int = 10)
     brief = summaries.filter(F.col("summary_type") == values.BRIEF).select(
         "email_id", F.col("summary_text").alias("brief_summary")
     )
-    few = F.broadcast(scored)  # n rows
+    few = F.broadcast(scored)  # n rows, met by both tables with the same columns
     hits = mails.select("email_id", "subject", "sender_email", "email_date").join(few, "email_id")
-    briefs = brief.join(F.broadcast(scored.select("email_id")), "email_id", "left_semi")
+    briefs = brief.join(few, "email_id")
     return (
-        hits.join(briefs, "email_id", "left")
+        hits.join(briefs, ["email_id", "relevance_score"], "left")
         .select("email_id", "subject", "sender_email", "email_date", "relevance_score", "brief_summary")
         .orderBy(F.col("relevance_score").desc(), "email_id")
     )
