@@ -46,7 +46,10 @@ def _whole_files(reader, path: str, pattern: str | None) -> DataFrame:
 
 
 def read_json_mail(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """One row per JSON file; text that is no JSON has a NULL content."""
+    """One row per JSON file; text that is no JSON has a NULL content.
+
+    Spark lists no files of zero length, so an empty file gives no row.
+    """
     files = _whole_files(spark.read, path, pattern)
     return _as_raw_rows(files, F.try_parse_json("file_text"))
 
