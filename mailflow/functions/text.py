@@ -128,5 +128,5 @@ def token_estimate(text: Column) -> Column:
 
 def lines_with_cues(text: Column, cues: list[str] = ACTION_CUES) -> Column:
     """Sentences holding an action cue, in text order."""
-    pattern = "(?i)(^|[^A-Za-z])(" + "|".join(cues) + ")([^A-Za-z]|$)"
+    pattern = "(?i)(^|[^A-Za-z])(" + "|".join(map(re.escape, cues)) + ")([^A-Za-z]|$)"
     return F.filter(sentences(text), lambda s: s.rlike(pattern))

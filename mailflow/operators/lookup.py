@@ -10,6 +10,16 @@ HOT_SHARE = 500
 SALTS = 64
 
 
+# Results of a top-n step are broadcast up to this many rows.
+FEW_ROWS = 10_000
+
+
+def few(top: DataFrame, n: int) -> DataFrame:
+    """A table known to have at most ``n`` rows: broadcast while n is small,
+    left to the optimizer beyond that."""
+    return F.broadcast(top) if n <= FEW_ROWS else top
+
+
 def hot_keys(rows: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys holding more than 1/share of all rows: fewer than ``share`` rows."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))

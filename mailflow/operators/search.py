@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from mailflow import values
 from mailflow.functions import text
 from mailflow.functions.arrays import let
+from mailflow.operators.lookup import few
 
 K1 = 1.2
 B = 0.75
@@ -83,9 +84,9 @@ def search_mail(mails: DataFrame, summaries: DataFrame, query: str, n: int = 10)
     brief = summaries.filter(F.col("summary_type") == values.BRIEF).select(
         "email_id", F.col("summary_text").alias("brief_summary")
     )
-    few = F.broadcast(scored)  # n rows, met by both tables with the same columns
-    hits = mails.select("email_id", "subject", "sender_email", "email_date").join(few, "email_id")
-    briefs = brief.join(few, "email_id")
+    found = few(scored, n)  # met by both tables with the same columns
+    hits = mails.select("email_id", "subject", "sender_email", "email_date").join(found, "email_id")
+    briefs = brief.join(found, "email_id")
     return (
         hits.join(briefs, ["email_id", "relevance_score"], "left")
         .select("email_id", "subject", "sender_email", "email_date", "relevance_score", "brief_summary")

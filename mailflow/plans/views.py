@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailflow import values
 from mailflow.clock import ago, as_of_column
 from mailflow.functions import payload, urgency
+from mailflow.operators.lookup import few
 
 
 def _briefs(summaries: DataFrame, *more: str) -> DataFrame:
@@ -108,29 +109,27 @@ def format_distribution(raw: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def format_stats(raw: DataFrame) -> DataFrame:
-    """Formats as one object with the file total (files without content are in
-    the total only)."""
-    labelled = raw.groupBy(
-        F.when(F.col("file_content").isNotNull(), payload.format_label(F.col("file_content"))).alias("f")
-    ).agg(F.count("*").alias("n"))
-    pairs = F.collect_list(F.when(F.col("f").isNotNull(), F.struct("f", "n")))
-    return labelled.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_files"),
-        F.to_json(F.map_from_entries(F.array_sort(pairs))).alias("format_breakdown"),
-    )
+    """Files per format beside the total of all files, those without content
+    included.  A row per format: types are whatever the payloads declare, so
+    their number has no bound that would allow one object for all."""
+    total = raw.select(F.count("*")).scalar()
+    return format_counts(raw).withColumn("total_files", total)
 
 
 def format_log(raw: DataFrame, as_of: Column) -> DataFrame:
-    """Job-log row of a format analysis."""
+    """Job-log rows of a format analysis, one per format."""
+    details = F.struct(
+        "total_files",
+        F.struct(F.col("email_format").alias("format"), F.col("file_count").alias("files")).alias(
+            "format_breakdown"
+        ),
+    )
     return format_stats(raw).select(
-        F.concat(F.lit(f"{values.JOB_FORMATS}_"), as_of.cast("string")).alias("job_id"),
+        F.concat_ws("_", F.lit(values.JOB_FORMATS), as_of.cast("string"), "email_format").alias("job_id"),
         F.lit(values.JOB_FORMATS).alias("job_type"),
         as_of.alias("start_time"),
         F.lit(values.COMPLETED).alias("status"),
-        F.concat(
-            F.lit('{"total_files":'), F.col("total_files").cast("string"),
-            F.lit(',"format_breakdown":'), F.col("format_breakdown"), F.lit("}"),
-        ).alias("error_details"),
+        F.to_json(details).alias("error_details"),
     )
 
 
@@ -183,28 +182,9 @@ def health_label(health: DataFrame, max_failures: int = 5) -> DataFrame:
     )
 
 
-def _error_summary(errors: DataFrame, category: str) -> DataFrame:
-    """Count, latest time and the distinct messages of (at, message) rows.
-
-    Rows are grouped by message first, so that a message repeated in very many
-    rows reaches the final step once per task.
-    """
-    by_message = errors.groupBy("message").agg(
-        F.count("*").alias("n"), F.max("at").alias("latest")
-    )
-    joined = F.array_join(F.array_sort(F.collect_set("message")), "; ")
-    return by_message.agg(
-        F.lit(category).alias("error_category"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("error_count"),
-        F.max("latest").alias("latest_error"),
-        F.when(F.count("message") > 0, joined).alias("error_messages"),
-    )
-
-
-def recent_errors(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7) -> DataFrame:
-    """File errors and job errors of the last days, always two rows."""
-    now = as_of_column(raw, "upload_timestamp", as_of)
-    since = ago(now, days=days)
+def _failures(raw: DataFrame, jobs: DataFrame, as_of, days: int) -> tuple[DataFrame, DataFrame]:
+    """Failed files and failed jobs of the last days as (at, message) rows."""
+    since = ago(as_of_column(raw, "upload_timestamp", as_of), days=days)
     files = raw.filter(
         (F.col("processing_status") == values.FAILED) & (F.col("upload_timestamp") >= since)
     ).select(F.col("upload_timestamp").alias("at"), F.col("error_message").alias("message"))
@@ -215,9 +195,46 @@ def recent_errors(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7) ->
         F.col("start_time").alias("at"),
         F.coalesce(error, F.lit(values.UNKNOWN_ERROR)).alias("message"),
     )
-    return _error_summary(files, values.ERRORS_FILES).unionByName(
-        _error_summary(failed_jobs, values.ERRORS_JOBS)
-    )
+    return files, failed_jobs
+
+
+def _by_message(errors: DataFrame) -> DataFrame:
+    return errors.groupBy("message").agg(F.count("*").alias("n"), F.max("at").alias("latest"))
+
+
+def error_messages(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+    """The errors of the last days, a row per category and message."""
+
+    def rows(errors: DataFrame, category: str) -> DataFrame:
+        return _by_message(errors).select(
+            F.lit(category).alias("error_category"),
+            F.col("message").alias("error_message"),
+            F.col("n").alias("error_count"),
+            F.col("latest").alias("latest_error"),
+        )
+
+    files, failed_jobs = _failures(raw, jobs, as_of, days)
+    return rows(files, values.ERRORS_FILES).unionByName(rows(failed_jobs, values.ERRORS_JOBS))
+
+
+def recent_errors(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+    """File errors and job errors of the last days, always two rows.
+
+    Repeated messages are grouped before they are joined to one text.  Where the
+    messages themselves are very many, use ``error_messages``.
+    """
+
+    def row(errors: DataFrame, category: str) -> DataFrame:
+        joined = F.array_join(F.array_sort(F.collect_set("message")), "; ")
+        return _by_message(errors).agg(
+            F.lit(category).alias("error_category"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("error_count"),
+            F.max("latest").alias("latest_error"),
+            F.when(F.count("message") > 0, joined).alias("error_messages"),
+        )
+
+    files, failed_jobs = _failures(raw, jobs, as_of, days)
+    return row(files, values.ERRORS_FILES).unionByName(row(failed_jobs, values.ERRORS_JOBS))
 
 
 def stage_status(
@@ -288,8 +305,7 @@ def mail_history(mails: DataFrame, summaries: DataFrame, n: int = 10) -> DataFra
         mails.select("email_id", "subject", "sender_email", "extracted_timestamp"),
         "extracted_timestamp", n, "email_id",
     )
-    few = F.broadcast(newest.select("email_id"))  # n rows
-    briefs = _briefs(summaries).join(few, "email_id", "left_semi")
+    briefs = _briefs(summaries).join(few(newest.select("email_id"), n), "email_id", "left_semi")
     shown = newest.join(briefs, "email_id", "left").select(
         "email_id", "subject", "sender_email", "brief_summary", "extracted_timestamp"
     )
@@ -313,8 +329,8 @@ def dashboard_rows(mails: DataFrame, summaries: DataFrame, n: int = 15) -> DataF
         known.select("email_id", F.col("summary_text").alias("ai_summary"), "created_timestamp"),
         "created_timestamp", n, "email_id",
     )
-    few = F.broadcast(newest.select("email_id"))  # n rows
-    shown = mails.join(few, "email_id", "left_semi").select(
+    shown_ids = few(newest.select("email_id"), n)
+    shown = mails.join(shown_ids, "email_id", "left_semi").select(
         "email_id",
         F.col("sender_email").alias("sender"),
         "subject",
@@ -322,7 +338,7 @@ def dashboard_rows(mails: DataFrame, summaries: DataFrame, n: int = 15) -> DataF
     )
     feeling = (
         summaries.filter(F.col("summary_type") == values.SENTIMENT)
-        .join(few, "email_id", "left_semi")
+        .join(shown_ids, "email_id", "left_semi")
         .groupBy("email_id")
         .agg(F.max(F.col("summary_text").try_cast("double")).alias("sentiment_score"))
     )

@@ -15,7 +15,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -49,13 +48,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints and intermediate tables.
 
-    Only where none is configured (tests, one machine) a temporary folder is
-    taken and remembered for the session.
+    Where none is configured a temporary folder is taken and remembered for the
+    session, but only in local mode: other machines could not read it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("mailflow.work.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("mailflow.work.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="mailflow-")
         spark.conf.set("mailflow.work.dir", root)
     return root.rstrip("/")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mailflow import values
@@ -56,7 +58,7 @@ def filter_mail(
     text = F.lower(F.concat_ws(" ", "subject", "email_body"))
 
     def any_of(words):
-        return text.rlike("|".join(f"(?:{w.lower()})" for w in words))
+        return reduce(lambda a, b: a | b, [text.contains(w.lower()) for w in words])
 
     kept = mails
     if include:

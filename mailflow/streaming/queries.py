@@ -9,6 +9,7 @@ its finished folder (see ``sources.landing``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -56,10 +57,15 @@ def table_stream(spark: SparkSession, table_dir: str, schema, files_per_trigger:
     )
 
 
-def _log_batch(outcomes: DataFrame, job_type: str, jobs_dir: str, batch_id: int) -> None:
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def _log_batch(
+    outcomes: DataFrame, job_type: str, started: datetime, jobs_dir: str, batch_id: int
+) -> None:
     """Run record of one micro-batch."""
-    now = F.current_timestamp().cast("timestamp_ntz")
-    record = jobs.job_record(outcomes, job_type, now, now, run=str(batch_id))
+    record = jobs.job_record(outcomes, job_type, started, _now(), run=str(batch_id))
     landing.write_batch(record, jobs_dir, f"{job_type}-{batch_id}")
 
 
@@ -81,12 +87,13 @@ def stream_parse(
     """New PENDING files into the mail table, with a run record per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        started = _now()
         due = batch.filter(F.col("processing_status") == values.PENDING)
         parsed = parse.parse_mail(due, keep=keep, **options).withColumn(
             "extracted_timestamp", F.current_timestamp().cast("timestamp_ntz")
         )
         stored = landing.write_batch(parsed, mails_dir, batch_id)
-        _log_batch(stored, values.JOB_REALTIME, jobs_dir, batch_id)
+        _log_batch(stored, values.JOB_REALTIME, started, jobs_dir, batch_id)
 
     return for_each_batch(raw, write, checkpoint, every)
 
@@ -98,14 +105,13 @@ def stream_enrich(
     """BRIEF and SENTIMENT rows and the class of new mails that have a body."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        analysed = landing.write_batch(
-            enrich.analyze_realtime(batch), f"{classes_dir}", batch_id
-        )
+        started = _now()
+        analysed = landing.write_batch(enrich.analyze_realtime(batch), classes_dir, batch_id)
         now = F.current_timestamp()
         tall = enrich.summary_rows(analysed, enrich.REALTIME_COLUMNS, now)
         landing.write_batch(tall, summaries_dir, batch_id)
         done = analysed.select(F.lit(values.COMPLETED).alias("status"))
-        _log_batch(done, values.JOB_REALTIME_AI, jobs_dir, batch_id)
+        _log_batch(done, values.JOB_REALTIME_AI, started, jobs_dir, batch_id)
 
     return for_each_batch(mails, write, checkpoint, every)
 
@@ -171,7 +177,8 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
     """Files → raw table → mails → enrichment and alerts, on what is new.
 
     Calling it again with the same ``out`` works off the files added since.
-    Returns the tables.
+    Returns the tables, and as ``files`` the raw files with their status after
+    parsing.
     """
     tables = {n: f"{out}/{n}" for n in ("raw", "mails", "classes", "summaries", "alerts", "jobs")}
     mark = {n: f"{out}/_checkpoints/{n}" for n in tables}
@@ -202,4 +209,6 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
     ]
     for query in both:
         finish(query, timeout)
-    return {name: landing.read_table(spark, folder) for name, folder in tables.items()}
+    stored = {name: landing.read_table(spark, folder) for name, folder in tables.items()}
+    outcomes = stored["mails"].select("file_id", "status", "error_message")
+    return {**stored, "files": parse.apply_status(stored["raw"], outcomes)}

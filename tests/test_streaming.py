@@ -23,11 +23,11 @@ def test_chain_takes_only_what_is_new(spark, tmp_path):
     put(inbox, "2.json", [{"email_text": "b"}, {"raw_text": "c"}])
     (inbox / "3.json").write_text("{broken")
     first = counts(st.run_chain(spark, str(inbox), out))
-    assert first == {"raw": 4, "mails": 4, "classes": 3, "summaries": 6, "alerts": 1, "jobs": 2}
+    assert first == {"raw": 4, "mails": 4, "classes": 3, "summaries": 6, "alerts": 1, "jobs": 2, "files": 4}
     assert counts(st.run_chain(spark, str(inbox), out)) == first
     put(inbox, "4.json", {"email_text": "an emergency"})
     second = counts(st.run_chain(spark, str(inbox), out))
-    assert second == {"raw": 5, "mails": 5, "classes": 4, "summaries": 8, "alerts": 2, "jobs": 4}
+    assert second == {"raw": 5, "mails": 5, "classes": 4, "summaries": 8, "alerts": 2, "jobs": 4, "files": 5}
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
@@ -57,6 +57,9 @@ def test_job_status_of_a_batch_with_failures(spark, tmp_path):
     assert log["REALTIME_PROCESSING"].status == "PARTIAL_FAILURE"
     assert (log["REALTIME_PROCESSING"].files_processed, log["REALTIME_PROCESSING"].files_failed) == (1, 1)
     assert log["REALTIME_AI_ANALYSIS"].status == "COMPLETED"
+    assert log["REALTIME_PROCESSING"].start_time < log["REALTIME_PROCESSING"].end_time
+    status = {r.file_name: r.processing_status for r in tables["files"].collect()}
+    assert status == {"1.json": "COMPLETED", "2.json": "FAILED"}
 
 
 def test_interval_trigger(spark, tmp_path):
