@@ -7,6 +7,7 @@ nothing is shuffled.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -50,6 +51,9 @@ ENTITY_CHARACTERS = {
     "email_addresses": ("@", "[A-Za-z0-9._%+-]"),
 }
 
+# Up to this many names, looking for each one first is cheaper than the pattern.
+FEW_NAMES = 20
+
 # Names looked up in the text; replace them with the names that matter to you.
 GAZETTEER = {
     "people": ["John Smith", "Jane Doe", "Maria Garcia", "Wei Chen"],
@@ -124,8 +128,12 @@ def entities_of(body: Column, gazetteer=None, patterns=None) -> Column:
         matches = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
         result = F.sort_array(F.array_distinct(matches))
         if kind in needed:
-            result = F.when(body.rlike(needed[kind][0]), result).when(body.isNotNull(), nothing)
-        return result
+            possible = body.rlike(needed[kind][0])
+        elif kind not in patterns and len(names) <= FEW_NAMES:
+            possible = reduce(lambda a, b: a | b, [body.contains(name) for name in names])
+        else:
+            return result
+        return F.when(possible, result).when(body.isNotNull(), nothing)
 
     return F.struct(*[found(kind).alias(kind) for kind in schemas.ENTITY_KINDS])
 
