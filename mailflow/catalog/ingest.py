@@ -93,7 +93,8 @@ def explode_mail_batch(spark, sf):
 @query(
     "land_raw",
     tb.sql(tb.BASE, tb.RAW, select="""
-SELECT file_name, upload_timestamp, 'PENDING' AS processing_status, has_content, doc_id % 17 = 0 AS has_text FROM raw"""),
+SELECT file_name, upload_timestamp, 'PENDING' AS processing_status, has_content,
+  doc_id % 17 = 0 OR (has_content AND label = 'unknown') AS has_text FROM raw"""),
 )
 def land_raw(spark, sf):
     """Raw contents landed twice under one batch id: the table holds them once."""

@@ -6,10 +6,10 @@ that is replayed leaves the table as it was.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailflow import values
-from mailflow.functions import ids
+from mailflow.functions import ids, payload
 
 
 def batch_path(table_dir: str, batch_id) -> str:
@@ -38,20 +38,26 @@ def read_table(spark: SparkSession, table_dir: str, schema=None) -> DataFrame:
     return reader.parquet(table_dir)
 
 
+def kept_text(content: Column, text: Column) -> Column:
+    """The text to store beside a payload: none where every field can be read
+    from the payload, the whole of it where it is no JSON or of no known format."""
+    unread = content.isNull() | (payload.route_format(content) == values.UNKNOWN)
+    return F.when(unread, text)
+
+
 def raw_rows(rows: DataFrame, as_of=None) -> DataFrame:
     """Named contents as PENDING raw rows.  ``rows`` has file_name and
-    file_text; upload_timestamp is taken from the rows or from ``as_of``.  The
-    text itself is stored only where it is no JSON."""
-    content = F.try_parse_json("file_text")
+    file_text; upload_timestamp is taken from the rows or from ``as_of``."""
     uploaded = F.col("upload_timestamp") if "upload_timestamp" in rows.columns else as_of
-    return rows.select(
+    content = F.col("file_content")
+    return rows.withColumn("file_content", F.try_parse_json("file_text")).select(
         ids.row_id("EMAIL_", F.col("file_name"), F.col("file_text")).alias("file_id"),
         "file_name",
         F.lit(None).cast("string").alias("file_path"),
         F.octet_length("file_text").cast("bigint").alias("file_size"),
         F.lit(uploaded).cast("timestamp_ntz").alias("upload_timestamp"),
-        content.alias("file_content"),
-        F.when(content.isNull(), F.col("file_text")).alias("file_text"),
+        content,
+        kept_text(content, F.col("file_text")).alias("file_text"),
         F.lit(values.PENDING).alias("processing_status"),
         F.lit(None).cast("string").alias("error_message"),
     )

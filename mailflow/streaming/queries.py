@@ -75,7 +75,9 @@ def stream_land(
     """New files into the raw table, one row per mail."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        landing.write_batch(files.explode_mail_batch(batch), raw_dir, batch_id)
+        mails = files.explode_mail_batch(batch)
+        text = landing.kept_text(F.col("file_content"), F.col("file_text"))
+        landing.write_batch(mails.withColumn("file_text", text), raw_dir, batch_id)
 
     return for_each_batch(raw, write, checkpoint, every)
 

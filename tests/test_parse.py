@@ -5,12 +5,13 @@ import json
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from mailflow import values
 from mailflow.functions import payload
 from mailflow.operators import parse, quality
-from mailflow.sources import files
+from mailflow.sources import files, landing
 
 API = {
     "email_type": "gmail_api",
@@ -237,3 +238,36 @@ def test_parse_is_one_projection(spark, sf):
     raw = tb.table(spark, sf, "documents").selectExpr("string(doc_id) AS file_id", "text AS file_text")
     plan = parse.parse_mail(raw)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "EvalPython" not in plan
+
+
+mail_text = st.text(st.characters(blacklist_categories=("Cs",)), max_size=80)
+addresses = st.lists(st.from_regex(r"[a-z]{1,8}@[a-z]{1,8}\.org", fullmatch=True), min_size=1, max_size=3)
+mails = st.lists(st.tuples(mail_text, mail_text, addresses), min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(mails)
+def test_parse_undoes_compose(spark, batch):
+    def payloads(subject, body, to):
+        headers = [{"name": "To", "value": ", ".join(to)}, {"name": "Subject", "value": subject}]
+        coded = base64.urlsafe_b64encode(body.encode()).decode()
+        yield {"payload": {"headers": headers, "parts": [{"body": {"data": coded}}]}}
+        yield {"email_type": "simple_format", "recipients": to, "subject": subject, "email_text": body}
+        yield {"email_type": "marketing", "recipients": to, "subject": subject, "email_text": body}
+
+    rows = [(f"{i}-{k}", json.dumps(p)) for i, m in enumerate(batch) for k, p in enumerate(payloads(*m))]
+    raw = spark.createDataFrame(rows, "file_id string, file_text string")
+    got = {r.file_id: r for r in parse.parse_mail(raw, decode="base64url").collect()}
+    for i, (subject, body, to) in enumerate(batch):
+        for k in range(3):
+            mail = got[f"{i}-{k}"]
+            assert (mail.subject, mail.email_body, mail.recipient_emails) == (subject, body, to)
+
+
+def test_landed_unknown_documents_keep_their_text(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", '{ "z": 1, "b": 2 }'), ("b", '{"raw_text": "t"}'), ("c", "{")], "file_name string, file_text string"
+    )
+    table = landing.land_raw(rows, str(tmp_path / "raw"), as_of=datetime(2024, 1, 1))
+    mails = {r.file_name: r.email_body for r in parse.parse_mail(table, keep=["file_name"]).collect()}
+    assert mails == {"a": '{ "z": 1, "b": 2 }', "b": "t", "c": None}
