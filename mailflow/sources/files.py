@@ -75,26 +75,27 @@ def explode_mail_batch(raw: DataFrame) -> DataFrame:
 
     ``batch_pos`` is the element's place; rows from an array get their own file
     id so that the mails stay distinguishable, and no copy of the file's text.
+    An array too large for one VARIANT is read element by element.
     """
-    is_array = F.schema_of_variant("file_content").startswith("ARRAY<")
-    mails = F.when(
-        is_array, F.try_variant_get("file_content", F.lit("$"), "array<variant>")
-    ).otherwise(F.array("file_content"))
     rest = [c for c in raw.columns if c not in ("file_content", "file_id", "file_text")]
-    exploded = raw.select(
-        "file_id",
+    content, text = F.col("file_content"), F.col("file_text")
+    elements = F.coalesce(
+        F.try_variant_get(content, "$", "array<variant>"),
+        F.when(
+            content.isNull() & F.ltrim(text).startswith("["), F.from_json(text, "array<variant>")
+        ),
+    )
+    batch = F.col("_elements").isNotNull()
+    exploded = raw.withColumn("_elements", elements).select(
+        F.col("file_id").alias("_file"),
         *rest,
-        F.when(~F.coalesce(is_array, F.lit(False)), F.col("file_text")).alias("file_text"),
-        is_array.alias("_batch"),
-        F.posexplode(mails).alias("batch_pos", "file_content"),
+        F.when(~batch, text).alias("file_text"),
+        batch.alias("_batch"),
+        F.posexplode(F.coalesce("_elements", F.array(content))).alias("batch_pos", "file_content"),
     )
-    own_id = F.when(F.col("_batch"), F.concat_ws("#", "file_id", "batch_pos"))
+    own_id = F.when(F.col("_batch"), F.concat_ws("#", "_file", "batch_pos"))
     return exploded.select(
-        F.coalesce(own_id, "file_id").alias("file_id"),
-        *rest,
-        "batch_pos",
-        "file_content",
-        "file_text",
+        F.coalesce(own_id, "_file").alias("file_id"), *rest, "batch_pos", "file_content", "file_text"
     )
 
 

@@ -16,10 +16,20 @@ def batch_path(table_dir: str, batch_id) -> str:
     return f"{table_dir}/batch_id={batch_id}"
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def is_complete(spark: SparkSession, folder: str) -> bool:
     """True when a finished write left its marker in the folder."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    marker, system = _path(spark, f"{folder}/_SUCCESS")
+    return system.exists(marker)
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    path, system = _path(spark, folder)
+    system.mkdirs(path)
 
 
 def write_batch(rows: DataFrame, table_dir: str, batch_id) -> DataFrame:

@@ -185,22 +185,23 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
     tables = {n: f"{out}/{n}" for n in ("raw", "mails", "classes", "summaries", "alerts", "jobs")}
     mark = {n: f"{out}/_checkpoints/{n}" for n in tables}
 
+    for folder in tables.values():
+        landing.make_folder(spark, folder)
+
     source = files.stream_raw_files(spark, path)
     raw_schema = files.explode_mail_batch(source).schema
     finish(stream_land(source, tables["raw"], mark["raw"]), timeout)
 
     raw = table_stream(spark, tables["raw"], raw_schema)
     carried = ["file_name"]
-    mail_schema = (
-        parse.parse_mail(spark.createDataFrame([], raw_schema), keep=carried)
-        .withColumn("extracted_timestamp", F.current_timestamp().cast("timestamp_ntz"))
-        .schema
+    no_mail = parse.parse_mail(spark.createDataFrame([], raw_schema), keep=carried).withColumn(
+        "extracted_timestamp", F.current_timestamp().cast("timestamp_ntz")
     )
     finish(
         stream_parse(raw, tables["mails"], tables["jobs"], mark["mails"], keep=carried), timeout
     )
 
-    mails = table_stream(spark, tables["mails"], mail_schema).filter(
+    mails = table_stream(spark, tables["mails"], no_mail.schema).filter(
         F.col("status") == values.COMPLETED
     )
     both = [
@@ -211,6 +212,17 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
     ]
     for query in both:
         finish(query, timeout)
-    stored = {name: landing.read_table(spark, folder) for name, folder in tables.items()}
+    no_class = enrich.analyze_realtime(no_mail)
+    schemas = {
+        "raw": raw_schema,
+        "mails": no_mail.schema,
+        "classes": no_class.schema,
+        "summaries": enrich.summary_rows(no_class, enrich.REALTIME_COLUMNS).schema,
+        "alerts": alerts.urgent_alerts(no_mail).schema,
+        "jobs": jobs.job_record(no_mail, "", _now(), _now()).schema,
+    }
+    stored = {
+        name: landing.read_table(spark, folder, schemas[name]) for name, folder in tables.items()
+    }
     outcomes = stored["mails"].select("file_id", "status", "error_message")
     return {**stored, "files": parse.apply_status(stored["raw"], outcomes)}

@@ -85,3 +85,12 @@ def test_dedupe_across_batches(spark, tmp_path):
     stream = st.table_stream(spark, folder, rows.schema, 1)
     st.finish(st.stream_dedupe(stream, ["k"], "at", str(tmp_path / "o"), str(tmp_path / "c")))
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["0", "1", "2"]
+
+
+def test_chain_on_an_empty_inbox(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    empty = counts(st.run_chain(spark, str(inbox), str(tmp_path / "out")))
+    assert set(empty.values()) == {0}
+    put(inbox, "1.json", {"email_text": "first"})
+    assert counts(st.run_chain(spark, str(inbox), str(tmp_path / "out")))["classes"] == 1
