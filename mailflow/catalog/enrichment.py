@@ -138,35 +138,35 @@ def _entity_columns(column: str):
 
 @query(
     "summarize_brief",
-    tb.sql(tb.BASE, tb.MAILS, BOTH, select="SELECT email_id, brief AS summary_text FROM texts"),
+    tb.sql(tb.SOLO, tb.MAILS, BOTH, select="SELECT email_id, brief AS summary_text FROM texts"),
 )
 def summarize_brief(spark, sf):
     """Short extractive summary per mail."""
-    return enrich.summary_texts(tb.mails(spark, sf), {"summary_text": enrich.BRIEF_SENTENCES})
+    return enrich.summary_texts(tb.mails(spark, sf, True), {"summary_text": enrich.BRIEF_SENTENCES})
 
 
 @query(
     "summarize_detailed",
-    tb.sql(tb.BASE, tb.MAILS, BOTH, select="SELECT email_id, detailed AS summary_text FROM texts"),
+    tb.sql(tb.SOLO, tb.MAILS, BOTH, select="SELECT email_id, detailed AS summary_text FROM texts"),
 )
 def summarize_detailed(spark, sf):
     """Long extractive summary per mail."""
-    return enrich.summary_texts(tb.mails(spark, sf), {"summary_text": enrich.DETAILED_SENTENCES})
+    return enrich.summary_texts(tb.mails(spark, sf, True), {"summary_text": enrich.DETAILED_SENTENCES})
 
 
-@query("action_items", tb.sql(tb.BASE, tb.MAILS, ACTIONS, select="SELECT * FROM actions"))
+@query("action_items", tb.sql(tb.SOLO, tb.MAILS, ACTIONS, select="SELECT * FROM actions"))
 def action_items(spark, sf):
     """Sentences that ask for something."""
-    return enrich.action_items(tb.mails(spark, sf))
+    return enrich.action_items(tb.mails(spark, sf, True))
 
 
 @query(
     "sentiment",
-    tb.sql(tb.BASE, tb.MAILS, sentiment_sql(POSITIVE, NEGATIVE), select="SELECT * FROM moods"),
+    tb.sql(tb.SOLO, tb.MAILS, sentiment_sql(POSITIVE, NEGATIVE), select="SELECT * FROM moods"),
 )
 def sentiment(spark, sf):
     """Balance of positive and negative words."""
-    return enrich.sentiment(tb.mails(spark, sf), POSITIVE, NEGATIVE)
+    return enrich.sentiment(tb.mails(spark, sf, True), POSITIVE, NEGATIVE)
 
 
 KINDS = ["brief", "Detailed", "ACTION_ITEMS", "sentiment", "haiku"]
@@ -175,7 +175,7 @@ KINDS = ["brief", "Detailed", "ACTION_ITEMS", "sentiment", "haiku"]
 @query(
     "summarize_dispatch",
     tb.sql(
-        tb.BASE, tb.MAILS, BOTH, ACTIONS,
+        tb.SOLO, tb.MAILS, BOTH, ACTIONS,
         sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
         select=f"""
 SELECT m.email_id, CASE m.doc_id % 5 WHEN 0 THEN 'brief' WHEN 1 THEN 'Detailed' WHEN 2 THEN 'ACTION_ITEMS'
@@ -187,39 +187,39 @@ FROM mails m JOIN texts t USING (email_id) JOIN actions a USING (email_id) JOIN
 )
 def summarize_dispatch(spark, sf):
     """A summary kind per mail, one of them unknown."""
-    mails = tb.mails(spark, sf)
+    mails = tb.mails(spark, sf, True)
     number = F.substring("email_id", 2, 20).cast("bigint")
     return enrich.summarize(mails, tb.pick(number % 5, KINDS))
 
 
 @query(
     "classify_rules",
-    tb.sql(tb.BASE, tb.MAILS, class_sql(RULES), select="SELECT * FROM classes"),
+    tb.sql(tb.SOLO, tb.MAILS, class_sql(RULES), select="SELECT * FROM classes"),
 )
 def classify_rules(spark, sf):
     """Class per mail from weighted words."""
-    return enrich.classify_rules(tb.mails(spark, sf), RULES)
+    return enrich.classify_rules(tb.mails(spark, sf, True), RULES)
 
 
 @query(
     "classify_realtime",
     tb.sql(
-        tb.BASE, tb.MAILS, class_sql(RULES, "substring(email_body, 1, 500)"),
+        tb.SOLO, tb.MAILS, class_sql(RULES, "substring(email_body, 1, 500)"),
         select="SELECT * FROM classes",
     ),
 )
 def classify_realtime(spark, sf):
     """Realtime form: the class from the first 500 characters."""
-    return enrich.classify_rules(tb.mails(spark, sf), RULES, values.CLASSIFY_CAP)
+    return enrich.classify_rules(tb.mails(spark, sf, True), RULES, values.CLASSIFY_CAP)
 
 
 @query(
     "extract_entities",
-    tb.sql(tb.BASE, tb.MAILS, entities_sql(GAZETTEER), select="SELECT * FROM entities"),
+    tb.sql(tb.SOLO, tb.MAILS, entities_sql(GAZETTEER), select="SELECT * FROM entities"),
 )
 def extract_entities(spark, sf):
     """Seven kinds of entities per mail."""
-    found = enrich.extract_entities(tb.mails(spark, sf), GAZETTEER)
+    found = enrich.extract_entities(tb.mails(spark, sf, True), GAZETTEER)
     return found.select("email_id", *_entity_columns("extracted_entities"))
 
 
@@ -229,7 +229,7 @@ DEFAULT_NAMES = {k: sorted(v) for k, v in enrich.GAZETTEER.items()}
 @query(
     "analyze",
     tb.sql(
-        tb.BASE, tb.MAILS, BOTH, ACTIONS,
+        tb.SOLO, tb.MAILS, BOTH, ACTIONS,
         sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
         class_sql(enrich.CLASS_RULES), entities_sql(DEFAULT_NAMES),
         select="""
@@ -241,7 +241,7 @@ JOIN entities USING (email_id)""",
 )
 def analyze(spark, sf):
     """Full analysis of every mail."""
-    done = enrich.analyze(tb.mails(spark, sf))
+    done = enrich.analyze(tb.mails(spark, sf, True))
     return done.select("*", *_entity_columns("extracted_entities")).drop("extracted_entities")
 
 
@@ -256,18 +256,18 @@ SELECT email_id, summary_type, summary_text FROM (
 @query(
     "analyze_rows",
     tb.sql(
-        tb.BASE, tb.MAILS, BOTH, ACTIONS,
+        tb.SOLO, tb.MAILS, BOTH, ACTIONS,
         sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS), select=ANALYZE_ROWS,
     ),
 )
 def analyze_rows(spark, sf):
     """The analysis as rows of the summary table."""
-    tall = enrich.summary_rows(enrich.analyze(tb.mails(spark, sf)), enrich.FULL_COLUMNS)
+    tall = enrich.summary_rows(enrich.analyze(tb.mails(spark, sf, True)), enrich.FULL_COLUMNS)
     return tall.select("email_id", "summary_type", "summary_text")
 
 
 REALTIME_CTES = [
-    tb.BASE, tb.MAILS, BOTH, sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
+    tb.SOLO, tb.MAILS, BOTH, sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
     class_sql(enrich.CLASS_RULES, "substring(email_body, 1, 500)"),
 ]
 REALTIME = """
@@ -278,7 +278,7 @@ FROM texts t JOIN moods USING (email_id) JOIN classes USING (email_id)"""
 @query("analyze_realtime", tb.sql(*REALTIME_CTES, select=REALTIME))
 def analyze_realtime(spark, sf):
     """Realtime analysis of every mail."""
-    return enrich.analyze_realtime(tb.mails(spark, sf))
+    return enrich.analyze_realtime(tb.mails(spark, sf, True))
 
 
 @query(
@@ -312,25 +312,25 @@ def pending_enrichment_by_status(spark, sf):
 
 @query(
     "estimate_tokens",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, cast(greatest(1, len(regexp_extract_all(email_body, '[^ \\n\\t\\r]+')) // 100) AS BIGINT) AS estimated_tokens
 FROM mails WHERE email_body IS NOT NULL"""),
 )
 def estimate_tokens(spark, sf):
     """Model tokens per mail."""
-    return enrich.estimate_tokens(tb.mails(spark, sf))
+    return enrich.estimate_tokens(tb.mails(spark, sf, True))
 
 
 @query(
     "urgency_level",
-    tb.sql(tb.BASE, tb.MAILS, select=f"""
+    tb.sql(tb.SOLO, tb.MAILS, select=f"""
 SELECT email_id, CASE WHEN {URGENT} THEN 'HIGH'
   WHEN email_classification IN ('ACTION_REQUIRED', 'MEETING_REQUEST') THEN 'MEDIUM' ELSE 'LOW' END AS urgency_level
 FROM mails"""),
 )
 def urgency_level(spark, sf):
     """HIGH, MEDIUM or LOW per mail."""
-    return enrich.urgency_levels(tb.mails(spark, sf))
+    return enrich.urgency_levels(tb.mails(spark, sf, True))
 
 
 SEARCH = "license worthless tion und"
@@ -357,7 +357,7 @@ hits AS (SELECT * FROM scored ORDER BY score DESC, email_id LIMIT 10)"""
 
 @query(
     "search_mail",
-    tb.sql(tb.BASE, tb.MAILS, tb.SUMMARIES, bm25_sql(), select="""
+    tb.sql(tb.SOLO, tb.MAILS, tb.SUMMARIES, bm25_sql(), select="""
 SELECT m.email_id, m.subject, m.sender_email, m.email_date,
   round(h.score / (SELECT max(score) FROM hits), 6) AS relevance_score, s.summary_text AS brief_summary
 FROM hits h JOIN mails m USING (email_id)
@@ -365,7 +365,7 @@ LEFT JOIN summaries s ON s.email_id = m.email_id AND s.summary_type = 'BRIEF'"""
 )
 def search_mail(spark, sf):
     """The ten most relevant mails for a query."""
-    return search.search_mail(tb.mails(spark, sf), tb.summaries(spark, sf), SEARCH)
+    return search.search_mail(tb.mails(spark, sf, True), tb.summaries(spark, sf, True), SEARCH)
 
 
 @query(
@@ -390,7 +390,7 @@ def length_scorer(prompts: pd.Series) -> pd.Series:
 
 @query(
     "score_with_model",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, CASE WHEN contains(email_body, 'idiot') THEN NULL WHEN length(email_body) + 6 > 1000 THEN 'LONG'
     WHEN length(email_body) + 6 < 200 THEN 'SHORT' END AS result,
   CASE WHEN contains(email_body, 'idiot') THEN 'ValueError: refused'
@@ -399,7 +399,7 @@ FROM mails WHERE email_body IS NOT NULL"""),
 )
 def score_with_model(spark, sf):
     """A user's scorer over every mail, each distinct prompt once."""
-    mails = tb.mails(spark, sf).filter(F.col("email_body").isNotNull())
+    mails = tb.mails(spark, sf, True).filter(F.col("email_body").isNotNull())
     prompt = F.concat(F.lit("Text: "), F.col("email_body"))
     scored = model.score_with_model(mails, length_scorer, prompt, allowed=["LONG", "SHORT"])
     return scored.select("email_id", "result", "error_message")
@@ -420,12 +420,12 @@ def train_classifier(spark, sf):
 
 @query(
     "urgent_predicate",
-    tb.sql(tb.BASE, tb.MAILS, select=f"SELECT email_id, {URGENT} AS urgent FROM mails"),
+    tb.sql(tb.SOLO, tb.MAILS, select=f"SELECT email_id, {URGENT} AS urgent FROM mails"),
 )
 def urgent_predicate(spark, sf):
     """Whether a mail is urgent."""
     urgent = urgency.is_urgent(F.col("subject"), F.col("email_body"))
-    return tb.mails(spark, sf).select("email_id", urgent.alias("urgent"))
+    return tb.mails(spark, sf, True).select("email_id", urgent.alias("urgent"))
 
 
 INDICATORS = """array_to_string([x for x in [
@@ -438,12 +438,12 @@ INDICATORS = """array_to_string([x for x in [
 
 @query(
     "urgency_indicators",
-    tb.sql(tb.BASE, tb.MAILS, select=f"SELECT email_id, {INDICATORS} AS indicators FROM mails"),
+    tb.sql(tb.SOLO, tb.MAILS, select=f"SELECT email_id, {INDICATORS} AS indicators FROM mails"),
 )
 def urgency_indicators(spark, sf):
     """Urgency codes of every mail."""
     codes = urgency.urgency_indicators(F.col("subject"), F.col("email_body"))
-    return tb.mails(spark, sf).select("email_id", F.array_join(codes, ",").alias("indicators"))
+    return tb.mails(spark, sf, True).select("email_id", F.array_join(codes, ",").alias("indicators"))
 
 
 ALERTS = f"""
@@ -451,10 +451,10 @@ SELECT email_id, subject, sender_email AS sender, {INDICATORS} AS urgency_indica
 FROM mails WHERE {URGENT}"""
 
 
-@query("urgent_alerts", tb.sql(tb.BASE, tb.MAILS, select=ALERTS))
+@query("urgent_alerts", tb.sql(tb.SOLO, tb.MAILS, select=ALERTS))
 def urgent_alerts(spark, sf):
     """One row per urgent mail."""
-    found = alerts.urgent_alerts(tb.mails(spark, sf))
+    found = alerts.urgent_alerts(tb.mails(spark, sf, True))
     return found.withColumn("urgency_indicators", F.array_join("urgency_indicators", ","))
 
 

@@ -71,14 +71,14 @@ def read_text_mail(spark, sf):
 
 @query(
     "explode_mail_batch",
-    tb.sql(tb.BASE, select="""
+    tb.sql(tb.SOLO, select="""
 SELECT concat('F', doc_id) AS file, 0 AS batch_pos, sender AS sender_email, body AS email_body FROM base
 UNION ALL
 SELECT concat('F', doc_id), 1, 'copy@example.com', subject FROM base WHERE doc_id % 3 = 0"""),
 )
 def explode_mail_batch(spark, sf):
     """Every third file is an array of two mails."""
-    b = tb.base(spark, sf)
+    b = tb.base(spark, sf, True)
     mail = F.struct(F.col("sender"), F.col("body").alias("email_text"))
     copy = F.struct(F.lit("copy@example.com").alias("sender"), F.col("subject").alias("email_text"))
     text = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.array(mail, copy))).otherwise(F.to_json(mail))
@@ -92,13 +92,13 @@ def explode_mail_batch(spark, sf):
 
 @query(
     "land_raw",
-    tb.sql(tb.BASE, tb.RAW, select="""
+    tb.sql(tb.SOLO, tb.RAW, select="""
 SELECT file_name, upload_timestamp, 'PENDING' AS processing_status, has_content,
   doc_id % 17 = 0 OR (has_content AND label = 'unknown') AS has_text FROM raw"""),
 )
 def land_raw(spark, sf):
     """Raw contents landed twice under one batch id: the table holds them once."""
-    rows = tb.raw(spark, sf).select("file_name", "file_text", "upload_timestamp")
+    rows = tb.raw(spark, sf, True).select("file_name", "file_text", "upload_timestamp")
     folder = work_dir(spark, "raw")
     landing.land_raw(rows, folder, batch_id=1)
     table = landing.land_raw(rows, folder, batch_id=1)
@@ -199,7 +199,7 @@ def filter_domain(spark, sf):
 
 @query(
     "filter_mail",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id FROM mails
 WHERE regexp_matches(lower(concat_ws(' ', subject, email_body)), 'urgent|license|asap')
   AND NOT regexp_matches(lower(concat_ws(' ', subject, email_body)), 'idiot|newsletter')
@@ -208,14 +208,14 @@ WHERE regexp_matches(lower(concat_ws(' ', subject, email_body)), 'urgent|license
 def filter_mail(spark, sf):
     """Keyword, age and attachment filters together."""
     kept = pull.filter_mail(
-        tb.mails(spark, sf), ["urgent", "license", "asap"], ["idiot", "newsletter"], 2, True
+        tb.mails(spark, sf, True), ["urgent", "license", "asap"], ["idiot", "newsletter"], 2, True
     )
     return kept.select("email_id")
 
 
 @query(
     "filter_mail_defaults",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id FROM mails
 WHERE regexp_matches(lower(concat_ws(' ', subject, email_body)), 'meeting|urgent|action|deadline|project|client|demo')
   AND NOT regexp_matches(lower(concat_ws(' ', subject, email_body)), 'newsletter|unsubscribe|marketing|promotional')
@@ -224,19 +224,19 @@ WHERE regexp_matches(lower(concat_ws(' ', subject, email_body)), 'meeting|urgent
 def filter_mail_defaults(spark, sf):
     """The declared keyword lists and age."""
     kept = pull.filter_mail(
-        tb.mails(spark, sf), values.INCLUDE_KEYWORDS, values.EXCLUDE_KEYWORDS, values.FILTER_DAYS
+        tb.mails(spark, sf, True), values.INCLUDE_KEYWORDS, values.EXCLUDE_KEYWORDS, values.FILTER_DAYS
     )
     return kept.select("email_id")
 
 
 @query(
     "truncate_body",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, length(email_body) AS n_before, length(substring(email_body, 1, 50000)) AS n_after FROM mails"""),
 )
 def truncate_body(spark, sf):
     """Bodies capped at the declared 50,000 characters."""
-    mails = tb.mails(spark, sf).withColumn("whole", F.col("email_body"))
+    mails = tb.mails(spark, sf, True).withColumn("whole", F.col("email_body"))
     capped = pull.truncate_body(mails)
     return capped.select(
         "email_id",
@@ -260,12 +260,12 @@ def fetch_metrics(spark, sf):
 
 @query(
     "with_id",
-    tb.sql(tb.BASE, select="""
+    tb.sql(tb.SOLO, select="""
 SELECT doc_id, concat('EMAIL_', sha256(concat_ws('␟', doc_id, body))) AS row_id FROM base"""),
 )
 def with_id(spark, sf):
     """Row ids from the content."""
-    return landing.with_id(tb.base(spark, sf), "EMAIL_", ["doc_id", "body"]).select("doc_id", "row_id")
+    return landing.with_id(tb.base(spark, sf, True), "EMAIL_", ["doc_id", "body"]).select("doc_id", "row_id")
 
 
 DOMAINS = ["src1.example.com", "src2.example.com", "nobody.example.com"]

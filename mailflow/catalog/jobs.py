@@ -13,7 +13,7 @@ from mailflow.plans import jobs
 
 @query(
     "job_record",
-    tb.sql(tb.BASE, tb.RAW, select="""
+    tb.sql(tb.SOLO, tb.RAW, select="""
 SELECT 'BATCH_PROCESSING_run' AS job_id, 'BATCH_PROCESSING' AS job_type,
   TIMESTAMP '2024-02-01 00:00:00' AS start_time, TIMESTAMP '2024-02-01 00:10:00' AS end_time,
   'PARTIAL_FAILURE' AS status, count(*) FILTER (has_content) AS files_processed,
@@ -22,7 +22,7 @@ FROM raw WHERE processing_status = 'PENDING'"""),
 )
 def job_record(spark, sf):
     """Run record of parsing everything pending."""
-    outcomes = parse.parse_batch(tb.raw(spark, sf).drop("file_content"), limit=None)
+    outcomes = parse.parse_batch(tb.raw(spark, sf, True).drop("file_content"), limit=None)
     return jobs.job_record(
         outcomes, values.JOB_BATCH, "2024-02-01 00:00:00", "2024-02-01 00:10:00", run="run"
     )

@@ -66,26 +66,26 @@ ALL_SHAPES = " UNION ALL ".join(
 ) + " UNION ALL " + BROKEN
 
 
-@query("parse_mail", tb.sql(tb.BASE, select=ALL_SHAPES))
+@query("parse_mail", tb.sql(tb.SOLO, select=ALL_SHAPES))
 def parse_all(spark, sf):
     """All formats in one table, with unreadable and missing payloads."""
-    return flat_columns(parse.parse_mail(tb.raw(spark, sf).drop("file_content")))
+    return flat_columns(parse.parse_mail(tb.raw(spark, sf, True).drop("file_content")))
 
 
 @query(
     "route_format",
-    tb.sql(tb.BASE, select=f"SELECT file_id, email_format FROM ({ALL_SHAPES})"),
+    tb.sql(tb.SOLO, select=f"SELECT file_id, email_format FROM ({ALL_SHAPES})"),
 )
 def route(spark, sf):
     """Which parser each payload goes to."""
-    raw = tb.raw(spark, sf)
+    raw = tb.raw(spark, sf, True)
     return raw.select("file_id", payload.route_format(F.col("file_content")).alias("email_format"))
 
 
 def one_shape(name: str, shape: str, text, **options):
-    @query(name, tb.sql(tb.BASE, select=shape_sql(shape)))
+    @query(name, tb.sql(tb.SOLO, select=shape_sql(shape)))
     def run(spark, sf):
-        b = tb.base(spark, sf)
+        b = tb.base(spark, sf, True)
         composed = tb.raw_from(b, text(b) if text is tb.api_json else text())
         return flat_columns(parse.parse_mail(composed, **options))
 
@@ -105,12 +105,12 @@ def base64url(text: Column) -> Column:
 
 @query(
     "parse_decoded",
-    tb.sql(tb.BASE, select="""
+    tb.sql(tb.SOLO, select="""
 SELECT concat('F', doc_id) AS file_id, body AS email_body FROM base"""),
 )
 def parse_decoded(spark, sf):
     """API bodies in URL-safe base64; every third one is stored as plain text."""
-    b = tb.base(spark, sf)
+    b = tb.base(spark, sf, True)
     stored = F.when(F.col("doc_id") % 3 != 0, base64url(F.col("body"))).otherwise(F.col("body"))
     composed = tb.raw_from(b, tb.api_json(b, stored))
     return parse.parse_mail(composed, decode="base64url").select("file_id", "email_body")
@@ -145,7 +145,7 @@ def part_tree(n: Column, data: Column) -> Column:
 
 @query(
     "extract_body",
-    tb.sql(tb.BASE, select="""
+    tb.sql(tb.SOLO, select="""
 SELECT concat('F', doc_id) AS file_id,
   CASE doc_id % 6 WHEN 4 THEN 'No readable content found' WHEN 5 THEN 'Content extraction failed'
   ELSE body END AS body
@@ -153,7 +153,7 @@ FROM base"""),
 )
 def extract_body(spark, sf):
     """First text part of part trees up to five levels deep."""
-    b = tb.base(spark, sf)
+    b = tb.base(spark, sf, True)
     tree = part_tree(F.col("doc_id") % 6, base64url(F.col("body")))
     text = F.concat(F.lit('{"payload":'), tree, F.lit("}"))
     return parse.extract_body(tb.raw_from(b, text))
@@ -161,14 +161,14 @@ def extract_body(spark, sf):
 
 @query(
     "headers_map",
-    tb.sql(tb.BASE, select="""
+    tb.sql(tb.SOLO, select="""
 SELECT concat('F', doc_id) AS file_id, 3 AS headers, sender AS from_header, subject AS subject_header,
   concat('relay', doc_id % 3) AS received
 FROM base"""),
 )
 def headers_map(spark, sf):
     """Header lists with a repeated header as maps."""
-    b = tb.base(spark, sf)
+    b = tb.base(spark, sf, True)
 
     def h(name, value):
         return F.struct(F.lit(name).alias("name"), value.alias("value"))
@@ -192,18 +192,18 @@ def headers_map(spark, sf):
 
 @query(
     "row_outcomes",
-    tb.sql(tb.BASE, select=f"""
+    tb.sql(tb.SOLO, select=f"""
 SELECT status, error_message, cast(count(*) AS BIGINT) AS files FROM ({ALL_SHAPES}) GROUP BY ALL"""),
 )
 def row_outcomes(spark, sf):
     """Files per outcome and error; unreadable ones do not stop the rest."""
-    parsed = parse.parse_mail(tb.raw(spark, sf).drop("file_content"))
+    parsed = parse.parse_mail(tb.raw(spark, sf, True).drop("file_content"))
     return parsed.groupBy("status", "error_message").agg(F.count("*").alias("files"))
 
 
 @query(
     "parse_batch",
-    tb.sql(tb.BASE, tb.RAW, select=f"""
+    tb.sql(tb.SOLO, tb.RAW, select=f"""
 SELECT p.file_id, p.email_format, p.subject, p.status FROM ({ALL_SHAPES}) p
 JOIN (SELECT file_id FROM raw WHERE processing_status = 'PENDING'
         AND regexp_full_match(file_name, '(simple|gmail|note)_.*[.]json')
@@ -211,26 +211,26 @@ JOIN (SELECT file_id FROM raw WHERE processing_status = 'PENDING'
 )
 def parse_batch(spark, sf):
     """The next 50 pending files of three sources."""
-    raw = tb.raw(spark, sf).drop("file_content")
+    raw = tb.raw(spark, sf, True).drop("file_content")
     parsed = parse.parse_batch(raw, "(simple|gmail|note)_.*[.]json", values.PARSE_BATCH)
     return parsed.select("file_id", "email_format", "subject", "status")
 
 
 @query(
     "parse_pending",
-    tb.sql(tb.BASE, tb.RAW, select=f"""
+    tb.sql(tb.SOLO, tb.RAW, select=f"""
 SELECT p.file_id, p.email_format, p.email_body, p.status FROM ({ALL_SHAPES}) p
 JOIN raw r USING (file_id) WHERE r.processing_status = 'PENDING'"""),
 )
 def parse_pending(spark, sf):
     """Every pending file."""
-    raw = tb.raw(spark, sf).drop("file_content")
+    raw = tb.raw(spark, sf, True).drop("file_content")
     return parse.parse_batch(raw, limit=None).select("file_id", "email_format", "email_body", "status")
 
 
 @query(
     "apply_status",
-    tb.sql(tb.BASE, tb.RAW, select="""
+    tb.sql(tb.SOLO, tb.RAW, select="""
 SELECT file_id, file_name,
   CASE WHEN processing_status <> 'PENDING' THEN processing_status
        WHEN has_content THEN 'COMPLETED' ELSE 'FAILED' END AS processing_status,
@@ -241,7 +241,7 @@ FROM raw"""),
 )
 def apply_status(spark, sf):
     """File table after parsing everything pending."""
-    raw = tb.raw(spark, sf).drop("file_content")
+    raw = tb.raw(spark, sf, True).drop("file_content")
     outcomes = parse.parse_batch(raw, limit=None).select("file_id", "status", "error_message")
     known = raw.select("file_id", "file_name", "processing_status", "error_message")
     return parse.apply_status(known, outcomes)

@@ -20,7 +20,7 @@ FROM mails"""
 
 @query(
     "validate_mail",
-    tb.sql(tb.BASE, tb.MAILS, select=f"""
+    tb.sql(tb.SOLO, tb.MAILS, select=f"""
 SELECT email_id, cast(len(errors) AS INTEGER) AS error_count,
   CASE WHEN len(errors) = 0 THEN 'Email validation passed'
        ELSE concat('Email validation failed: ', array_to_string(errors, ', ')) END AS validation_result
@@ -28,7 +28,7 @@ FROM ({BROKEN})"""),
 )
 def validate_mail(spark, sf):
     """Broken rules and result line of every mail."""
-    checked = quality.validate_mail(tb.mails(spark, sf))
+    checked = quality.validate_mail(tb.mails(spark, sf, True))
     return checked.select(
         "email_id", F.size("validation_errors").alias("error_count"), "validation_result"
     )
@@ -36,19 +36,19 @@ def validate_mail(spark, sf):
 
 @query(
     "invalid_mail",
-    tb.sql(tb.BASE, tb.MAILS, select=f"""
+    tb.sql(tb.SOLO, tb.MAILS, select=f"""
 SELECT email_id, subject, array_to_string(errors, '; ') AS validation_errors
 FROM ({BROKEN}) WHERE len(errors) > 0"""),
 )
 def invalid_mail(spark, sf):
     """Mails that break a rule."""
-    found = quality.invalid_mail(tb.mails(spark, sf))
+    found = quality.invalid_mail(tb.mails(spark, sf, True))
     return found.withColumn("validation_errors", F.array_join("validation_errors", "; "))
 
 
 @query(
     "validation_summary",
-    tb.sql(tb.BASE, tb.MAILS, select=f"""
+    tb.sql(tb.SOLO, tb.MAILS, select=f"""
 SELECT r.rule, cast(count(e.email_id) AS BIGINT) AS mails
 FROM (VALUES ('Invalid sender email format'), ('Missing email subject'),
       ('Email body too short or missing'), ('Missing email date')) r(rule)
@@ -57,37 +57,37 @@ GROUP BY r.rule"""),
 )
 def validation_summary(spark, sf):
     """Mails per broken rule."""
-    return quality.validation_summary(tb.mails(spark, sf))
+    return quality.validation_summary(tb.mails(spark, sf, True))
 
 
 @query(
     "dedupe_exact",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, email_date FROM mails
 QUALIFY row_number() OVER (PARTITION BY sha256(coalesce(email_body, ''))
   ORDER BY email_date ASC NULLS LAST, email_id) = 1"""),
 )
 def dedupe_exact(spark, sf):
     """The earliest mail of each content."""
-    return dedupe.dedupe_exact(tb.mails(spark, sf)).select("email_id", "email_date")
+    return dedupe.dedupe_exact(tb.mails(spark, sf, True)).select("email_id", "email_date")
 
 
 @query(
     "dedupe_by_key",
-    tb.sql(tb.BASE, tb.MAILS, select="""
+    tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, sender_email, subject FROM mails
 QUALIFY row_number() OVER (PARTITION BY sender_email, subject
   ORDER BY email_date ASC NULLS LAST, email_id) = 1"""),
 )
 def dedupe_by_key(spark, sf):
     """The earliest mail per sender and subject."""
-    kept = dedupe.dedupe_exact(tb.mails(spark, sf), ["sender_email", "subject"])
+    kept = dedupe.dedupe_exact(tb.mails(spark, sf, True), ["sender_email", "subject"])
     return kept.select("email_id", "sender_email", "subject")
 
 
 @query(
     "near_duplicates",
-    tb.sql(tb.BASE, tb.MAILS, """
+    tb.sql(tb.SOLO, tb.MAILS, """
 forms AS (
   SELECT email_id, trim(regexp_replace(concat_ws(chr(10),
     regexp_replace(lower(coalesce(subject, '')), '^( *(re|fw|fwd|aw) *:)+', ''),
@@ -99,7 +99,7 @@ FROM forms QUALIFY count(*) OVER (PARTITION BY form) > 1"""),
 )
 def near_duplicates(spark, sf):
     """Mails equal to another one but for case, spacing, quoting, prefixes."""
-    return dedupe.near_duplicates(tb.mails(spark, sf))
+    return dedupe.near_duplicates(tb.mails(spark, sf, True))
 
 
 @query(

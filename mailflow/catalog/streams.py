@@ -29,14 +29,14 @@ def _stored(spark, rows, name: str):
 
 
 def _raw_stream(spark, sf, name):
-    rows = tb.raw(spark, sf).select(
+    rows = tb.raw(spark, sf, True).select(
         "file_id", "file_name", "upload_timestamp", "file_text", "processing_status"
     )
     return _stored(spark, rows, name)
 
 
 def _mail_stream(spark, sf, name):
-    rows = tb.mails(spark, sf).select("email_id", "sender_email", "subject", "email_body")
+    rows = tb.mails(spark, sf, True).select("email_id", "sender_email", "subject", "email_body")
     return _stored(spark, rows, name)
 
 
@@ -62,7 +62,7 @@ def _parsed_stream(spark, sf, name):
 
 @query(
     "stream_parse",
-    tb.sql(tb.BASE, tb.RAW, select=f"""
+    tb.sql(tb.SOLO, tb.RAW, select=f"""
 SELECT p.file_id, p.email_format, p.sender_email, p.subject, p.email_body, p.email_date, p.status
 FROM ({ALL_SHAPES}) p JOIN raw USING (file_id) WHERE processing_status = 'PENDING'"""),
 )
@@ -76,7 +76,7 @@ def stream_parse(spark, sf):
 
 @query(
     "stream_job_log",
-    tb.sql(tb.BASE, tb.RAW, select="""
+    tb.sql(tb.SOLO, tb.RAW, select="""
 SELECT 'REALTIME_PROCESSING' AS job_type, count(*) FILTER (has_content) AS files_processed,
   count(*) FILTER (NOT has_content) AS files_failed
 FROM raw WHERE processing_status = 'PENDING'"""),
@@ -106,7 +106,7 @@ def stream_enrich(spark, sf):
     return rows.join(classes, "email_id")
 
 
-@query("stream_alerts", tb.sql(tb.BASE, tb.MAILS, select=ALERTS))
+@query("stream_alerts", tb.sql(tb.SOLO, tb.MAILS, select=ALERTS))
 def stream_alerts(spark, sf):
     """Alerts on new mails."""
     mails = _mail_stream(spark, sf, "alert-source")

@@ -31,20 +31,35 @@ def pick(number: Column, options: list) -> Column:
 
 
 @lru_cache(maxsize=64)
-def base(spark: SparkSession, sf: str) -> DataFrame:
+def base(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
+    """Mails as one flat table.  With ``solo`` the event's part is made from the
+    document's number, for the operators that only look at texts: they then read
+    documents and join nothing."""
     documents = spread(
         table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id"
     )
-    events = table(spark, sf, "events").select(
-        F.col("event_id").alias("doc_id"), "ts", "user_id", "event_type"
-    )
+    if solo:
+        n = F.col("doc_id")
+        micros = n % 43200 * 60000000 + n * 7919 % 1000000
+        start = F.lit("2024-01-01").cast("timestamp_ntz")
+        rows = documents.select(
+            "*",
+            F.timestamp_add("MICROSECOND", micros, start).alias("ts"),
+            (n % 101).alias("user_id"),
+            pick((n * 31 + 7) % 5, EVENT_TYPES).alias("event_type"),
+        )
+    else:
+        events = table(spark, sf, "events").select(
+            F.col("event_id").alias("doc_id"), "ts", "user_id", "event_type"
+        )
+        rows = documents.join(events, "doc_id")
     kind, text = F.col("event_type"), F.col("text")
     address = F.concat(
         F.lit("user"), F.col("user_id").cast("string"), F.lit("@"), F.col("source"),
         F.lit(".example.com"),
     )
     prefix = F.when(kind == "error", "URGENT: ").when(kind == "purchase", "asap ").otherwise("")
-    return documents.join(events, "doc_id").select(
+    return rows.select(
         "doc_id",
         (F.col("doc_id") % 7).alias("fmt_no"),
         "source",
@@ -62,20 +77,33 @@ def base(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-BASE = """
+EVENT_TYPES = ["error", "signup", "purchase", "view", "click"]
+
+
+def _base_sql(rows: str) -> str:
+    return f"""
 base AS (
-  SELECT d.doc_id, d.doc_id % 7 AS fmt_no, d.source, d.lang, e.ts AS upload_timestamp,
-    CASE WHEN d.doc_id % 13 = 0 THEN NULL
-         ELSE concat('user', cast(e.user_id AS VARCHAR), '@', d.source, '.example.com') END AS sender,
-    concat(CASE e.event_type WHEN 'error' THEN 'URGENT: ' WHEN 'purchase' THEN 'asap ' ELSE '' END,
-           substring(d.text, 1, 40)) AS subject,
-    CASE WHEN d.doc_id % 11 = 0 THEN concat('Please act immediately. ', d.text) ELSE d.text END AS body,
-    CASE e.event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'COMPLETED' END
+  SELECT doc_id, doc_id % 7 AS fmt_no, source, lang, ts AS upload_timestamp,
+    CASE WHEN doc_id % 13 = 0 THEN NULL
+         ELSE concat('user', cast(user_id AS VARCHAR), '@', source, '.example.com') END AS sender,
+    concat(CASE event_type WHEN 'error' THEN 'URGENT: ' WHEN 'purchase' THEN 'asap ' ELSE '' END,
+           substring(text, 1, 40)) AS subject,
+    CASE WHEN doc_id % 11 = 0 THEN concat('Please act immediately. ', text) ELSE text END AS body,
+    CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PENDING' ELSE 'COMPLETED' END
       AS processing_status
-  FROM documents d JOIN events e ON e.event_id = d.doc_id
+  FROM ({rows})
 )"""
 
 
+BASE = _base_sql("SELECT d.*, e.ts, e.user_id, e.event_type FROM documents d JOIN events e ON e.event_id = d.doc_id")
+SOLO = _base_sql("""
+    SELECT *, doc_id % 101 AS user_id,
+      TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(doc_id % 43200 * 60000000 + doc_id * 7919 % 1000000) AS ts,
+      CASE (doc_id * 31 + 7) % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'signup' WHEN 2 THEN 'purchase'
+        WHEN 3 THEN 'view' ELSE 'click' END AS event_type
+    FROM documents""")
+
+
 # --- raw files --------------------------------------------------------------
 
 NAMES = ["gmail_", "simple_", "campaign_", "exchange_", "note_", "plain_", "other_"]
@@ -197,9 +225,9 @@ def raw_from(b: DataFrame, text: Column) -> DataFrame:
 
 
 @lru_cache(maxsize=64)
-def raw(spark: SparkSession, sf: str) -> DataFrame:
+def raw(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
     """Raw file table; the payload is composed here and parsed again."""
-    b = base(spark, sf)
+    b = base(spark, sf, solo)
     return raw_from(b, payload_text(b)).withColumn("file_content", F.try_parse_json("file_text"))
 
 
@@ -224,9 +252,9 @@ raw AS (
 
 
 @lru_cache(maxsize=64)
-def mails(spark: SparkSession, sf: str) -> DataFrame:
+def mails(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
     """Processed mails: every file that did not fail; some have no body."""
-    b, n = base(spark, sf), F.col("doc_id")
+    b, n = base(spark, sf, solo), F.col("doc_id")
     none = F.lit(0)
     return b.filter(F.col("processing_status") != values.FAILED).select(
         F.concat(F.lit("M"), n.cast("string")).alias("email_id"),
@@ -266,12 +294,12 @@ mails AS (
 
 
 @lru_cache(maxsize=64)
-def summaries(spark: SparkSession, sf: str) -> DataFrame:
+def summaries(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
     """Four summary rows per COMPLETED mail; SENTIMENT only where labelled."""
     labels = table(spark, sf, "labels").select(
         "doc_id", (F.col("quality") - F.col("toxic")).cast("string").alias("feeling")
     )
-    b = base(spark, sf).filter(F.col("processing_status") == values.COMPLETED)
+    b = base(spark, sf, solo).filter(F.col("processing_status") == values.COMPLETED)
     with_label = b.join(labels, "doc_id", "left")
     kinds = F.array(*[F.lit(kind) for kind in values.SUMMARY_TYPES])
     kind, number = F.col("summary_type"), F.col("doc_id").cast("string")
