@@ -44,7 +44,7 @@ def _mail_stream(spark, sf, name):
 def stream_files(spark, sf):
     """New JSON files as a stream."""
     folder = item_files(spark, sf, "new-files")
-    raw = files.stream_raw_files(spark, folder, files_per_trigger=16)
+    raw = files.stream_raw_files(spark, folder, files_per_trigger=100)
     out = work_dir(spark, "streamed-files")
     parsed = parse.parse_mail(raw, keep=["file_path"])
     st.finish(st.append_to(parsed, f"{out}/t", f"{out}/c"))

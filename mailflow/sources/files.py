@@ -62,7 +62,7 @@ def read_text_mail(spark: SparkSession, path: str, pattern: str | None = None) -
 
 
 def stream_raw_files(
-    spark: SparkSession, path: str, pattern: str | None = None, files_per_trigger: int = 1000
+    spark: SparkSession, path: str, pattern: str | None = None, files_per_trigger: int = 10_000
 ) -> DataFrame:
     """New JSON mail files as they appear, each exactly once."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
