@@ -14,15 +14,15 @@ from mailflow.session import work_dir
 from mailflow.sources import files, landing, pull
 
 
-def write_files(rows, folder: str, key: str) -> str:
-    """One text file per row, below a folder named after the row's key."""
+def write_files(rows, folder: str) -> str:
+    """One text file per row."""
     tasks = rows.sparkSession.sparkContext.defaultParallelism
-    rows.repartition(tasks, key).write.partitionBy(key).text(folder)
+    rows.repartition(tasks).write.option("maxRecordsPerFile", 1).text(folder)
     return folder
 
 
-def key_of(path: str = "file_path"):
-    return F.regexp_extract(path, "=([0-9]+)/", 1).cast("bigint")
+def item_number():
+    return F.regexp_extract("file_text", "item([0-9]+)", 1).cast("bigint")
 
 
 def _item_json():
@@ -34,7 +34,8 @@ def _item_json():
             F.col("text").alias("email_text"),
         )
     )
-    return F.when(F.col("item_id") % 9 == 4, F.lit('{"email_text": ')).otherwise(good)
+    broken = F.concat(F.lit('{"sender": "item'), F.col("item_id").cast("string"))
+    return F.when(F.col("item_id") % 9 == 4, broken).otherwise(good)
 
 
 ITEM_MAILS = """
@@ -45,28 +46,27 @@ FROM benchmark"""
 
 
 def item_files(spark, sf, name: str) -> str:
-    items = tb.table(spark, sf, "benchmark").select("item_id", _item_json().alias("value"))
-    return write_files(items, work_dir(spark, name), "item_id")
+    items = tb.table(spark, sf, "benchmark").select(_item_json().alias("value"))
+    return write_files(items, work_dir(spark, name))
 
 
 @query("read_json_mail", ITEM_MAILS)
 def read_json_mail(spark, sf):
     """One JSON file per mail, some of them broken."""
     raw = files.read_json_mail(spark, item_files(spark, sf, "json"))
-    parsed = parse.parse_mail(raw, keep=["file_path"])
-    return parsed.select(key_of().alias("item_id"), "sender_email", "email_body", "status")
+    parsed = parse.parse_mail(raw, keep=["file_text"])
+    return parsed.select(item_number().alias("item_id"), "sender_email", "email_body", "status")
 
 
 @query(
     "read_text_mail",
-    "SELECT item_id, 'raw_text' AS email_format, concat(text, chr(10)) AS email_body FROM benchmark",
+    "SELECT 'raw_text' AS email_format, concat(text, chr(10)) AS email_body FROM benchmark",
 )
 def read_text_mail(spark, sf):
     """One plain text file per mail."""
-    items = tb.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("value"))
-    folder = write_files(items, work_dir(spark, "text"), "item_id")
-    parsed = parse.parse_mail(files.read_text_mail(spark, folder), keep=["file_path"])
-    return parsed.select(key_of().alias("item_id"), "email_format", "email_body")
+    items = tb.table(spark, sf, "benchmark").select(F.col("text").alias("value"))
+    raw = files.read_text_mail(spark, write_files(items, work_dir(spark, "text")))
+    return parse.parse_mail(raw).select("email_format", "email_body")
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mailflow import values
 from mailflow.catalog import testbed as tb
 from mailflow.catalog.enrichment import ALERTS, REALTIME, REALTIME_CTES
-from mailflow.catalog.ingest import ITEM_MAILS, item_files, key_of, write_files
+from mailflow.catalog.ingest import ITEM_MAILS, item_files, item_number, write_files
 from mailflow.catalog.parsing import ALL_SHAPES
 from mailflow.catalog.registry import query
 from mailflow.functions import ids
@@ -46,10 +46,10 @@ def stream_files(spark, sf):
     folder = item_files(spark, sf, "new-files")
     raw = files.stream_raw_files(spark, folder, files_per_trigger=100)
     out = work_dir(spark, "streamed-files")
-    parsed = parse.parse_mail(raw, keep=["file_path"])
+    parsed = parse.parse_mail(raw, keep=["file_text"])
     st.finish(st.append_to(parsed, f"{out}/t", f"{out}/c"))
     return spark.read.schema(parsed.schema).parquet(f"{out}/t").select(
-        key_of().alias("item_id"), "sender_email", "email_body", "status"
+        item_number().alias("item_id"), "sender_email", "email_body", "status"
     )
 
 
@@ -180,8 +180,8 @@ def mail_chain(spark, sf):
     first = mail("page ", F.concat(flagged, F.col("url")))
     reply = mail("reply ", F.col("url"))
     content = F.when(F.col("page_id") % 2 == 0, F.to_json(F.array(first, reply))).otherwise(F.to_json(first))
-    pages = tb.table(spark, sf, "pages").select("page_id", content.alias("value"))
-    folder = write_files(pages, work_dir(spark, "chain-files"), "page_id")
+    pages = tb.table(spark, sf, "pages").select(content.alias("value"))
+    folder = write_files(pages, work_dir(spark, "chain-files"))
     tables = st.run_chain(spark, folder, work_dir(spark, "chain"))
     alerted = tables["alerts"].select("email_id", F.lit(True).alias("alerted"))
     mails = tables["mails"].filter(F.col("status") == values.COMPLETED)

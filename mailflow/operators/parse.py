@@ -46,7 +46,7 @@ def parse_mail(
     """
     content, text = _content(raw)
     carried = [c for c in (keep or []) if c != "file_id"]
-    stored = [n for n in ("file_content", "file_text") if n in raw.columns]
+    stored = [n for n in ("file_content", "file_text") if n in raw.columns and n not in carried]
     routed = raw.select("file_id", *carried, *stored, content.alias("_c")).withColumn(
         "email_format", payload.route_format(F.col("_c"), flat)
     )
