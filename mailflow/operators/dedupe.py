@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow.functions import ids
-from mailflow.operators.lookup import HOT_SHARE, attach
+from mailflow.operators.lookup import HOT_SHARE, SALTS, attach
+
+# Ranks up to this limit are cut before the shuffle (Spark's own threshold).
+CUT_BY_SPARK = 1000
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list, name: str = "_rn") -> DataFrame:
@@ -18,6 +21,26 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list, name: str = "_rn
     return df.withColumn(name, F.row_number().over(first)).filter(F.col(name) == 1).drop(name)
 
 
+def first_per_key(
+    df: DataFrame, keys: list[str], order: list, n: int, spread_by: str
+) -> DataFrame:
+    """The first ``n`` rows per key in the given order.
+
+    Up to a thousand rows Spark cuts each key per task before the shuffle.  For
+    more, every key is ranked in slices first, so that the last step meets at
+    most ``n`` rows per slice of a hot key.
+    """
+
+    def cut(rows: DataFrame, by: list[str]) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("_rn", rank).filter(F.col("_rn") <= n).drop("_rn")
+
+    if n > CUT_BY_SPARK:
+        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+        df = cut(sliced, [*keys, "_slice"]).drop("_slice")
+    return cut(df, keys)
+
+
 def dedupe_exact(mails: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
     """Keep the earliest of mails equal in ``keys``; by default equal content."""
     order = order or [F.col("email_date").asc_nulls_last(), F.col("email_id")]

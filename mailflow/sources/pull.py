@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from mailflow import values
 from mailflow.clock import ago, as_of_column
 from mailflow.functions.payload import domain_of
+from mailflow.operators.dedupe import first_per_key
 from mailflow.operators.lookup import attach
 
 
@@ -35,12 +36,7 @@ def incremental_since(
     ).drop("mark")
     if limit is None:
         return fresh
-    order = Window.partitionBy("domain").orderBy("email_date", "email_id")
-    return (
-        fresh.withColumn("_rn", F.row_number().over(order))
-        .filter(F.col("_rn") <= limit)
-        .drop("_rn")
-    )
+    return first_per_key(fresh, ["domain"], ["email_date", "email_id"], limit, "email_id")
 
 
 def filter_domain(mails: DataFrame, domains) -> DataFrame:

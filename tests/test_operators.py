@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from mailflow import values
 from mailflow.catalog import testbed as tb
@@ -68,6 +68,14 @@ def test_latest_per_key_cuts_before_the_shuffle(spark, skewed):
     assert latest.select("key", "row").exceptAll(expected.select("key", "row")).isEmpty()
 
 
+@pytest.mark.parametrize("n", [3, 1500])
+def test_first_per_key(spark, skewed, n):
+    ours = dedupe.first_per_key(skewed, ["key"], ["row"], n, "row")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("row"))
+    plain = skewed.withColumn("rn", rank).filter(f"rn <= {n} + 0 * hash(rn)").drop("rn")
+    assert ours.count() == plain.count() and ours.exceptAll(plain).isEmpty()
+
+
 def test_dedupe_keeps_the_earliest_and_is_idempotent(spark):
     mails = mail_table(spark, ["a b c", "x", "a b c", None, "x", None])
     once = dedupe.dedupe_exact(mails)
