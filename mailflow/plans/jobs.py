@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailflow import values
-from mailflow.clock import ago, as_of_column
+from mailflow.clock import ago, as_of_column, moment
 from mailflow.operators.dedupe import latest_per_key
 
 
@@ -22,7 +22,7 @@ def job_record(
     batch form always ends COMPLETED.
     """
     failed = F.count_if(F.col("status") == values.FAILED)
-    start, end = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    start, end = moment(start), moment(end)
     label = F.lit(run) if run is not None else start.cast("string")
     return outcomes.agg(
         F.concat(F.lit(f"{job_type}_"), label).alias("job_id"),

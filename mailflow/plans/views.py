@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mailflow import values
-from mailflow.clock import ago, as_of_column
+from mailflow.clock import ago, as_of_column, moment
 from mailflow.functions import payload, urgency
 from mailflow.operators.lookup import few
 
@@ -133,35 +133,40 @@ def format_log(raw: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def _counts(df: DataFrame, **conditions: Column) -> Column:
-    """Several conditional counts over one table as a struct scalar."""
-    aggregates = [F.count_if(c).alias(name) for name, c in conditions.items()]
-    return df.agg(*aggregates).select(F.struct(*conditions)).scalar()
-
-
 def system_health(
     raw: DataFrame, mails: DataFrame, summaries: DataFrame, as_of=None
 ) -> DataFrame:
-    """One row: activity of the last 24 hours and ACTIVE/IDLE from the last."""
+    """One row: activity of the last 24 hours and ACTIVE/IDLE from the last.
+
+    The three tables' times go through one aggregate, cut to the last day first.
+    """
     now = as_of_column(raw, "upload_timestamp", as_of)
     day, hour = ago(now, hours=24), ago(now, hours=1)
-    uploaded = F.col("upload_timestamp")
-    m = _counts(mails, n=F.col("extracted_timestamp") >= day)
-    s = _counts(summaries, n=F.col("created_timestamp") >= day)
-    files = raw.agg(
-        F.count_if(uploaded >= day).alias("files_uploaded_24h"),
-        F.count_if((F.col("processing_status") == values.FAILED) & (uploaded >= day)).alias(
-            "failed_files_24h"
-        ),
-        F.count_if(uploaded >= hour).alias("_last_hour"),
+
+    def recent(df: DataFrame, what: str, time_col: str, failed: Column) -> DataFrame:
+        kept = df.filter(F.col(time_col) >= day)
+        return kept.select(
+            F.lit(what).alias("what"), F.col(time_col).alias("at"), failed.alias("failed")
+        )
+
+    is_failed = F.coalesce(F.col("processing_status") == values.FAILED, F.lit(False))
+    events = (
+        recent(raw, "file", "upload_timestamp", is_failed)
+        .unionByName(recent(mails, "mail", "extracted_timestamp", F.lit(False)))
+        .unionByName(recent(summaries, "summary", "created_timestamp", F.lit(False)))
+    )
+    what = F.col("what")
+    counted = events.agg(
+        F.count_if(what == "file").alias("files_uploaded_24h"),
+        F.count_if(what == "mail").alias("emails_processed_24h"),
+        F.count_if(what == "summary").alias("summaries_created_24h"),
+        F.count_if(F.col("failed")).alias("failed_files_24h"),
+        F.count_if((what == "file") & (F.col("at") >= hour)).alias("_last_hour"),
     )
-    return files.select(
-        "files_uploaded_24h",
-        m["n"].alias("emails_processed_24h"),
-        s["n"].alias("summaries_created_24h"),
-        "failed_files_24h",
-        F.when(F.col("_last_hour") > 0, values.ACTIVE).otherwise(values.IDLE).alias("system_status"),
-        now.alias("last_check_time"),
+    status = F.when(F.col("_last_hour") > 0, values.ACTIVE).otherwise(values.IDLE)
+    return counted.select(
+        "files_uploaded_24h", "emails_processed_24h", "summaries_created_24h", "failed_files_24h",
+        status.alias("system_status"), now.alias("last_check_time"),
     )
 
 
@@ -365,7 +370,7 @@ def sender_rollup(mails: DataFrame, summaries: DataFrame, since) -> DataFrame:
         "email_id", F.col("summary_text").try_cast("double").alias("sentiment")
     )
     return (
-        mails.filter(F.col("email_date") >= F.lit(since).cast("timestamp_ntz"))
+        mails.filter(F.col("email_date") >= moment(since))
         .select("email_id", "sender_email")
         .join(feeling, "email_id")
         .groupBy("sender_email")
@@ -382,7 +387,7 @@ def filter_search(mails: DataFrame, sender=None, since=None, contains=None) -> D
     if sender is not None:
         found = found.filter(F.col("sender_email") == sender)
     if since is not None:
-        found = found.filter(F.col("email_date") >= F.lit(since).cast("timestamp_ntz"))
+        found = found.filter(F.col("email_date") >= moment(since))
     if contains is not None:
         found = found.filter(F.col("email_body").ilike(f"%{contains}%"))
     return found

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailflow import values
+from mailflow.clock import moment
 from mailflow.functions import ids, payload
 
 
@@ -65,7 +66,7 @@ def raw_rows(rows: DataFrame, as_of=None) -> DataFrame:
         "file_name",
         F.lit(None).cast("string").alias("file_path"),
         F.octet_length("file_text").cast("bigint").alias("file_size"),
-        F.lit(uploaded).cast("timestamp_ntz").alias("upload_timestamp"),
+        moment(uploaded).alias("upload_timestamp"),
         content,
         kept_text(content, F.col("file_text")).alias("file_text"),
         F.lit(values.PENDING).alias("processing_status"),
@@ -85,12 +86,12 @@ def processed_rows(mails: DataFrame, as_of=None) -> DataFrame:
     return mails.select(
         ids.row_id(
             "PROC_", F.col("sender_email"), F.col("subject"), F.col("email_body"),
-            F.lit(extracted).cast("string"),
+            moment(extracted).cast("string"),
         ).alias("email_id"),
         "sender_email",
         "subject",
         "email_body",
-        F.lit(extracted).cast("timestamp_ntz").alias("extracted_timestamp"),
+        moment(extracted).alias("extracted_timestamp"),
     )
 
 

@@ -323,3 +323,13 @@ def test_key_violations_counts_rows(spark):
     assert got[("processed_emails.file_id", "reference")] == 1
     assert got[("email_summaries.email_id", "reference")] == 1
     assert sum(got.values()) == 4
+
+
+def test_times_do_not_depend_on_the_machine(spark):
+    from datetime import timezone
+
+    from mailflow.clock import moment
+
+    given = [T0, T0.replace(tzinfo=timezone(timedelta(hours=-5))), "2024-01-01 00:00:00", F.lit(T0.isoformat())]
+    row = spark.range(1).select(*[moment(g).alias(f"t{i}") for i, g in enumerate(given)]).first()
+    assert list(row) == [T0, T0 + timedelta(hours=5), T0, T0]
