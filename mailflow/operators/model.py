@@ -17,6 +17,7 @@ from mailflow.operators.lookup import HOT_SHARE, attach
 def score_with_model(
     mails: DataFrame, scorer: Callable[[pd.Series], pd.Series], prompt: Column,
     allowed: list[str] | None = None, known: DataFrame | None = None, max_chars: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Run a user's scorer over prompts, each distinct prompt once.
 
@@ -25,6 +26,8 @@ def score_with_model(
     answer outside ``allowed`` is an error too.  ``known`` holds earlier results
     (prompt_hash, result); their prompts are not scored again.  ``max_chars``
     caps the prompt where the model has a limit; the default sends it whole.
+    ``tasks`` sets how many tasks score: a slow model needs more than the size of
+    the prompts alone would give.
     """
     asked = prompt if max_chars is None else F.substring(prompt, 1, max_chars)
     prompts = mails.select("email_id", asked.alias("prompt")).withColumn(
@@ -34,6 +37,8 @@ def score_with_model(
         F.first("prompt").alias("prompt"), F.count("*").alias("copies")
     )
     todo = distinct if known is None else distinct.join(known, "prompt_hash", "left_anti")
+    if tasks is not None:
+        todo = todo.repartition(tasks)
 
     def one(text):
         try:

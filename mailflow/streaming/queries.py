@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from mailflow import values
 from mailflow.operators import alerts, enrich, parse
+from mailflow.operators.lookup import SALTS
 from mailflow.plans import jobs
 from mailflow.sources import files, landing
 
@@ -161,10 +162,17 @@ def stream_dedupe(
     mails: DataFrame, keys: list[str], time_col: str, table_dir: str, checkpoint: str,
     watermark: str = "7 days", every: str | None = None,
 ) -> StreamingQuery:
-    """The first mail per key; copies that follow within the watermark are dropped."""
+    """The first mail per key; copies that follow within the watermark are dropped.
+
+    Copies are dropped twice: per slice of the source's tasks, then per key.  So
+    a key with very many copies meets its one state partition with at most one
+    row per slice.
+    """
     _keep_state_on_disk(mails.sparkSession)
     timed = mails.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark)
-    first = timed.dropDuplicatesWithinWatermark(keys).drop("_at")
+    sliced = timed.withColumn("_slice", F.spark_partition_id() % SALTS)
+    once = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
+    first = once.dropDuplicatesWithinWatermark(keys).drop("_at")
     return append_to(first, table_dir, checkpoint, every)
 
 
