@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailflow.catalog import testbed as tb
 from mailflow.catalog.registry import query
-from mailflow.operators import dedupe, quality
+from mailflow.operators import dedupe, parse, quality
 
 BROKEN = """
 SELECT email_id, subject, list_filter([
@@ -85,6 +85,22 @@ def dedupe_by_key(spark, sf):
     return kept.select("email_id", "sender_email", "subject")
 
 
+@query(
+    "dedupe_message_id",
+    tb.sql(tb.SOLO, select="""
+SELECT concat('F', doc_id) AS file_id, concat('m', doc_id // 2) AS message_id,
+  concat('t', doc_id % 50) AS thread_id FROM base
+QUALIFY row_number() OVER (PARTITION BY doc_id // 2
+  ORDER BY date_trunc('milliseconds', upload_timestamp)) = 1"""),
+)
+def dedupe_message_id(spark, sf):
+    """The earliest of the mails parsed with the same message id."""
+    b = tb.base(spark, sf, True)
+    parsed = parse.parse_mail(tb.raw_from(b, tb.api_json(b)))
+    kept = dedupe.dedupe_exact(parsed, ["message_id"])
+    return kept.select("file_id", "message_id", "thread_id")
+
+
 @query(
     "near_duplicates",
     tb.sql(tb.SOLO, tb.MAILS, """

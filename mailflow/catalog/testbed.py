@@ -131,7 +131,8 @@ def api_json(b: DataFrame, body: Column | None = None) -> Column:
             F.lit(values.API).alias("email_type"),
             F.struct(headers.alias("headers"), F.array(part).alias("parts")).alias("payload"),
             millis.cast("string").alias("internalDate"),
-            F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("threadId"),
+            F.concat(F.lit("t"), (F.col("doc_id") % 50).cast("string")).alias("threadId"),
+            F.concat(F.lit("m"), F.floor(F.col("doc_id") / 2).cast("string")).alias("messageId"),
         )
     )
 

@@ -1,4 +1,4 @@
-"""Text measures built from array functions.
+"""Text measures, per row.
 
 Words are runs of ASCII letters in lower case; accented letters separate words.
 """
@@ -57,10 +57,6 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(found, lambda s: F.trim(s)), lambda s: s != "")
 
 
-def content_words(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
-    return F.filter(words(text), lambda w: (F.length(w) >= 3) & ~w.isin(stop_words))
-
-
 def count_in(tokens: Column, vocabulary: list[str]) -> Column:
     """How many tokens belong to the vocabulary (a literal set)."""
     return F.size(F.filter(tokens, lambda w: w.isin(vocabulary)))

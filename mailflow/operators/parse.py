@@ -107,6 +107,8 @@ def parse_mail(
         values.EXCHANGE: payload.iso_time(text_at(c, "$.DateTimeReceived")),
         values.FLAT: F.coalesce(payload.epoch_millis(stamp), payload.iso_time(stamp)),
     }
+    message = {values.API: text_at(c, "$.messageId"), values.FLAT: text_at(c, "$.id")}
+    thread = {values.API: text_at(c, "$.threadId"), values.FLAT: text_at(c, "$.thread_id")}
     attached = F.try_variant_get(c, "$.attachments", schemas.ATTACHMENTS)
     ok = c.isNotNull()
     error = F.when(F.length(F.trim("_text")) == 0, NO_FILE).otherwise(BAD_JSON)
@@ -122,6 +124,8 @@ def parse_mail(
         _by_format(fmt, date, F.lit(None).cast("timestamp_ntz")).alias("email_date"),
         F.when(fmt.isin(values.SIMPLE, values.MARKETING), attached).alias("attachments"),
         F.when(fmt == values.MARKETING, values.MARKETING.upper()).alias("email_classification"),
+        _by_format(fmt, message, nothing).alias("message_id"),
+        _by_format(fmt, thread, nothing).alias("thread_id"),
         F.when(ok, values.COMPLETED).otherwise(values.FAILED).alias("status"),
         F.when(~ok, F.when(F.col("_text").isNull(), NO_FILE).otherwise(error)).alias("error_message"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mailflow import schemas
 from mailflow.operators import alerts
 from mailflow.plans import jobs as job_plans, views
 
@@ -22,6 +23,15 @@ VIEWS = [
 ]
 
 
+def empty_tables(spark: SparkSession) -> list[DataFrame]:
+    """The four base tables without rows, in the order ``register`` takes them."""
+    declared = [
+        schemas.RAW_EMAIL_FILES, schemas.PROCESSED_EMAILS, schemas.EMAIL_SUMMARIES,
+        schemas.PROCESSING_JOBS,
+    ]
+    return [spark.createDataFrame([], schema) for schema in declared]
+
+
 def register(
     spark: SparkSession, raw: DataFrame, mails: DataFrame, summaries: DataFrame, jobs: DataFrame,
     as_of=None,

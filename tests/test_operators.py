@@ -333,3 +333,13 @@ def test_times_do_not_depend_on_the_machine(spark):
     given = [T0, T0.replace(tzinfo=timezone(timedelta(hours=-5))), "2024-01-01 00:00:00", F.lit(T0.isoformat())]
     row = spark.range(1).select(*[moment(g).alias(f"t{i}") for i, g in enumerate(given)]).first()
     assert list(row) == [T0, T0 + timedelta(hours=5), T0, T0]
+
+
+def test_store_in_sql_on_declared_schemas(spark):
+    from mailflow.plans import store
+
+    names = store.register(spark, *store.empty_tables(spark))
+    rows = {n: spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names}
+    always = {"email_processing_stats": 1, "simple_system_health": 1, "recent_errors": 2, "pipeline_status": 3}
+    assert rows == {n: always.get(n, 0) for n in names}
+    assert spark.sql("SELECT system_status FROM simple_system_health").first()[0] == "IDLE"
