@@ -64,7 +64,7 @@ def validation_summary(spark, sf):
     "dedupe_exact",
     tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, email_date FROM mails
-QUALIFY row_number() OVER (PARTITION BY sha256(coalesce(email_body, ''))
+QUALIFY row_number() OVER (PARTITION BY CASE WHEN email_body IS NULL THEN email_id ELSE sha256(email_body) END
   ORDER BY email_date ASC NULLS LAST, email_id) = 1"""),
 )
 def dedupe_exact(spark, sf):
@@ -76,7 +76,8 @@ def dedupe_exact(spark, sf):
     "dedupe_by_key",
     tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, sender_email, subject FROM mails
-QUALIFY row_number() OVER (PARTITION BY sender_email, subject
+QUALIFY row_number() OVER (PARTITION BY sender_email, subject,
+  CASE WHEN sender_email IS NULL AND subject IS NULL THEN email_id END
   ORDER BY email_date ASC NULLS LAST, email_id) = 1"""),
 )
 def dedupe_by_key(spark, sf):
@@ -111,7 +112,7 @@ forms AS (
 )""", select="""
 SELECT email_id, min(email_id) OVER (PARTITION BY form) AS first_id,
   count(*) OVER (PARTITION BY form) AS copies
-FROM forms QUALIFY count(*) OVER (PARTITION BY form) > 1"""),
+FROM forms WHERE form <> '' QUALIFY count(*) OVER (PARTITION BY form) > 1"""),
 )
 def near_duplicates(spark, sf):
     """Mails equal to another one but for case, spacing, quoting, prefixes."""

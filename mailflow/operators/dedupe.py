@@ -42,12 +42,19 @@ def first_per_key(
 
 
 def dedupe_exact(mails: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
-    """Keep the earliest of mails equal in ``keys``; by default equal content."""
+    """Keep the earliest of mails equal in ``keys``; by default equal content.
+
+    A mail without any of the keys, or without content, equals no other one.
+    """
     order = order or [F.col("email_date").asc_nulls_last(), F.col("email_id")]
-    if keys:
-        return latest_per_key(mails, keys, order)
-    hashed = mails.withColumn("_hash", ids.content_hash(F.col("email_body")))
-    return latest_per_key(hashed, ["_hash"], order).drop("_hash")
+    keyed = mails
+    if not keys:
+        keys = ["_hash"]
+        text = F.col("email_body")
+        keyed = mails.withColumn("_hash", F.when(text.isNotNull(), ids.content_hash(text)))
+    own = F.when(F.coalesce(*[F.col(k).cast("string") for k in keys]).isNull(), F.col("email_id"))
+    kept = latest_per_key(keyed.withColumn("_own", own), [*keys, "_own"], order)
+    return kept.drop("_own", "_hash")
 
 
 def normal_form(subject: Column, body: Column) -> Column:
@@ -62,12 +69,12 @@ def normal_form(subject: Column, body: Column) -> Column:
 def near_duplicates(mails: DataFrame) -> DataFrame:
     """Mails that differ from an earlier one only in case, spacing, quoting or
     reply prefixes: each mail of such a group with the group's first mail and
-    size.  Groups are found by hash; no pairs are formed.
+    size.  Groups are found by hash; no pairs are formed.  Mails without any text
+    are left out.
     """
-    marked = mails.select(
-        "email_id",
-        ids.content_hash(normal_form(F.col("subject"), F.col("email_body"))).alias("_form"),
-    )
+    form = normal_form(F.col("subject"), F.col("email_body"))
+    forms = mails.select("email_id", form.alias("_text")).filter(F.col("_text") != "")
+    marked = forms.select("email_id", ids.content_hash(F.col("_text")).alias("_form"))
     groups = (
         marked.groupBy("_form")
         .agg(F.min("email_id").alias("first_id"), F.count("*").alias("copies"))

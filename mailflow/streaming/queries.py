@@ -166,13 +166,16 @@ def stream_dedupe(
 
     Copies are dropped twice: per slice of the source's tasks, then per key.  So
     a key with very many copies meets its one state partition with at most one
-    row per slice.
+    row per slice.  Mails without any of the keys are only dropped when they are
+    equal in every column.
     """
     _keep_state_on_disk(mails.sparkSession)
     timed = mails.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark)
-    sliced = timed.withColumn("_slice", F.spark_partition_id() % SALTS)
-    once = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
-    first = once.dropDuplicatesWithinWatermark(keys).drop("_at")
+    no_key = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNull()
+    whole = F.when(no_key, F.sha2(F.to_json(F.struct(*mails.columns)), 256))
+    sliced = timed.withColumn("_whole", whole).withColumn("_slice", F.spark_partition_id() % SALTS)
+    once = sliced.dropDuplicatesWithinWatermark([*keys, "_whole", "_slice"]).drop("_slice")
+    first = once.dropDuplicatesWithinWatermark([*keys, "_whole"]).drop("_at", "_whole")
     return append_to(first, table_dir, checkpoint, every)
 
 

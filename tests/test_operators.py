@@ -79,8 +79,9 @@ def test_first_per_key(spark, skewed, n):
 def test_dedupe_keeps_the_earliest_and_is_idempotent(spark):
     mails = mail_table(spark, ["a b c", "x", "a b c", None, "x", None])
     once = dedupe.dedupe_exact(mails)
-    assert sorted(r.email_id for r in once.collect()) == ["M0000", "M0001", "M0003"]
-    assert dedupe.dedupe_exact(once).count() == 3
+    assert sorted(r.email_id for r in once.collect()) == ["M0000", "M0001", "M0003", "M0005"]
+    assert dedupe.dedupe_exact(once).count() == 4
+    assert dedupe.dedupe_exact(mails.withColumn("message_id", F.lit(None)), ["message_id"]).count() == 6
 
 
 def test_near_duplicates(spark):

@@ -79,12 +79,16 @@ def test_interval_trigger(spark, tmp_path):
 
 def test_dedupe_across_batches(spark, tmp_path):
     folder = str(tmp_path / "t")
-    rows = spark.sql("SELECT string(id % 3) AS k, timestamp_ntz'2024-01-01 00:00:00' AS at FROM range(9)")
+    rows = spark.sql(
+        "SELECT CASE WHEN id < 9 THEN string(id % 3) END AS k, id % 2 AS x,"
+        " timestamp_ntz'2024-01-01 00:00:00' AS at FROM range(12)"
+    )
     for batch in range(3):
         landing.write_batch(rows, folder, batch)
     stream = st.table_stream(spark, folder, rows.schema, 1)
     st.finish(st.stream_dedupe(stream, ["k"], "at", str(tmp_path / "o"), str(tmp_path / "c")))
-    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["0", "1", "2"]
+    kept = [(r.k or "", r.x if r.k is None else 0) for r in spark.read.parquet(str(tmp_path / "o")).collect()]
+    assert sorted(kept) == [("", 0), ("", 1), ("0", 0), ("1", 0), ("2", 0)]
 
 
 def test_chain_on_an_empty_inbox(spark, tmp_path):
