@@ -73,13 +73,21 @@ def near_duplicates(mails: DataFrame) -> DataFrame:
     are left out.
     """
     form = normal_form(F.col("subject"), F.col("email_body"))
-    forms = mails.select("email_id", form.alias("_text")).filter(F.col("_text") != "")
-    marked = forms.select("email_id", ids.content_hash(F.col("_text")).alias("_form"))
+    marked = mails.select(
+        "email_id", ids.content_hash(form).alias("_form"), (form != "").alias("_text")
+    )
+    # Testing for text after grouping keeps the form from being computed once
+    # more for a filter below.
     groups = (
         marked.groupBy("_form")
-        .agg(F.min("email_id").alias("first_id"), F.count("*").alias("copies"))
-        .filter("copies > 1")
+        .agg(
+            F.min("email_id").alias("first_id"), F.count("*").alias("copies"),
+            F.bool_or("_text").alias("_some"),
+        )
+        .filter("copies > 1 AND _some")
+        .drop("_some")
     )
+    marked = marked.drop("_text")
     total = marked.select(F.count("*")).scalar()
     hot = groups.filter(F.col("copies") * HOT_SHARE > total).select("_form")
     found = attach(marked, groups, ["_form"], spread_by="email_id", hot=hot)

@@ -354,14 +354,21 @@ def dashboard_rows(mails: DataFrame, summaries: DataFrame, n: int = 15) -> DataF
 
 
 def dashboard_kpis(rows: DataFrame, as_of=None) -> DataFrame:
-    """Figures over dashboard rows."""
-    now = as_of_column(rows, "created_timestamp", as_of)
-    return rows.agg(
+    """Figures over the result of ``dashboard_rows``.
+
+    Those are the n rows of a top-n step; their times are kept side by side to
+    compare with the latest one, so that the rows are computed once.
+    """
+    counted = rows.agg(
         F.count("*").alias("total_emails"),
         F.count_if(F.col("urgency_level") == "HIGH").alias("urgent_emails"),
         F.round(F.avg("sentiment_score"), 2).alias("avg_sentiment"),
-        F.count_if(F.col("created_timestamp") >= ago(now, hours=1)).alias("last_hour"),
+        F.max("created_timestamp").alias("_latest"),
+        F.collect_list("created_timestamp").alias("_times"),
     )
+    now = F.col("_latest") if as_of is None else moment(as_of)
+    last_hour = F.size(F.filter("_times", lambda t: t >= ago(now, hours=1))).cast("bigint")
+    return counted.select("total_emails", "urgent_emails", "avg_sentiment", last_hour.alias("last_hour"))
 
 
 def sender_rollup(mails: DataFrame, summaries: DataFrame, since) -> DataFrame:
