@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailflow.llm import vectors
+from mailflow.llm import linechunks, mixing, repeats, sharding, vectors
 from mailflow.llm.store import table
 from mailflow.session import prepare
 
@@ -33,3 +33,32 @@ def query(name: str, sql: str | None = None):
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors within a label."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
+@query("op3_mix_sources")
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document so that sources meet their targets."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), "doc_id", "text", "source", [3, 1, 2])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_repeated_units", repeats.repeats_sql())
+def op6_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the units that occurred before."""
+    found = repeats.drop_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ";")
+    return found.withColumn("removed", spans)
+
+
+@query("op7_shards")
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal bytes."""
+    return sharding.shards(table(spark, sf_dir, "documents"), "doc_id", "text", 24)
+
+
+@query("op8_line_chunks", linechunks.chunks_sql())
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that occurred before."""
+    found = linechunks.drop_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("+", s["first"], s["n"])), ";")
+    return found.withColumn("removed", spans)
