@@ -38,7 +38,7 @@ def unit_interval(*parts: Column) -> Column:
 
 
 def duel(units: Column, seed: Column) -> Column:
-    """Pivotal rounding along a sorted array of (size, h, doc_id, p): each step pairs the
+    """Pivotal rounding along an array, sorted from large to small, of (size, h, doc_id, p): each step pairs the
     undecided unit with the next and moves mass between them at random until one of them
     is 0 or 1.  Sums of p and each unit's expectation stay.  Returns all units, the
     undecided one last."""
@@ -65,7 +65,7 @@ def duel(units: Column, seed: Column) -> Column:
         )
 
     begin = F.struct(unit(F.get(units, F.lit(0)), F.get(units, F.lit(0))["p"]).alias("open"), F.slice(units, 1, 0).alias("done"))
-    return F.aggregate(F.slice(units, 2, 2147483647), begin, step, lambda s: F.concat(s["done"], F.array(s["open"])))
+    return F.aggregate(F.slice(units, F.lit(2), F.size(units)), begin, step, lambda s: F.concat(s["done"], F.array(s["open"])))
 
 
 def mix(
@@ -76,8 +76,8 @@ def mix(
     A document of a source is wanted target / source_size times.  The whole part is given,
     the fraction is rounded by the pivotal method in a reduction tree: units of one source
     and size first (by hash, 64 at a time), then residuals of neighbouring sizes, up to one
-    unit per source, which is drawn.  So the taken words differ from a target by little
-    more than one document.  Draws depend on key, size and ``seed`` only: reruns agree.
+    unit per source, which is drawn.  Sizes fall along each array, so what is left open is
+    small; the taken words differ from a target by about one large document at most.  Draws depend on key, size and ``seed`` only: reruns agree.
 
     Returns doc_id, size (words), source_size, target, taken, copies, source.  A null or
     empty text has no words and is taken 0 times; the null source is a source; null keys
@@ -105,11 +105,11 @@ def mix(
     steps += [(s, 0) for s in range(FAN, max(1, (longest or 0).bit_length()) + FAN, FAN)]
     for level, (shift, b) in enumerate(steps):
         group = ["source", F.shiftright("size", shift).alias("k1"), (F.shiftright("h", 62 - b) if b else F.lit(0)).alias("k2")]
-        gathered = open_.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("size", "h", "doc_id", "p"))).alias("units"))
+        gathered = open_.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("size", "h", "doc_id", "p")), asc=False).alias("units"))
         # the array is named twice below, which keeps Spark from computing it per element
         rounded = gathered.withColumn("units", F.when(F.size("units") > 1, duel(F.col("units"), F.lit(seed + level))).otherwise(F.col("units")))
-        placed = stored(rounded.select("source", F.posexplode("units").alias("i", "u"), F.size("units").alias("n")).select(
-            "source", "u.*", (F.col("i") < F.col("n") - 1).alias("done")), "rounded")
+        placed = stored(rounded.select("source", F.posexplode("units").alias("i", "one"), F.size("units").alias("n")).select(
+            "source", "one.*", (F.col("i") < F.col("n") - 1).alias("done")), "rounded")
         decided.append(placed.where("done").select("doc_id", "source", "size", "p"))
         open_ = placed.where("NOT done").select("doc_id", "source", "size", "p", "h")
     drawn = F.when(unit_interval(F.lit(seed), F.lit("last"), F.col("h")) < F.col("p"), 1.0).otherwise(0.0)
