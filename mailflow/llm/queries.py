@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailflow.llm import linechunks, mixing, repeats, sharding, vectors
+from mailflow.llm import fingerprints, linechunks, mixing, repeats, sharding, vectors
 from mailflow.llm.store import table
 from mailflow.session import prepare
 
@@ -62,3 +62,9 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linechunks.drop_chunks(table(spark, sf_dir, "documents"), "doc_id", "text")
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("+", s["first"], s["n"])), ";")
     return found.withColumn("removed", spans)
+
+
+@query("op9_weighted_fingerprints")
+def op9_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fingerprint of every text and of its edited form, and how alike they are."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
