@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailflow.llm import fingerprints, linechunks, mixing, repeats, sharding, vectors
+from mailflow.llm import fingerprints, linechunks, mixing, packing, pages, repeats, sharding, vectors
 from mailflow.llm.store import table
 from mailflow.session import prepare
 
@@ -68,3 +68,22 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fingerprint of every text and of its edited form, and how alike they are."""
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def vocabulary() -> tuple[str, str]:
+    """The 50k byte-level BPE as ranks, and how it cuts words."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query("op4_packed_sequences")
+def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenized, in sequences of 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), "doc_id", "text", *vocabulary())
+
+
+@query("op10_main_text")
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return pages.main_texts(table(spark, sf_dir, "pages"), "page_id", "url", "html")
