@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailflow.llm import fingerprints, linechunks, mixing, packing, pages, repeats, sharding, vectors
+from mailflow.llm import fingerprints, jaccard, linechunks, mixing, packing, pages, repeats, sharding, toxicity, vectors
 from mailflow.llm.store import table
 from mailflow.session import prepare
 
@@ -87,3 +87,17 @@ def op4_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     return pages.main_texts(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
+@query("op2_toxic_spans")
+def op2_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels outside the held-out third."""
+    documents = table(spark, sf_dir, "documents")
+    field = toxicity.learn(documents, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+    return toxicity.score_toxicity(documents, field, "doc_id", "text")
+
+
+@query("op5_ngram_jaccard")
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents alike in at least 75 % of their five-word shingles."""
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), "doc_id", "text")
