@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from mailflow.llm.spans import U, Words, slices
+from mailflow.llm.spans import U, Words, mix, slices
 
 SAMPLE = 5_000  # labelled documents a model is learnt from, at most
 TRAIN = 400  # of each label, for the field's weights
@@ -112,15 +112,35 @@ def forward_backward(emission: np.ndarray, doc: np.ndarray, moves: np.ndarray, s
     return single, pair[~first[1:]]
 
 
+def families(texts: pa.Array) -> np.ndarray:
+    """A number per text, mostly equal for copies and near copies: by the least hash of two
+    neighbouring words.  Copies are one witness, not many."""
+    least = np.arange(len(texts), dtype=U)
+    for a, b, offsets, data in slices(texts):
+        words = Words(offsets, data)
+        h = words.hashed(words.end)
+        with np.errstate(over="ignore"):
+            two = mix(h[:-1] * U(3) + h[1:])
+        same = words.doc[1:] == words.doc[:-1]
+        low = np.full(b - a, np.iinfo(U).max, U)
+        np.minimum.at(low, words.doc[1:][same], two[same])
+        least[a:b] = np.where(low == np.iinfo(U).max, least[a:b], low)
+    return np.unique(least, return_inverse=True)[1]
+
+
 def telling(texts: pa.Array, toxic: np.ndarray) -> np.ndarray:
     """Features of words that toxic documents have and others do not, beyond chance: the
     Chernoff bound on so many toxic ones among their documents is below 1 % over all features."""
     pairs: list[list[np.ndarray]] = [[] for _ in range(1 + len(PREFIXES))]
+    family = families(texts)
+    bad_family = np.zeros(family.max() + 1 if len(family) else 0)
+    np.maximum.at(bad_family, family, toxic)
+    toxic = bad_family
     for a, _, offsets, data in slices(texts):
         words = Words(offsets, data)
         for kind, column in enumerate(features(words)):
-            order = np.lexsort((words.doc, column))
-            f, d = column[order], words.doc[order] + a
+            order = np.lexsort((family[words.doc + a], column))
+            f, d = column[order], family[words.doc[order] + a]
             new = np.ones(len(f), bool)
             new[1:] = (f[1:] != f[:-1]) | (d[1:] != d[:-1])
             new &= f != 0
@@ -132,8 +152,10 @@ def telling(texts: pa.Array, toxic: np.ndarray) -> np.ndarray:
             continue
         f, d = np.concatenate(kind, axis=1)
         names, at = np.unique(f, return_inverse=True)
+        one = np.unique(np.stack([at, d.astype(np.int64)]), axis=1)  # a family in several slices
+        at, d = one[0], one[1]
         on = np.bincount(at, minlength=len(names))
-        bad = np.bincount(at, weights=toxic[d.astype(np.int64)], minlength=len(names))
+        bad = np.bincount(at, weights=toxic[d], minlength=len(names))
         share = np.clip(bad / np.maximum(on, 1), 1e-9, 1 - 1e-9)
         gain = on * (share * np.log(share / rate) + (1 - share) * np.log((1 - share) / (1 - rate)))
         out.append(names[(share >= 0.9) & (gain >= math.log(max(len(names), 1) / 0.01))])
