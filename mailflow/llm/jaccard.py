@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow.llm.graph import components
 from mailflow.llm.spans import U, Words, mix, slices
@@ -143,15 +143,34 @@ def bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common."""
+def need(x: Column, y: Column, percent: int) -> Column:
+    """Shingles that the rarest ones of sets of x and y shingles must have in common.
+
+    The set whose rarest shingles end first in the common order can meet the other's only
+    among those, and in its remaining ceil(share x) - 1.  So of the overlap that the
+    similarity asks for, ceil(share (x + y) / (1 + share)), all but max(ceil(share x),
+    ceil(share y)) - 1 lie there, and one at least."""
+    overlap = F.ceil(F.lit(percent) * (x + y) / (100.0 + percent) - 1e-9)
+    return F.greatest(F.lit(1), overlap - F.greatest(F.ceil(percent * x / 100.0 - 1e-9), F.ceil(percent * y / 100.0 - 1e-9)) + 1)
+
+
+def similar(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common.
+    Only texts that stand for a class of the pairs are read again."""
+    pairs = stored(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    ids = stored(ids.join(classes, "c").select(F.col("rep").alias("doc_id")), "wanted")
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS)).alias("bit")
+    shown = texts.select("doc_id", "text", bit).mapInArrow(
+        arrays(size, bitmap(ids.select(bit))), "doc_id long, c long, tokens array<long>"
+    )
+    known = stored(shown.join(ids, "doc_id", "left_semi").select("c", "tokens"), "arrays")
     one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(one, "a").join(two, "b")
     common = F.size(F.array_intersect("ta", "tb"))
-    return both.withColumn("common", common).where(
-        100 * F.col("common") >= percent * (F.size("ta") + F.size("tb") - F.col("common"))
-    ).select("a", "b")
+    both = both.select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("total"))
+    return stored(both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b"), "similar")
 
 
 def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
@@ -159,10 +178,10 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
 
     Equal sets are one class.  A class sends its rarest shingles (``prefixes``); what meets
     is compared first with one leader per shingle, which partitions similar classes into
-    groups.  The matrix then holds each group's union of shingles.  For a class and another
-    group that meet in a shingle, its overlap with the union bounds its overlap with any
-    member; only groups that reach the bound are opened, and only members that meet the
-    class themselves are compared, exactly.  Pairs within a group are never formed.
+    groups.  The matrix then holds the union of each group's rarest shingles.  A class's
+    overlap with the union bounds its overlap with any member; only groups that reach what
+    ``need`` asks for at the group's sizes are opened, and only members that reach it
+    themselves are compared, on whole sets.  Pairs within a group are never formed.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable).  Texts with fewer
     words than ``size`` have their whole sequence as one shingle; null and empty texts have
@@ -170,7 +189,7 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     that repeat a key are one document to its links.  Other columns are not looked at.
     Shingles and sets are told apart by 64-bit hashes.
     """
-    share, spark = percent / 100, rows.sparkSession
+    share = percent / 100
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = stored(given.mapInArrow(sized(size), "doc_id long, n long, c long"), "sets")
     linked = sets.where("n > 0 AND doc_id IS NOT NULL")
@@ -188,45 +207,40 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     met = sent.withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w)).where("lo < hi")
     posts = stored(met.select("token", "c").distinct(), "posts")
 
-    active = stored(posts.select("c").distinct().join(classes, "c").select("c", "rep", "n"), "active")
-    bit = lambda name: F.pmod(F.xxhash64(name), F.lit(1 << BITS)).alias("bit")
-    wanted = bitmap(active.select(bit("rep")))
-    shown = texts.select("doc_id", "text", bit("doc_id")).mapInArrow(arrays(size, wanted), "doc_id long, c long, tokens array<long>")
-    known = stored(shown.join(active.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("c", "tokens"), "arrays")
+    active = stored(posts.select("c").distinct().join(classes, "c").select("c", "n"), "active")
 
     edges, groups = None, active.select("c", F.col("c").alias("g"))
     for step in range(rounds):
         placed = posts.join(groups, "c")
-        lead = placed.groupBy("token").agg(
-            F.min_by("g", F.xxhash64("g", F.lit(step))).alias("leader"), F.min("g").alias("one"), F.max("g").alias("two")
-        ).where("one < two")
+        lead = placed.where("c = g").groupBy("token").agg(F.min_by("g", F.xxhash64("g", F.lit(step))).alias("leader"))
         pairs = placed.join(lead, "token").where("g <> leader").groupBy("c", "leader").agg(F.count("*").alias("k"))
+        pairs = pairs.join(active, "c").join(active.select(F.col("c").alias("leader"), F.col("n").alias("m")), "leader")
+        pairs = pairs.where(F.col("k") >= need(F.col("n"), F.col("m"), percent))
         best = pairs.groupBy("c").agg(F.max_by("leader", F.struct("k", "leader")).alias("b")).select(F.col("c").alias("a"), "b")
-        found = stored(similar(best, known, percent), "led")
+        found = similar(best, texts, classes, size, percent)
         edges = found if edges is None else edges.unionByName(found)
         named = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
         groups = stored(
-            active.select("c").join(named, F.col("c") == F.col("node"), "left").select("c", F.coalesce("component", "c").alias("g")),
+            active.join(named, F.col("c") == F.col("node"), "left").select("c", "n", F.coalesce("component", "c").alias("g")),
             "groups",
         )
 
     # a class asks the groups of smaller name; the other direction is asked by their members
     placed = posts.join(groups, "c")
     lists = placed.groupBy("token").agg(F.min("g").alias("one"), F.max("g").alias("two")).where("one < two").select("token")
-    placed = stored(placed.join(lists, "token"), "matrix")
+    placed = stored(placed.join(lists, "token").select("token", "c", "g", "n"), "matrix")
     matrix = placed.select("token", F.col("g").alias("other")).distinct()
-    asked = stored(placed.join(matrix, "token").where("other < g").select("c", "other").distinct(), "asked")
-    cells = groups.join(asked.select(F.col("other").alias("g")).distinct(), "g", "left_semi").join(known, "c")
-    cells = cells.select(F.col("g").alias("other"), F.explode("tokens").alias("token")).distinct()
-    bound = asked.join(known, "c").select("c", "other", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    bound = bound.join(cells, ["other", "token"]).groupBy("c", "other", "n").agg(F.count("*").alias("overlap"))
-    opened = bound.where(100 * F.col("overlap") >= percent * F.col("n")).select("c", "other", "n")
-    members = placed.select("token", F.col("c").alias("b"), F.col("g").alias("other"))
-    members = members.join(active.select(F.col("c").alias("b"), F.col("n").alias("m")), "b")
+    sizes = groups.groupBy(F.col("g").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    asked = placed.join(matrix, "token").where("other < g").groupBy("c", "n", "other").agg(F.count("*").alias("k")).join(sizes, "other")
+    low, high = F.greatest("low", F.col("n") * share), F.least("high", F.col("n") / share)
+    enough = F.col("k") >= F.least(need(F.col("n"), F.ceil(low - 1e-9), percent), need(F.col("n"), F.floor(high + 1e-9), percent))
+    opened = stored(asked.where((low <= high + 1e-9) & enough).select("c", "other"), "opened")
+    members = placed.select("token", F.col("c").alias("b"), F.col("g").alias("other"), F.col("n").alias("m"))
+    near = placed.select("token", "c", "n").join(opened, "c").join(members, ["token", "other"])
+    near = near.groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
     fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
-    near = placed.select("token", "c").join(opened, "c").join(members, ["token", "other"]).where(fits)
-    near = near.select(F.col("c").alias("a"), "b").distinct()
-    edges = edges.unionByName(stored(similar(near, known, percent), "crossed"))
+    near = near.where(fits & (F.col("k") >= need(F.col("n"), F.col("m"), percent)))
+    edges = edges.unionByName(similar(near.select(F.col("c").alias("a"), "b"), texts, classes, size, percent))
 
     named = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     labelled = classes.join(named, F.col("c") == F.col("node"), "left").select("c", "rep", F.coalesce("component", "c").alias("g"))

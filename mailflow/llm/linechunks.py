@@ -55,7 +55,7 @@ def with_chunks(rows: DataFrame) -> DataFrame:
     return cut.withColumn("chunks", chunks).drop("spans", "bodies", "ends")
 
 
-def drop_chunks(rows: DataFrame, key: str, text: str) -> DataFrame:
+def drop_chunks(rows: DataFrame, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
     """Keep the first occurrence of each chunk of two or more lines, by ``key`` and then
     by place; remove the others.  DataFrame functions only.
 
@@ -66,9 +66,10 @@ def drop_chunks(rows: DataFrame, key: str, text: str) -> DataFrame:
     as no lines and stays null; empty texts have one empty line and stay; chunks under
     40 code points stay.  Rows without a key are returned unchanged, rows that
     repeat a key are read as one document each and keep the same chunks.  Other columns
-    of ``rows`` are not looked at.
+    of ``rows`` are not looked at; those named in ``keep`` are carried along.
     """
-    given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    carried = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep or [])]
+    given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *carried)
     multi = F.filter("chunks", lambda c: c["digest"].isNotNull())
     own = F.array_distinct(F.transform(multi, lambda c: F.struct(c["digest"].alias("digest"), c["body"].alias("body"))))
     found = with_chunks(given.where(F.col("doc_id").isNotNull())).select("doc_id", F.explode(own).alias("c"))
@@ -93,7 +94,7 @@ def drop_chunks(rows: DataFrame, key: str, text: str) -> DataFrame:
         F.when(F.size("removed") > 0, F.array_join(left, "\n")).otherwise(F.col("text")).alias("text"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
         F.aggregate("removed", F.lit(0), lambda a, r: a + r["n"]).cast("long").alias("n_removed"),
-        "removed",
+        "removed", *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep or [])],
     )
 
 
