@@ -215,7 +215,8 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
         lead = placed.where("c = g").groupBy("token").agg(F.min_by("g", F.xxhash64("g", F.lit(step))).alias("leader"))
         pairs = placed.join(lead, "token").where("g <> leader").groupBy("c", "leader").agg(F.count("*").alias("k"))
         pairs = pairs.join(active, "c").join(active.select(F.col("c").alias("leader"), F.col("n").alias("m")), "leader")
-        pairs = pairs.where(F.col("k") >= need(F.col("n"), F.col("m"), percent))
+        fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
+        pairs = pairs.where(fits & (F.col("k") >= need(F.col("n"), F.col("m"), percent)))
         best = pairs.groupBy("c").agg(F.max_by("leader", F.struct("k", "leader")).alias("b")).select(F.col("c").alias("a"), "b")
         found = similar(best, texts, classes, size, percent)
         edges = found if edges is None else edges.unionByName(found)
