@@ -16,12 +16,13 @@ def successors(values: DataFrame, low: int, high: int) -> DataFrame:
     """(v, after): each of the distinct whole numbers and the next larger one, null for
     the last.  Numbers are ordered within ranges of 512, ranges within ranges of ranges,
     so no window holds more than 512 rows however the numbers lie."""
-    ranged = values.withColumn("g", F.shiftright("v", WIDTH))
+    group = F.shiftright(F.col("v") - F.lit(low), WIDTH)
+    ranged = values.withColumn("g", group)
     inner = ranged.withColumn("after", F.lead("v").over(Window.partitionBy("g").orderBy("v")))
-    if low >> WIDTH == high >> WIDTH:
+    if (high - low) >> WIDTH == 0:
         return inner.select("v", "after")
-    firsts = values.groupBy(F.shiftright("v", WIDTH).alias("g")).agg(F.min("v").alias("first"))
-    above = successors(firsts.select(F.col("g").alias("v")), low >> WIDTH, high >> WIDTH)
+    firsts = values.groupBy(group.alias("g")).agg(F.min("v").alias("first"))
+    above = successors(firsts.select(F.col("g").alias("v")), 0, (high - low) >> WIDTH)
     above = above.select(F.col("v").alias("g"), F.col("after").alias("h"))
     entry = above.join(firsts.select(F.col("g").alias("h"), "first"), "h", "left").select("g", "first")
     return inner.join(entry, "g").select("v", F.coalesce("after", "first").alias("after"))

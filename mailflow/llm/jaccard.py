@@ -12,7 +12,7 @@ from mailflow.llm.graph import components
 from mailflow.llm.spans import U, Words, mix, slices
 from mailflow.llm.store import stored
 
-ORDER_SAMPLE = 4096  # documents whose shingles tell which are frequent; the order costs or saves time only
+ORDER_SAMPLE = 16_384  # documents whose shingles tell which are frequent; the order costs or saves time only
 FREQUENT = 1 << 17  # frequent shingles known at most
 BITS = 23  # of the filter of documents whose shingles are needed again: 1 MB
 FACTORS = mix(np.arange(1, 65, dtype=U)) | U(1)
