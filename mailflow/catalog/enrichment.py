@@ -268,7 +268,7 @@ def analyze_rows(spark, sf):
 
 REALTIME_CTES = [
     tb.SOLO, tb.MAILS, BOTH, sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
-    class_sql(enrich.CLASS_RULES, "substring(email_body, 1, 500)"),
+    class_sql(enrich.CLASS_RULES),
 ]
 REALTIME = """
 SELECT t.email_id, brief, sentiment, email_classification
@@ -291,7 +291,7 @@ ORDER BY extracted_timestamp, email_id LIMIT 10"""),
 )
 def pending_enrichment(spark, sf):
     """The next ten mails without a BRIEF."""
-    due = enrich.pending_enrichment(tb.mails(spark, sf), tb.summaries(spark, sf))
+    due = enrich.pending_enrichment(tb.mails(spark, sf), tb.summaries(spark, sf), limit=values.ENRICH_BATCH)
     return due.select("email_id", "extracted_timestamp")
 
 

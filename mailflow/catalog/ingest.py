@@ -9,6 +9,7 @@ from mailflow import values
 from mailflow.catalog import testbed as tb
 from mailflow.catalog.registry import query
 from mailflow.clock import ago
+from mailflow.functions import payload
 from mailflow.operators import parse
 from mailflow.session import work_dir
 from mailflow.sources import files, landing, pull
@@ -74,15 +75,28 @@ def read_text_mail(spark, sf):
     tb.sql(tb.SOLO, select="""
 SELECT concat('F', doc_id) AS file, 0 AS batch_pos, sender AS sender_email, body AS email_body FROM base
 UNION ALL
-SELECT concat('F', doc_id), 1, 'copy@example.com', subject FROM base WHERE doc_id % 3 = 0"""),
+SELECT concat('F', doc_id), 1, 'copy@example.com', subject FROM base WHERE doc_id % 3 = 0
+UNION ALL
+SELECT concat('F', doc_id, k), 0, NULL, NULL FROM base, (VALUES ('-none'), ('-cut'), ('-tail')) t(k) WHERE doc_id % 10 = 0"""),
 )
 def explode_mail_batch(spark, sf):
-    """Every third file is an array of two mails."""
+    """Every third file is an array of two mails; beside every tenth lie an empty
+    array, one cut off, and one with text behind it, which are kept as they are."""
     b = tb.base(spark, sf, True)
     mail = F.struct(F.col("sender"), F.col("body").alias("email_text"))
     copy = F.struct(F.lit("copy@example.com").alias("sender"), F.col("subject").alias("email_text"))
     text = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.array(mail, copy))).otherwise(F.to_json(mail))
-    raw = tb.raw_from(b, text).withColumn("file_content", F.try_parse_json("file_text"))
+    raw = tb.raw_from(b, text)
+    odd = F.array(*[
+        F.struct(F.concat("file_id", F.lit(k)).alias("id"), t.alias("text"))
+        for k, t in [
+            ("-none", F.lit("[]")), ("-cut", F.concat(F.lit("["), F.col("file_text"), F.lit(", {"))),
+            ("-tail", F.concat(F.lit("["), F.col("file_text"), F.lit("] behind"))),
+        ]
+    ])
+    tenth = raw.filter(F.substring("file_id", 2, 20).cast("bigint") % 10 == 0).withColumn("_odd", F.explode(odd))
+    tenth = tenth.withColumn("file_id", F.col("_odd.id")).withColumn("file_text", F.col("_odd.text")).select(raw.columns)
+    raw = raw.unionByName(tenth).withColumn("file_content", payload.parse_whole(F.col("file_text")))
     exploded = files.explode_mail_batch(raw)
     parsed = parse.parse_mail(exploded, keep=["batch_pos"])
     return parsed.select(
@@ -166,20 +180,23 @@ def parse_rfc822(spark, sf):
 @query(
     "incremental_since",
     tb.sql(tb.BASE, tb.MAILS, """
-dated AS (SELECT email_id, email_date, extracted_timestamp, lower(split_part(sender_email, '@', -1)) AS domain FROM mails),
-marks AS (SELECT domain, max(email_date) AS mark FROM dated, now
-  WHERE email_date IS NOT NULL AND extracted_timestamp < now.t - INTERVAL 24 HOUR GROUP BY domain)""",
+dated AS (SELECT email_id, email_date, lower(split_part(sender_email, '@', -1)) AS domain,
+  extracted_timestamp < now.t - INTERVAL 24 HOUR AS done FROM mails, now),
+marks AS (SELECT domain AS marked, email_date AS mark_date, email_id AS mark_id FROM dated WHERE done AND email_date IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY domain ORDER BY email_date DESC, email_id DESC) = 1)""",
            select="""
-SELECT d.email_id, d.email_date, d.domain FROM dated d LEFT JOIN marks m ON m.domain = d.domain
-WHERE d.email_date > coalesce(m.mark, (SELECT max(email_date) FROM mails) - INTERVAL 7 DAY)
-QUALIFY row_number() OVER (PARTITION BY d.domain ORDER BY d.email_date, d.email_id) <= 5"""),
+SELECT email_id, email_date, domain FROM dated LEFT JOIN marks ON marked IS NOT DISTINCT FROM domain
+WHERE CASE WHEN email_date IS NULL THEN NOT done
+  WHEN mark_date IS NULL THEN email_date > (SELECT max(email_date) FROM mails) - INTERVAL 7 DAY
+  ELSE email_date > mark_date OR (email_date = mark_date AND email_id > mark_id) END
+QUALIFY row_number() OVER (PARTITION BY domain ORDER BY email_date NULLS LAST, email_id) <= 5"""),
 )
 def incremental_since(spark, sf):
     """The next five mails per domain after what was processed a day ago."""
     mails = tb.mails(spark, sf)
     now = mails.select(F.max("extracted_timestamp")).scalar()
     processed = mails.filter(F.col("extracted_timestamp") < ago(now, hours=24))
-    fresh = pull.incremental_since(mails, processed, limit=5)
+    fresh = pull.incremental_since(mails, processed, fallback_days=7, limit=5)
     return fresh.select("email_id", "email_date", "domain")
 
 
@@ -237,7 +254,7 @@ SELECT email_id, length(email_body) AS n_before, length(substring(email_body, 1,
 def truncate_body(spark, sf):
     """Bodies capped at the declared 50,000 characters."""
     mails = tb.mails(spark, sf, True).withColumn("whole", F.col("email_body"))
-    capped = pull.truncate_body(mails)
+    capped = pull.truncate_body(mails, values.BODY_CAP)
     return capped.select(
         "email_id",
         F.length("whole").cast("bigint").alias("n_before"),

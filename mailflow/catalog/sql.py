@@ -33,29 +33,38 @@ FROM email_ai_insights GROUP BY email_classification""")
 @query(
     "sql_validation",
     tb.sql(tb.BASE, tb.MAILS, select="""
-SELECT email_id, subject FROM mails
-WHERE sender_email IS NULL OR coalesce(subject, '') = '' OR email_body IS NULL OR length(email_body) < 10
-  OR email_date IS NULL"""),
+SELECT count(*) AS mails, count(*) FILTER (n > 0) AS with_errors, cast(sum(n) AS BIGINT) AS errors
+FROM (SELECT cast(sender_email IS NULL AS INT) + cast(coalesce(subject, '') = '' AS INT)
+  + cast(coalesce(length(email_body), 0) < 10 AS INT) + cast(email_date IS NULL AS INT) AS n FROM mails)"""),
 )
 def sql_validation(spark, sf):
-    """Mails with validation errors, from the mail table."""
+    """How many mails have validation errors, and how many errors there are."""
     return _run(spark, sf, """
-SELECT email_id, subject FROM processed_emails WHERE array_size(validation_errors) > 0""")
+SELECT count(*) AS mails, count_if(size(validation_errors) > 0) AS with_errors,
+  sum(CAST(greatest(size(validation_errors), 0) AS BIGINT)) AS errors FROM processed_emails""")
 
 
 @query(
     "sql_sender_sentiment",
     tb.sql(tb.BASE, tb.MAILS, tb.SUMMARIES, select="""
-SELECT sender_email, count(*) AS email_count, round(avg(cast(summary_text AS DOUBLE)), 6) AS avg_sentiment
+SELECT lower(split_part(sender_email, '@', -1)) AS domain, count(DISTINCT sender_email) AS senders,
+  count(*) FILTER (cast(summary_text AS DOUBLE) < 0) AS negative_mails, round(min(cast(summary_text AS DOUBLE)), 6) AS lowest
 FROM mails JOIN summaries USING (email_id)
-WHERE summary_type = 'SENTIMENT' AND email_date >= TIMESTAMP '2023-11-01 00:00:00' GROUP BY sender_email"""),
+WHERE summary_type = 'SENTIMENT' AND email_date >= (SELECT max(email_date) FROM mails) - INTERVAL 3 DAY
+GROUP BY ALL"""),
 )
 def sql_sender_sentiment(spark, sf):
-    """Mails and sentiment per sender, from the two tables."""
+    """Bad moods of the last three days per sender domain."""
     return _run(spark, sf, """
-SELECT sender_email, count(*) AS email_count, round(avg(CAST(summary_text AS DOUBLE)), 6) AS avg_sentiment
-FROM processed_emails pe JOIN email_summaries es ON pe.email_id = es.email_id
-WHERE es.summary_type = 'SENTIMENT' AND email_date >= '2023-11-01' GROUP BY sender_email""")
+WITH lately AS (
+  SELECT email_id, sender_email, lower(substring_index(sender_email, '@', -1)) AS domain FROM processed_emails
+  WHERE email_date >= (SELECT max(email_date) - INTERVAL 3 DAYS FROM processed_emails)
+), moods AS (
+  SELECT email_id, CAST(summary_text AS DOUBLE) AS mood FROM email_summaries WHERE summary_type = 'SENTIMENT'
+)
+SELECT domain, count(DISTINCT sender_email) AS senders, count_if(mood < 0) AS negative_mails,
+  round(min(mood), 6) AS lowest
+FROM lately JOIN moods USING (email_id) GROUP BY domain""")
 
 
 @query(

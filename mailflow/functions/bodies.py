@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -15,6 +16,9 @@ from mailflow.functions.arrays import let
 # ones go to ``_deep_body``.
 TREE_DEPTH = 3
 
+_PLAIN = str.maketrans("-_", "+/", "\r\n")
+_BASE64 = re.compile("[A-Za-z0-9+/]*")
+
 
 def decode_base64url(data: Column) -> Column:
     """URL-safe base64 to text, padded and in lines or not; NULL where it does
@@ -60,26 +64,47 @@ def _deeper(parts: Column, depth: int) -> Column:
     )
 
 
+def _decoded(data: str) -> str:
+    """As ``decode_base64url``; a marker where it does not decode."""
+    plain = data.translate(_PLAIN).rstrip("=")
+    if len(plain) % 4 == 1 or not _BASE64.fullmatch(plain):
+        return values.BAD_CONTENT
+    return base64.b64decode(plain + "=" * (-len(plain) % 4)).decode("utf-8")
+
+
+def _parts_of(node) -> list:
+    parts = node.get("parts") if isinstance(node, dict) else None
+    return parts if isinstance(parts, list) else []
+
+
+def _text_data(node) -> str | None:
+    """Data of a text/plain part, read as the column expressions read it."""
+    body = node.get("body")
+    data = body.get("data") if isinstance(body, dict) else None
+    if node.get("mimeType") != "text/plain" or data is None:
+        return None
+    return data if isinstance(data, str) else json.dumps(data, separators=(",", ":"))
+
+
 @F.pandas_udf(T.StringType())
 def _deep_body(payloads: pd.Series) -> pd.Series:
-    """First text/plain leaf of trees deeper than the column expressions go."""
+    """First text/plain part of trees deeper than the column expressions go."""
 
     def first_plain(text):
         if text is None:
             return None
-        stack = [json.loads(text)]
-        while stack:
-            node = stack.pop()
-            if not isinstance(node, dict):
-                continue
-            data = (node.get("body") or {}).get("data")
-            if node.get("mimeType") == "text/plain" and data is not None:
-                try:
-                    raw = base64.urlsafe_b64decode(str(data).rstrip("=") + "===")
-                    return raw.decode("utf-8")
-                except ValueError:
-                    return values.BAD_CONTENT
-            stack.extend(reversed(node.get("parts") or []))
+        try:
+            stack = _parts_of(json.loads(text))[::-1]
+            while stack:
+                node = stack.pop()
+                if not isinstance(node, dict):
+                    continue
+                data = _text_data(node)
+                if data is not None:
+                    return _decoded(data)
+                stack.extend(reversed(_parts_of(node)))
+        except Exception:  # one bad message must not stop the batch
+            return values.BAD_CONTENT
         return values.NO_CONTENT
 
     return payloads.map(first_plain)

@@ -5,6 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from mailflow import schemas, values
+from mailflow.functions.arrays import let
+
+END = "end of the text"
+
+
+def parse_whole(text: Column) -> Column:
+    """JSON text as a VARIANT; NULL unless the whole text is one JSON value.
+
+    The parser by itself stops after the first value, so the text is parsed as the
+    first of two elements, of which the second must be found in its place.
+    """
+
+    def first(pair: Column) -> Column:
+        ended = F.try_variant_get(pair, "$[1]", "string") == F.lit(END)
+        more = F.try_variant_get(pair, "$[2]", "variant").isNotNull()
+        return F.when(ended & ~more, F.try_variant_get(pair, "$[0]", "variant"))
+
+    return let(F.try_parse_json(F.concat(F.lit("["), text, F.lit(f', "{END}"]'))), first)
 
 
 def text_at(content: Column, path: str) -> Column:
@@ -112,14 +130,16 @@ def epoch_millis(text: Column) -> Column:
 
 
 def iso_time(text: Column) -> Column:
-    return text.try_cast("timestamp").cast("timestamp_ntz")
+    """ISO time that names its day; a bare time of day would depend on today."""
+    dated = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}"), text)
+    return dated.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def header_time(text: Column) -> Column:
-    """Mail ``Date`` header: day, month name, year, time and zone."""
+    """Mail ``Date`` header: day, month name, year, time (seconds or not) and zone."""
     plain = F.regexp_replace(
         F.regexp_replace(text, "^ *[A-Za-z]{3}, *", ""), r" *\([^)]*\) *$", ""
     )
-    zoned = F.try_to_timestamp(plain, F.lit("d MMM yyyy HH:mm:ss Z"))
-    named = F.try_to_timestamp(plain, F.lit("d MMM yyyy HH:mm:ss z"))
-    return F.coalesce(zoned, named).cast("timestamp_ntz")
+    forms = [f"d MMM yyyy {clock} {zone}" for clock in ("HH:mm:ss", "HH:mm") for zone in "Zz"]
+    read = [F.try_to_timestamp(plain, F.lit(form)) for form in forms]
+    return F.coalesce(*read).cast("timestamp_ntz")

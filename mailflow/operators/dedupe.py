@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow.functions import ids
@@ -44,7 +46,8 @@ def first_per_key(
 def dedupe_exact(mails: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
     """Keep the earliest of mails equal in ``keys``; by default equal content.
 
-    A mail without any of the keys, or without content, equals no other one.
+    A mail that lacks one of the keys, or its content, equals no other one, as SQL
+    equality has it.
     """
     order = order or [F.col("email_date").asc_nulls_last(), F.col("email_id")]
     keyed = mails
@@ -52,7 +55,8 @@ def dedupe_exact(mails: DataFrame, keys: list[str] | None = None, order: list |
         keys = ["_hash"]
         text = F.col("email_body")
         keyed = mails.withColumn("_hash", F.when(text.isNotNull(), ids.content_hash(text)))
-    own = F.when(F.coalesce(*[F.col(k).cast("string") for k in keys]).isNull(), F.col("email_id"))
+    lacking = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    own = F.when(lacking, F.col("email_id"))
     kept = latest_per_key(keyed.withColumn("_own", own), [*keys, "_own"], order)
     return kept.drop("_own", "_hash")
 

@@ -242,10 +242,10 @@ FULL_COLUMNS = {
 REALTIME_COLUMNS = {values.BRIEF: "brief", values.SENTIMENT: "sentiment"}
 
 
-def analyze_realtime(mails: DataFrame) -> DataFrame:
-    """BRIEF, SENTIMENT and class (from the first 500 characters) per mail."""
+def analyze_realtime(mails: DataFrame, first_chars: int | None = None) -> DataFrame:
+    """BRIEF, SENTIMENT and class per mail; ``first_chars`` caps the text that is classed."""
     body = F.col("email_body")
-    opening = F.substring(body, 1, values.CLASSIFY_CAP)
+    opening = body if first_chars is None else F.substring(body, 1, first_chars)
     return mails.filter(body.isNotNull()).select(
         "email_id",
         text.summaries(body, {"s": BRIEF_SENTENCES})["s"].alias("brief"),
@@ -256,10 +256,10 @@ def analyze_realtime(mails: DataFrame) -> DataFrame:
 
 def pending_enrichment(
     mails: DataFrame, summaries: DataFrame, status: str = "ALL",
-    limit: int | None = values.ENRICH_BATCH, raw: DataFrame | None = None,
+    limit: int | None = None, raw: DataFrame | None = None,
 ) -> DataFrame:
     """Mails with a body and no BRIEF yet; optionally only those whose raw file
-    has the given status; the first ``limit`` by time and id."""
+    has the given status, and only the first ``limit`` by time and id."""
     done = summaries.filter(F.col("summary_type") == values.BRIEF).select("email_id")
     due = mails.filter(F.col("email_body").isNotNull()).join(done, "email_id", "left_anti")
     if status != "ALL":

@@ -33,6 +33,8 @@ def score_with_model(
     prompts = mails.select("email_id", asked.alias("prompt")).withColumn(
         "prompt_hash", ids.content_hash(F.col("prompt"))
     )
+    if known is not None:
+        known = known.groupBy("prompt_hash").agg(F.min("result").alias("result"))
     distinct = prompts.groupBy("prompt_hash").agg(
         F.first("prompt").alias("prompt"), F.count("*").alias("copies")
     )

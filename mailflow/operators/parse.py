@@ -32,7 +32,7 @@ def _content(raw: DataFrame) -> tuple[Column, Column]:
         text = F.coalesce("file_text", F.to_json(content)) if "file_text" in stored else F.to_json(content)
         return content, text
     source = "file_text" if "file_text" in stored else "file_content"
-    return F.try_parse_json(source), F.col(source)
+    return payload.parse_whole(F.col(source)), F.col(source)
 
 
 def parse_mail(
@@ -148,9 +148,9 @@ def headers_map(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def pending_files(
-    raw: DataFrame, pattern: str = ".*", limit: int | None = values.PARSE_BATCH
+    raw: DataFrame, pattern: str = ".*", limit: int | None = None
 ) -> DataFrame:
-    """The next PENDING files whose whole name matches the pattern."""
+    """The PENDING files whose whole name matches the pattern, or the next ``limit``."""
     due = raw.filter(
         (F.col("processing_status") == values.PENDING)
         & F.col("file_name").rlike(f"^(?:{pattern})$")
@@ -159,9 +159,9 @@ def pending_files(
 
 
 def parse_batch(
-    raw: DataFrame, pattern: str = ".*", limit: int | None = values.PARSE_BATCH, **options
+    raw: DataFrame, pattern: str = ".*", limit: int | None = None, **options
 ) -> DataFrame:
-    """Parse the next batch of pending files; ``limit=None`` takes them all."""
+    """Parse the pending files, or the next ``limit`` of them."""
     return parse_mail(pending_files(raw, pattern, limit), **options)
 
 

@@ -105,10 +105,13 @@ def cosine(a: Column, b: Column) -> Column:
 def search_vectors(
     vectors: DataFrame, query_id, n: int = 10, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
-    """The ``n`` vectors nearest to a stored one by cosine, itself excluded."""
+    """The ``n`` vectors nearest to a stored one by cosine, itself excluded.
+
+    An id that is not stored has no neighbours; vectors without a cosine are none.
+    """
     query = vectors.filter(F.col(id_col) == query_id).select(F.first(vector_col)).scalar()
     others = vectors.filter(F.col(id_col) != query_id).withColumn("_query", query)
     scored = others.select(
         id_col, F.round(cosine(F.col(vector_col), F.col("_query")), 6).alias("similarity")
     )
-    return scored.orderBy(F.col("similarity").desc_nulls_last(), id_col).limit(n)
+    return scored.filter("similarity IS NOT NULL").orderBy(F.desc("similarity"), id_col).limit(n)

@@ -25,13 +25,19 @@ def _newest(df: DataFrame, time_col: str, n: int, *ties: str) -> DataFrame:
 
 
 def processing_overview(
-    raw: DataFrame, mails: DataFrame, summaries: DataFrame, ordered: bool = True
+    raw: DataFrame, mails: DataFrame, summaries: DataFrame, ordered: bool = False
 ) -> DataFrame:
-    """Every raw file with its mail and BRIEF where they exist, newest first."""
+    """Every raw file with its mail and BRIEF where they exist, ``ordered`` newest first.
+
+    Mails meet their BRIEF first, on an id that none lacks; files without a mail then
+    have no missing key to meet on.
+    """
+    told = mails.select("file_id", "email_id", "subject", "sender_email", "email_date").join(
+        _briefs(summaries, "confidence_score"), "email_id", "left"
+    )
     view = (
         raw.select("file_id", "file_name", "upload_timestamp", "processing_status")
-        .join(mails.select("file_id", "email_id", "subject", "sender_email", "email_date"), "file_id", "left")
-        .join(_briefs(summaries, "confidence_score"), "email_id", "left")
+        .join(told, "file_id", "left")
         .select(
             "file_name", "upload_timestamp", "processing_status", "subject", "sender_email",
             "email_date", "brief_summary", "confidence_score",
@@ -354,21 +360,15 @@ def dashboard_rows(mails: DataFrame, summaries: DataFrame, n: int = 15) -> DataF
 
 
 def dashboard_kpis(rows: DataFrame, as_of=None) -> DataFrame:
-    """Figures over the result of ``dashboard_rows``.
-
-    Those are the n rows of a top-n step; their times are kept side by side to
-    compare with the latest one, so that the rows are computed once.
-    """
+    """Figures over the result of ``dashboard_rows``, or any table of that form."""
+    now = as_of_column(rows, "created_timestamp", as_of)
     counted = rows.agg(
         F.count("*").alias("total_emails"),
         F.count_if(F.col("urgency_level") == "HIGH").alias("urgent_emails"),
         F.round(F.avg("sentiment_score"), 2).alias("avg_sentiment"),
-        F.max("created_timestamp").alias("_latest"),
-        F.collect_list("created_timestamp").alias("_times"),
+        F.count_if(F.col("created_timestamp") >= ago(now, hours=1)).alias("last_hour"),
     )
-    now = F.col("_latest") if as_of is None else moment(as_of)
-    last_hour = F.size(F.filter("_times", lambda t: t >= ago(now, hours=1))).cast("bigint")
-    return counted.select("total_emails", "urgent_emails", "avg_sentiment", last_hour.alias("last_hour"))
+    return counted
 
 
 def sender_rollup(mails: DataFrame, summaries: DataFrame, since) -> DataFrame:

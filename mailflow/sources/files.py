@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailflow import values
 from mailflow.functions import ids
-from mailflow.functions.payload import header_time
+from mailflow.functions.payload import header_time, parse_whole
+
+# Texts up to this size always fit one VARIANT.
+VARIANT_BYTES = 16 << 20
+
 
 def _metadata():
     return [
@@ -51,7 +55,7 @@ def read_json_mail(spark: SparkSession, path: str, pattern: str | None = None) -
     Spark lists no files of zero length, so an empty file gives no row.
     """
     files = _whole_files(spark.read, path, pattern)
-    return _as_raw_rows(files, F.try_parse_json("file_text"))
+    return _as_raw_rows(files, parse_whole(F.col("file_text")))
 
 
 def read_text_mail(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -67,7 +71,7 @@ def stream_raw_files(
     """New JSON mail files as they appear, each exactly once."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
     files = _whole_files(reader, path, pattern)
-    return _as_raw_rows(files, F.try_parse_json("file_text"))
+    return _as_raw_rows(files, parse_whole(F.col("file_text")))
 
 
 def explode_mail_batch(raw: DataFrame) -> DataFrame:
@@ -75,23 +79,26 @@ def explode_mail_batch(raw: DataFrame) -> DataFrame:
 
     ``batch_pos`` is the element's place; rows from an array get their own file
     id so that the mails stay distinguishable, and no copy of the file's text.
-    An array too large for one VARIANT is read element by element.
+    An empty array gives one row without content that keeps the text, so that the
+    file gets a status.  Text that is no JSON as a whole is kept in one row; only
+    arrays too large for one VARIANT are read element by element, and counted.
     """
     rest = [c for c in raw.columns if c not in ("file_content", "file_id", "file_text")]
     content, text = F.col("file_content"), F.col("file_text")
-    elements = F.coalesce(
-        F.try_variant_get(content, "$", "array<variant>"),
-        F.when(
-            content.isNull() & F.ltrim(text).startswith("["), F.from_json(text, "array<variant>")
-        ),
-    )
+    large = content.isNull() & (F.octet_length(text) > VARIANT_BYTES) & F.rtrim(text).endswith("]")
+    listed = F.when(large, F.from_json(text, "array<variant>"))
+    whole = F.when(F.size(listed) == F.json_array_length(text), listed)
+    elements = F.coalesce(F.try_variant_get(content, "$", "array<variant>"), whole)
     batch = F.col("_elements").isNotNull()
+    filled = F.coalesce(F.size("_elements") > 0, F.lit(False))
     exploded = raw.withColumn("_elements", elements).select(
         F.col("file_id").alias("_file"),
         *rest,
-        F.when(~batch, text).alias("file_text"),
-        batch.alias("_batch"),
-        F.posexplode(F.coalesce("_elements", F.array(content))).alias("batch_pos", "file_content"),
+        F.when(~filled, text).alias("file_text"),
+        filled.alias("_batch"),
+        F.posexplode(
+            F.when(filled, F.col("_elements")).when(batch, F.array(F.lit(None).cast("variant"))).otherwise(F.array(content))
+        ).alias("batch_pos", "file_content"),
     )
     own_id = F.when(F.col("_batch"), F.concat_ws("#", "_file", "batch_pos"))
     return exploded.select(
@@ -110,6 +117,14 @@ def read_rfc822(spark: SparkSession, path: str, pattern: str = "*.eml") -> DataF
     return files.select(F.col("path").alias("message_id"), "content")
 
 
+def _text(data: bytes, charset: str | None) -> str:
+    """The part's text in its own charset; UTF-8 where none or no known one is named."""
+    try:
+        return data.decode(charset or "utf-8", errors="ignore")
+    except LookupError:
+        return data.decode("utf-8", errors="ignore")
+
+
 def _parse_message(content: bytes) -> dict:
     message = message_from_bytes(content)
     plain = next((p for p in message.walk() if p.get_content_type() == "text/plain"), None)
@@ -124,7 +139,7 @@ def _parse_message(content: bytes) -> dict:
         "sender": header("From"),
         "subject": header("Subject"),
         "date_header": header("Date"),
-        "body": (data or b"").decode("utf-8", errors="ignore"),
+        "body": _text(data or b"", part.get_content_charset() if part is not None else None),
     }
 
 

@@ -61,7 +61,7 @@ def raw_rows(rows: DataFrame, as_of=None) -> DataFrame:
     file_text; upload_timestamp is taken from the rows or from ``as_of``."""
     uploaded = F.col("upload_timestamp") if "upload_timestamp" in rows.columns else as_of
     content = F.col("file_content")
-    return rows.withColumn("file_content", F.try_parse_json("file_text")).select(
+    return rows.withColumn("file_content", payload.parse_whole(F.col("file_text"))).select(
         ids.row_id("EMAIL_", F.col("file_name"), F.col("file_text")).alias("file_id"),
         "file_name",
         F.lit(None).cast("string").alias("file_path"),

@@ -14,29 +14,40 @@ from mailflow.operators.lookup import attach
 
 
 def incremental_since(
-    incoming: DataFrame, processed: DataFrame, as_of=None, fallback_days: int = 7,
+    incoming: DataFrame, processed: DataFrame, as_of=None, fallback_days: int | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Mails later than their domain's high-water mark.
 
-    The mark is the latest mail date already processed for the sender's domain;
-    a domain without any gets ``fallback_days``.  ``limit`` caps the mails taken
-    per domain, oldest first, so a later pull goes on where this one stopped.
+    The mark is the latest (date, id) already processed for the sender's domain, so
+    mails that share a time are told apart; mails without a sender share one mark.
+    A domain without a mark is taken whole, or from ``fallback_days`` on.  Undated
+    mails have no place in that order: those not processed yet are taken.  ``limit``
+    caps the mails taken per domain, oldest first and undated last, so a later pull
+    goes on where this one stopped.
     """
-    now = as_of_column(incoming, "email_date", as_of)
+    # an "@" cannot be part of a domain, so it stands for mails without a sender
+    key = F.coalesce(domain_of(F.col("sender_email")), F.lit("@"))
+    place = F.struct("email_date", "email_id")
     marks = (
         processed.filter(F.col("email_date").isNotNull())
-        .groupBy(domain_of(F.col("sender_email")).alias("domain"))
-        .agg(F.max("email_date").alias("mark"))
+        .groupBy(key.alias("_key"))
+        .agg(F.max(place).alias("_mark"))
     )
-    dated = incoming.withColumn("domain", domain_of(F.col("sender_email")))
-    marked = attach(dated, marks, ["domain"], spread_by="email_id")
-    fresh = marked.filter(
-        F.col("email_date") > F.coalesce("mark", ago(now, days=fallback_days))
-    ).drop("mark")
+    dated = incoming.filter(F.col("email_date").isNotNull()).withColumn("_key", key)
+    marked = attach(dated, marks, ["_key"], spread_by="email_id")
+    unmarked = F.lit(True)
+    if fallback_days is not None:
+        unmarked = F.col("email_date") > ago(as_of_column(incoming, "email_date", as_of), days=fallback_days)
+    later = F.when(F.col("_mark").isNull(), unmarked).otherwise(place > F.col("_mark"))
+    done = processed.filter(F.col("email_date").isNull()).select("email_id")
+    undated = incoming.filter(F.col("email_date").isNull()).join(done, "email_id", "left_anti")
+    fresh = marked.filter(later).select(incoming.columns).unionByName(undated.select(incoming.columns))
+    fresh = fresh.withColumn("domain", domain_of(F.col("sender_email")))
     if limit is None:
         return fresh
-    return first_per_key(fresh, ["domain"], ["email_date", "email_id"], limit, "email_id")
+    order = [F.col("email_date").asc_nulls_last(), "email_id"]
+    return first_per_key(fresh, ["domain"], order, limit, "email_id")
 
 
 def filter_domain(mails: DataFrame, domains) -> DataFrame:
@@ -70,7 +81,7 @@ def filter_mail(
     return kept
 
 
-def truncate_body(mails: DataFrame, n: int = values.BODY_CAP) -> DataFrame:
+def truncate_body(mails: DataFrame, n: int) -> DataFrame:
     """Cap the body at ``n`` characters (a store setting, off by default)."""
     return mails.withColumn("email_body", F.substring("email_body", 1, n))
 

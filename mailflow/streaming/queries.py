@@ -103,13 +103,13 @@ def stream_parse(
 
 def stream_enrich(
     mails: DataFrame, summaries_dir: str, classes_dir: str, jobs_dir: str, checkpoint: str,
-    every: str | None = None,
+    every: str | None = None, first_chars: int | None = None,
 ) -> StreamingQuery:
     """BRIEF and SENTIMENT rows and the class of new mails that have a body."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = _now()
-        analysed = landing.write_batch(enrich.analyze_realtime(batch), classes_dir, batch_id)
+        analysed = landing.write_batch(enrich.analyze_realtime(batch, first_chars), classes_dir, batch_id)
         now = F.current_timestamp()
         tall = enrich.summary_rows(analysed, enrich.REALTIME_COLUMNS, now)
         landing.write_batch(tall, summaries_dir, batch_id)

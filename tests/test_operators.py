@@ -267,6 +267,36 @@ def test_incremental_pull_goes_on_where_it_stopped(spark):
     assert len(seen) == 20 and all(len(v) == 1 for v in seen.values())
 
 
+def test_pulls_of_equal_times_undated_and_senderless_mails_lose_nothing(spark):
+    mails = mail_table(spark, [f"b{i}" for i in range(24)])
+    number = F.substring("email_id", 2, 4).cast("int")
+    mails = mails.withColumn("email_date", F.when(number % 4 != 3, F.lit(T0).cast("timestamp_ntz"))).withColumn(
+        "sender_email", F.when(number % 3 != 2, F.lit("x@one.org"))
+    )
+    done, seen = mails.limit(0), []
+    for _ in range(6):
+        ids = [r.email_id for r in pull.incremental_since(mails, done, limit=5).collect()]
+        seen += ids
+        done = mails.filter(F.col("email_id").isin(seen))
+    assert sorted(seen) == [r.email_id for r in mails.orderBy("email_id").collect()]
+    assert pull.incremental_since(mails, done).isEmpty()
+
+
+def test_a_missing_key_equals_nothing(spark):
+    mails = mail_table(spark, ["one", "two", "three"]).withColumn("sender_email", F.lit("x@one.org"))
+    mails = mails.withColumn("subject", F.lit(None).cast("string"))
+    assert dedupe.dedupe_exact(mails, ["sender_email", "subject"]).count() == 3
+    assert dedupe.dedupe_exact(mails, ["sender_email"]).count() == 1
+
+
+def test_vector_search_needs_a_stored_vector(spark):
+    vectors = spark.createDataFrame(
+        [(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0])], "vec_id long, embedding array<float>"
+    )
+    assert search.search_vectors(vectors, 9).isEmpty()
+    assert [r.vec_id for r in search.search_vectors(vectors, 1).collect()] == [2]
+
+
 def test_domain_filter(spark):
     mails = mail_table(spark, ["a"] * 3)
     assert pull.filter_domain(mails, "all").count() == 3

@@ -176,6 +176,52 @@ def test_body_markers(spark, message, expected):
     assert parse.extract_body(raw).first().body == expected
 
 
+@pytest.mark.parametrize("levels", [1, 6])
+@pytest.mark.parametrize("part, expected", [
+    ({"mimeType": "text/plain", "body": {"data": "????"}}, values.BAD_CONTENT),
+    ({"mimeType": "text/plain", "body": {"data": "aGk!"}}, values.BAD_CONTENT),
+    ({"mimeType": "text/plain", "body": {"data": "_w"}}, values.BAD_CONTENT),
+    ({"mimeType": "text/plain", "body": {"data": "aG\nk="}}, "hi"),
+    ({"mimeType": "text/plain", "body": "str"}, values.NO_CONTENT),
+    ({"mimeType": "text/plain", "body": {"data": None}, "parts": 7}, values.NO_CONTENT),
+    ("no object", values.NO_CONTENT),
+])
+def test_a_part_reads_the_same_at_any_depth(spark, levels, part, expected):
+    tree = nest(part, levels)
+    raw = spark.createDataFrame([("f", json.dumps({"payload": tree}))], "file_id string, file_text string")
+    assert parse.extract_body(raw).first().body == expected
+
+
+def test_only_whole_arrays_are_split(spark):
+    texts = ["[]", '[{"email_text": "a"}] behind', '[{"email_text": "a"}, {', '[{"email_text": "a"}]']
+    raw = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "file_id string, file_text string")
+    rows = parse.parse_mail(files.explode_mail_batch(raw.withColumn("file_content", payload.parse_whole(F.col("file_text")))))
+    found = {(r.file_id, r.email_body, r.status) for r in rows.collect()}
+    assert found == {("f0", None, "FAILED"), ("f1", None, "FAILED"), ("f2", None, "FAILED"), ("f3#0", "a", "COMPLETED")}
+
+
+@pytest.mark.parametrize("text, whole", [
+    ('{"a": 1}', True), (' [1, 2]\n', True), ("null", True), ('{"a": 1} behind', False), ('{"a": 1}\n{"a": 2}', False),
+    ("1, 2", False), ("1], [2", False), ("", False), ("{oops", False),
+])
+def test_only_whole_texts_are_json(spark, text, whole):
+    df = spark.createDataFrame([(text,)], "t string").select(payload.parse_whole(F.col("t")).isNotNull())
+    assert df.first()[0] is whole
+
+
+def test_times_name_their_day(spark):
+    df = spark.createDataFrame([("12:30",), ("2024-03-05T12:30:00",)], "t string").select(payload.iso_time(F.col("t")))
+    assert [r[0] for r in df.collect()] == [None, datetime(2024, 3, 5, 12, 30)]
+    df = spark.createDataFrame([("Tue, 5 Mar 2024 14:07 +0000",)], "d string")
+    assert df.select(payload.header_time(F.col("d"))).first()[0] == datetime(2024, 3, 5, 14, 7)
+
+
+def test_text_parts_are_read_in_their_charset(spark):
+    mail = "From: a@b.c\r\nContent-Type: text/plain; charset=ISO-8859-1\r\n\r\ncafé".encode("latin-1")
+    raw = spark.createDataFrame([("m", bytearray(mail))], "message_id string, content binary")
+    assert files.parse_rfc822(raw).first().body == "café"
+
+
 def test_files_and_arrays(spark, tmp_path):
     (tmp_path / "two.json").write_text('[{"email_text": "one"}, {"raw_text": "two"}]')
     (tmp_path / "one.json").write_text('{"email_text": "three"}')
