@@ -199,6 +199,16 @@ def test_each_prompt_is_scored_once_and_errors_stay_in_their_row(spark):
     assert seen.value <= 4
 
 
+def test_answers_known_twice_give_one_row_a_mail(spark):
+    mails = mail_table(spark, ["a", "b"])
+    first = model.score_with_model(mails, lambda texts: texts.str.upper(), F.col("email_body"))
+    known = first.select("prompt_hash", "result").filter("result = 'A'")
+    again = model.score_with_model(
+        mails, lambda texts: texts.str.upper(), F.col("email_body"), known=known.unionByName(known)
+    )
+    assert sorted(r.result for r in again.collect()) == ["A", "B"]
+
+
 def test_classifier_learns_separable_classes(spark):
     bodies = [("invoice payment due" if i % 2 else "dinner with family") + f" n{i}" for i in range(60)]
     mails = mail_table(spark, bodies).withColumn("text", F.col("email_body"))
