@@ -77,7 +77,7 @@ def dedupe_exact(spark, sf):
     tb.sql(tb.SOLO, tb.MAILS, select="""
 SELECT email_id, sender_email, subject FROM mails
 QUALIFY row_number() OVER (PARTITION BY sender_email, subject,
-  CASE WHEN sender_email IS NULL AND subject IS NULL THEN email_id END
+  CASE WHEN sender_email IS NULL OR subject IS NULL THEN email_id END
   ORDER BY email_date ASC NULLS LAST, email_id) = 1"""),
 )
 def dedupe_by_key(spark, sf):
