@@ -6,13 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mailflow.session import work_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back: the lineage ends here, a lost executor
-    costs nothing, and Spark knows the table's size when it plans later joins."""
-    path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    costs nothing, and Spark knows the table's size when it plans later joins.  Shuffle
+    files of the write go with its end, as nothing asks for them again."""
+    spark = df.sparkSession
+    path = work_dir(spark, f"llm-{name}")
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
