@@ -13,7 +13,8 @@ from mailflow.llm.spans import U, Words, mix, slices
 from mailflow.llm.store import stored
 
 ORDER_SAMPLE = 16_384  # documents whose shingles tell which are frequent; the order costs or saves time only
-FREQUENT = 1 << 17  # frequent shingles known at most
+FREQUENT = 1 << 17  # frequent shingles known at most, of the sample and of all documents
+MISSED = 4  # documents that send a shingle the sample did not show to be frequent
 BITS = 23  # of the filter of documents whose shingles are needed again: 1 MB
 FACTORS = mix(np.arange(1, 65, dtype=U)) | U(1)
 
@@ -133,6 +134,33 @@ def arrays(size: int, wanted: np.ndarray):
     return run
 
 
+def frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of (token, count), at most ``FREQUENT``, by token.  A histogram of
+    eight steps per doubling tells from which count on they are so few."""
+    level = F.floor(8 * F.log2("count"))
+    counts = stored(counts.withColumn("level", level), "counts")
+    least, total = None, 0
+    for row in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        total += row["count"]
+        if total > FREQUENT:
+            break
+        least = row["level"]
+    if least is None:
+        return np.zeros(0, U), np.zeros(0, np.int64)
+    rows = counts.where(F.col("level") >= least).select("token", "count").toPandas()
+    tokens, n = rows["token"].to_numpy(np.int64).view(U), rows["count"].to_numpy(np.int64)
+    order = np.argsort(tokens)
+    return tokens[order], n[order]
+
+
+def larger(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Both lists in one, by token, with the larger count."""
+    tokens, at = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
+    n = np.zeros(len(tokens), np.int64)
+    np.maximum.at(n, at, np.concatenate([one[1], two[1]]))
+    return tokens, n
+
+
 def bitmap(ids: DataFrame) -> np.ndarray:
     """A filter of 2^23 bits of the column ``bit``: at most 256 pieces of 4 KB."""
     bit = F.col("bit") + 1
@@ -198,11 +226,13 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
 
     rate = max(1, classes.count() // ORDER_SAMPLE)
     drawn = texts.where(F.pmod(F.xxhash64("text", F.lit("order")), F.lit(rate)) == 0).dropDuplicates(["text"])
-    common = drawn.mapInArrow(all_shingles(size), "token long").groupBy("token").count().where("count > 1")
-    common = common.orderBy(F.desc("count"), "token").limit(FREQUENT).toPandas()
-    tokens, counts = common["token"].to_numpy(np.int64).view(U), common["count"].to_numpy(np.int64)
-    order = np.argsort(tokens)
-    sent = texts.mapInArrow(prefixes(size, share, tokens[order], counts[order]), "token long, c long")
+    seen = drawn.mapInArrow(all_shingles(size), "token long").groupBy("token").count().where("count > 1")
+    sampled = frequent(seen.select("token", (F.col("count") * rate).alias("count")))
+    # shingles that the sample missed and yet many documents sent as rare ones are frequent too
+    sent = texts.mapInArrow(prefixes(size, share, *sampled), "token long, c long")
+    missed = sent.groupBy("token").agg(F.count("*").alias("count"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    counted = frequent(missed.where(f"lo < hi AND count >= {MISSED}").select("token", "count"))
+    sent = texts.mapInArrow(prefixes(size, share, *larger(sampled, counted)), "token long, c long")
     w = Window.partitionBy("token")
     met = sent.withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w)).where("lo < hi")
     posts = stored(met.select("token", "c").distinct(), "posts")
@@ -241,10 +271,14 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     near = near.groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
     fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
     near = near.where(fits & (F.col("k") >= need(F.col("n"), F.col("m"), percent)))
-    edges = edges.unionByName(similar(near.select(F.col("c").alias("a"), "b"), texts, classes, size, percent))
-
-    named = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    labelled = classes.join(named, F.col("c") == F.col("node"), "left").select("c", "rep", F.coalesce("component", "c").alias("g"))
+    links = similar(near.select(F.col("c").alias("a"), "b"), texts, classes, size, percent)
+    # links within a group say nothing new, and those between two groups say the same
+    links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
+    links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
+    named = components(links).select(F.col("node").alias("g"), "component")
+    grouped = groups.join(named, "g", "left").select("c", F.coalesce("component", "g").alias("g"))
+
+    labelled = classes.join(grouped, "c", "left").select("c", "rep", F.coalesce("g", "c").alias("g"))
     least = labelled.groupBy("g").agg(F.min("rep").alias("component_id"))
     final = labelled.join(least, "g").select("c", "component_id")
     alone = sets.where("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
