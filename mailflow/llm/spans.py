@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def slices(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, offsets, bytes) of about ``limit`` bytes; a longer text comes alone.  Null is empty."""
     column = pc.fill_null(texts.cast(pa.large_string()), "")
     bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
