@@ -14,6 +14,7 @@ from mailflow.llm.store import stored
 
 ORDER_SAMPLE = 16_384  # documents whose shingles tell which are frequent; the order costs or saves time only
 FREQUENT = 1 << 17  # frequent shingles known at most, of the sample and of all documents
+RECORDS = 1_000  # texts sent to Python at once, so that a worker stays small
 MISSED = 4  # documents that send a shingle the sample did not show to be frequent
 BITS = 23  # of the filter of documents whose shingles are needed again: 1 MB
 FACTORS = mix(np.arange(1, 65, dtype=U)) | U(1)
@@ -138,7 +139,7 @@ def frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent of (token, count), at most ``FREQUENT``, by token.  A histogram of
     eight steps per doubling tells from which count on they are so few."""
     level = F.floor(8 * F.log2("count"))
-    counts = stored(counts.withColumn("level", level), "counts")
+    counts = stored(counts.withColumn("level", level), "counts", RECORDS)
     least, total = None, 0
     for row in sorted(counts.groupBy("level").count().collect(), reverse=True):
         total += row["count"]
@@ -192,7 +193,7 @@ def similar(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, p
     shown = texts.select("doc_id", "text", bit).mapInArrow(
         arrays(size, bitmap(ids.select(bit))), "doc_id long, c long, tokens array<long>"
     )
-    known = stored(shown.join(ids, "doc_id", "left_semi").select("c", "tokens"), "arrays")
+    known = stored(shown.join(ids, "doc_id", "left_semi").select("c", "tokens"), "arrays", RECORDS)
     one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(one, "a").join(two, "b")
@@ -219,7 +220,7 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     """
     share = percent / 100
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = stored(given.mapInArrow(sized(size), "doc_id long, n long, c long"), "sets")
+    sets = stored(given.mapInArrow(sized(size), "doc_id long, n long, c long"), "sets", RECORDS)
     linked = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy("c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
     texts = given.where("doc_id IS NOT NULL")
@@ -235,7 +236,7 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     sent = texts.mapInArrow(prefixes(size, share, *larger(sampled, counted)), "token long, c long")
     w = Window.partitionBy("token")
     met = sent.withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w)).where("lo < hi")
-    posts = stored(met.select("token", "c").distinct(), "posts")
+    posts = stored(met.select("token", "c").distinct(), "posts", RECORDS)
 
     active = stored(posts.select("c").distinct().join(classes, "c").select("c", "n"), "active")
 

@@ -7,23 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from mailflow.session import work_dir
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, records: int | None = None) -> DataFrame:
     """Write a table once and read it back: the lineage ends here, a lost executor
     costs nothing, and Spark knows the table's size when it plans later joins.  Shuffle
-    files of the write go with its end, as nothing asks for them again."""
+    files of the write go with its end, as nothing asks for them again.  ``records``: rows that go to Python at once."""
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    wanted = {CLEANUP: "true"} | ({BATCH: str(records)} if records else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
