@@ -58,6 +58,37 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0), "vec_id", "embedding", "label").count() == 0
 
 
+def two_groups(rng, n=30, dim=64):
+    """Two tight groups whose vectors lie at a cosine of about 0.985 across."""
+    a = rng.standard_normal(dim)
+    a /= np.linalg.norm(a)
+    b = rng.standard_normal(dim)
+    b -= (a @ b) * a
+    b = 0.985 * a + math.sqrt(1 - 0.985**2) * b / np.linalg.norm(b)
+    return [list(map(float, c + rng.standard_normal(dim) * 0.0005)) for c in (a, b) for _ in range(n)]
+
+
+def test_vectors_of_two_tight_groups(spark):
+    rng = np.random.default_rng(8)
+    x = two_groups(rng)
+    rows = [(i, v, 0) for i, v in enumerate(x)] + [(100 + i, list(map(float, rng.standard_normal(64))), 0) for i in range(200)]
+    rows += [(1000 + i, v, 1) for i, v in enumerate(x[:30])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in vectors.near_vectors(df, "vec_id", "embedding", "label", attempts=1, recall=0.0).collect()}
+    assert all((got[i].n_links, got[i].component_id, got[i].kept) == (59, 0, i == 0) for i in range(60))
+    assert all((got[i].n_links, got[i].component_id) == (29, 1000) for i in range(1000, 1030))
+    assert all(got[100 + i].n_links == 0 for i in range(200))
+
+
+def test_vectors_go_on_exactly(spark, monkeypatch):
+    x = two_groups(np.random.default_rng(9))
+    df = spark.createDataFrame([(i, v, 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(vectors, "joined", lambda edges, *_: (edges, vectors.stored(vectors.components(edges), "components")))
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    got = vectors.near_vectors(df, "vec_id", "embedding", "label", attempts=1).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(59, 0)}
+
+
 def test_toxicity(spark, odd, none):
     good = [f"the day {i} was fine and quiet in town" for i in range(200)]
     bad = [f"the day {i} was {'grobbian' if i % 2 else 'Grobbian,'} and quiet in town" for i in range(200, 260)]
