@@ -183,6 +183,16 @@ def need(x: Column, y: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), overlap - F.greatest(F.ceil(percent * x / 100.0 - 1e-9), F.ceil(percent * y / 100.0 - 1e-9)) + 1)
 
 
+def least_need(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """A bound that ``need`` of n and any size from ``low`` to ``high`` does not fall below.
+
+    ``need`` itself has dips inside a range, from its ceilings.  Without them it is larger
+    than share (n + y) / (1 + share) - share max(n, y), which rises up to y = n and falls
+    from there, so that its least value is at an end of the range."""
+    free = lambda y: percent * (n + y) / (100.0 + percent) - percent * F.greatest(n, y) / 100.0
+    return F.greatest(F.lit(1), F.floor(F.least(free(low), free(high)) - 1e-6) + 1)
+
+
 def similar(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common.
     Only texts that stand for a class of the pairs are read again."""
@@ -208,8 +218,8 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     Equal sets are one class.  A class sends its rarest shingles (``prefixes``); what meets
     is compared first with one leader per shingle, which partitions similar classes into
     groups.  The matrix then holds the union of each group's rarest shingles.  A class's
-    overlap with the union bounds its overlap with any member; only groups that reach what
-    ``need`` asks for at the group's sizes are opened, and only members that reach it
+    overlap with the union bounds its overlap with any member; only groups that reach the
+    least that ``need`` asks for over the group's sizes are opened, and only members that reach it
     themselves are compared, on whole sets.  Pairs within a group are never formed.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable).  Texts with fewer
@@ -265,7 +275,7 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     sizes = groups.groupBy(F.col("g").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     asked = placed.join(matrix, "token").where("other < g").groupBy("c", "n", "other").agg(F.count("*").alias("k")).join(sizes, "other")
     low, high = F.greatest("low", F.col("n") * share), F.least("high", F.col("n") / share)
-    enough = F.col("k") >= F.least(need(F.col("n"), F.ceil(low - 1e-9), percent), need(F.col("n"), F.floor(high + 1e-9), percent))
+    enough = F.col("k") >= least_need(F.col("n"), F.ceil(low - 1e-9), F.floor(high + 1e-9), percent)
     opened = stored(asked.where((low <= high + 1e-9) & enough).select("c", "other"), "opened")
     members = placed.select("token", F.col("c").alias("b"), F.col("g").alias("other"), F.col("n").alias("m"))
     near = placed.select("token", "c", "n").join(opened, "c").join(members, ["token", "other"])

@@ -165,6 +165,24 @@ def test_jaccard(spark, sf, odd, none):
     assert jaccard.jaccard_components(none, "doc_id", "text").count() == 0
 
 
+def test_jaccard_opens_groups_of_mixed_sizes(spark):
+    from pyspark.sql import functions as F
+
+    n, y, low, high = (F.col(c) for c in ("n", "y", "low", "high"))
+    top = F.floor(n * 100 / 75)
+    each = spark.range(1, 61).select(F.col("id").alias("n"))
+    sizes = each.select("n", F.explode(F.sequence(F.ceil(n * 0.75), top)).alias("low"))
+    sizes = sizes.select("n", "low", F.explode(F.sequence(low, top)).alias("high"))
+    inside = sizes.select("*", F.explode(F.sequence(low, high)).alias("y")).select("*", jaccard.need(n, y, 75).alias("need"))
+    ranges = inside.groupBy("n", "low", "high").agg(F.min("need").alias("least"))
+    checked = ranges.select(
+        "least", jaccard.least_need(n, low, high, 75).alias("bound"),
+        F.least(jaccard.need(n, low, 75), jaccard.need(n, high, 75)).alias("ends"),
+    )
+    assert checked.where("ends > least").count() > 0  # the ends of a range are no bound
+    assert checked.where("bound > least OR bound < least - 1").count() == 0
+
+
 def test_repeats_and_chunks(odd, none):
     got = {r.doc_id: r for r in repeats.drop_repeats(odd, "doc_id", "text").collect()}
     assert got[5].text == "" and got[1].n_removed == 0 and got[2].text is None and got[None].n_removed == 0
