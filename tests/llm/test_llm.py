@@ -228,3 +228,16 @@ def test_pages(spark):
     got = {r.page_id: r.text for r in pages.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", "url", "html").collect()}
     assert got[3] == "A & B\nFirst part\nno 3" and got[9] == "" and got[10] == ""
     assert pages.main_texts(spark.createDataFrame([], "page_id long, url string, html string"), "page_id", "url", "html").count() == 0
+
+
+def main_of(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in pages.main_texts(df, "page_id", "url", "html").collect()}
+
+
+def test_pages_beside_a_list_page(spark):
+    page = "<body><div class=x>Aside {0} of varied words</div><article><p>Article {0} goes on</p></article></body>"
+    two = "<body><article><p>First card</p></article><article><p>Second card</p></article></body>"
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(6)] + [(7, "http://h.example/7", two)]
+    got = main_of(spark, rows)
+    assert got == {**{i: f"Article {i} goes on" for i in range(6)}, 7: "First card\nSecond card"}
