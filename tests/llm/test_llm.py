@@ -241,3 +241,14 @@ def test_pages_beside_a_list_page(spark):
     rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(6)] + [(7, "http://h.example/7", two)]
     got = main_of(spark, rows)
     assert got == {**{i: f"Article {i} goes on" for i in range(6)}, 7: "First card\nSecond card"}
+
+
+def test_pages_without_article_names(spark):
+    page = (
+        "<body><div class=x>Same words on all pages of this host</div><div class=w><h1>Title {0}</h1><div class=lead>Lead {0} of the page</div>"
+        "<div class=text><p>Body {0} goes on and on, longer than the lead and the title and all that stands before it</p><p>End {0}</p></div></div></body>"
+    )
+    rows = [(i, f"http://h.example/{i}", page.format(i)) for i in range(5)]
+    long = "Body {0} goes on and on, longer than the lead and the title and all that stands before it"
+    want = {i: "\n".join([f"Title {i}", f"Lead {i} of the page", long.format(i), f"End {i}"]) for i in range(5)}
+    assert main_of(spark, rows) == want
