@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mailflow.llm import fingerprints, jaccard, linechunks, mixing, packing, pages, repeats, sharding, toxicity, vectors
+from mailflow.llm import (
+    fingerprints, jaccard, licenses, linechunks, manifest, mixing, packing, pages, repeats, runs, sharding, toxicity, vectors,
+)
 from mailflow.llm.store import table
 from mailflow.session import prepare
 
@@ -101,3 +103,30 @@ def op2_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents alike in at least 75 % of their five-word shingles."""
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query("op11_license_scan")
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, tags and expressions of every document."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return licenses.digests(found)
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words of every document, a tenth of them made to repeat."""
+    documents = table(spark, sf_dir, "documents")
+    documents = documents.select("doc_id", runs.looped(F.col("doc_id"), F.col("text")).alias("text"))
+    return runs.digests(runs.find_runs(documents, "doc_id", "text", least=6, times=4))
+
+
+@query("op13_merkle_manifest", manifest.manifest_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root, and the root that a changed text folds to."""
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    found = manifest.manifest(
+        table(spark, sf_dir, "documents"), "doc_id", "lang", [*fields, "text"], [*fields, lower], third
+    )
+    return found.withColumn("proof_sha256", F.sha2(F.col("proof"), 256)).drop("proof")
