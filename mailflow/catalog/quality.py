@@ -119,6 +119,47 @@ def near_duplicates(spark, sf):
     return dedupe.near_duplicates(tb.mails(spark, sf, True))
 
 
+CHANGED = """
+changed AS (
+  SELECT email_id, subject, email_body, string_split(email_body, ' ') AS w, CAST(substr(email_id, 2) AS BIGINT) AS n FROM mails
+), more AS (
+  SELECT email_id, subject, email_body FROM changed
+  UNION ALL
+  SELECT concat('N', n), subject, array_to_string(
+    w[:n * 7 % len(w)] || ['changed'] || w[n * 7 % len(w) + 2:], ' ') FROM changed WHERE n % 3 = 0 AND email_body IS NOT NULL
+), forms AS (
+  SELECT email_id, trim(regexp_replace(concat_ws(chr(10),
+    regexp_replace(lower(coalesce(subject, '')), '^( *(re|fw|fwd|aw) *:)+', ''),
+    lower(coalesce(email_body, ''))), '[> \\t\\r\\n]+', ' ', 'g')) AS form FROM more
+), texts AS (SELECT form, min(email_id) AS id, string_split(form, ' ') AS w FROM forms WHERE form <> '' GROUP BY form),
+runs AS (SELECT id, unnest(list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 3, 2))])) AS run FROM texts),
+sizes AS (SELECT id, count(*) AS n FROM runs GROUP BY id),
+shared AS (SELECT a.id AS x, b.id AS y, count(*) AS n FROM runs a JOIN runs b ON a.run = b.run AND a.id <> b.id GROUP BY ALL),
+linked AS (SELECT x, y FROM shared s JOIN sizes a ON a.id = x JOIN sizes b ON b.id = y WHERE s.n >= 0.75 * (a.n + b.n - s.n)),
+reach(x, y) AS (SELECT id, id FROM texts UNION SELECT r.x, l.y FROM reach r JOIN linked l ON l.x = r.y),
+firsts AS (SELECT x AS id, min(y) AS first_id FROM reach GROUP BY x),
+grouped AS (SELECT f.email_id, g.first_id, count(*) OVER (PARTITION BY g.first_id) AS copies
+  FROM forms f JOIN texts t ON t.form = f.form JOIN firsts g ON g.id = t.id)"""
+
+
+@query(
+    "near_duplicates_similar",
+    "WITH RECURSIVE " + tb.sql(tb.BASE, tb.MAILS, CHANGED, select="SELECT * FROM grouped WHERE copies > 1")[5:],
+)
+def near_duplicates_similar(spark, sf):
+    """Mails alike in three quarters of their five-word runs: every third mail comes
+    once more with a word changed."""
+    mails = tb.mails(spark, sf).select("email_id", "subject", "email_body")
+    number = F.substring("email_id", 2, 20).cast("bigint")
+    w = F.split("email_body", " ")
+    at = (number * 7 % F.size(w)).cast("int")
+    body = F.array_join(F.concat(F.slice(w, F.lit(1), at), F.array(F.lit("changed")), F.slice(w, at + 2, F.size(w))), " ")
+    copies = mails.filter(F.col("email_body").isNotNull() & (number % 3 == 0)).select(
+        F.concat(F.lit("N"), number.cast("string")).alias("email_id"), "subject", body.alias("email_body")
+    )
+    return dedupe.near_duplicates(mails.unionByName(copies), 0.75)
+
+
 @query(
     "latest_per_sender_subject",
     tb.sql(tb.BASE, tb.MAILS, select="""

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow.functions import ids
+from mailflow.operators import similar
 from mailflow.operators.lookup import HOT_SHARE, SALTS, attach
+from mailflow.session import kept
 
 # Ranks up to this limit are cut before the shuffle (Spark's own threshold).
 CUT_BY_SPARK = 1000
@@ -70,13 +72,19 @@ def normal_form(subject: Column, body: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[> \t\r\n]+", " "))
 
 
-def near_duplicates(mails: DataFrame) -> DataFrame:
+def near_duplicates(mails: DataFrame, threshold: float | None = None) -> DataFrame:
     """Mails that differ from an earlier one only in case, spacing, quoting or
     reply prefixes: each mail of such a group with the group's first mail and
     size.  Groups are found by hash; no pairs are formed.  Mails without any text
     are left out.
+
+    With a ``threshold`` also mails whose sets of five-word runs overlap by that
+    share (Jaccard) belong together, directly or through others (see
+    ``operators.similar``); of equal mails only one is compared.
     """
     form = normal_form(F.col("subject"), F.col("email_body"))
+    if threshold is not None:
+        return _similar(mails, form, threshold)
     marked = mails.select(
         "email_id", ids.content_hash(form).alias("_form"), (form != "").alias("_text")
     )
@@ -91,8 +99,28 @@ def near_duplicates(mails: DataFrame) -> DataFrame:
         .filter("copies > 1 AND _some")
         .drop("_some")
     )
-    marked = marked.drop("_text")
+    return _members(marked.drop("_text"), groups)
+
+
+def _members(marked: DataFrame, groups: DataFrame) -> DataFrame:
+    """Mails (email_id, _form) with the group of their form."""
     total = marked.select(F.count("*")).scalar()
     hot = groups.filter(F.col("copies") * HOT_SHARE > total).select("_form")
     found = attach(marked, groups, ["_form"], spread_by="email_id", hot=hot)
     return found.filter(F.col("copies").isNotNull()).select("email_id", "first_id", "copies")
+
+
+def _similar(mails: DataFrame, form: Column, threshold: float) -> DataFrame:
+    formed = mails.select("email_id", form.alias("form")).withColumn("_form", ids.content_hash(F.col("form")))
+    formed = kept(formed.filter("form != ''"), "similar-forms")
+    # A form is stored with the group, not with each of its mails.
+    forms = formed.groupBy("_form").agg(
+        F.min("email_id").alias("id"), F.min("form").alias("form"), F.count("*").alias("copies")
+    )
+    forms = kept(forms, "similar-distinct")
+    together = similar.similar_groups(forms, threshold)
+    classes = forms.select("_form", "id", "copies").join(together, "id", "left")
+    classes = classes.select("_form", "copies", F.coalesce("first_id", "id").alias("first_id"))
+    sizes = classes.groupBy("first_id").agg(F.sum("copies").alias("_n")).filter("_n > 1")
+    sized = classes.join(sizes, "first_id").select("_form", "first_id", F.col("_n").alias("copies"))
+    return _members(formed.select("email_id", "_form"), sized)

@@ -67,6 +67,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/mailflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table once and read it back: its lineage ends here, and a
+    lost executor costs nothing that was written."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a table that arrives in fewer splits than there are cores one
     hash partition per core; leave a table with enough splits as it is."""
