@@ -10,7 +10,8 @@ from mailflow.catalog import testbed as tb
 from mailflow.catalog.registry import query
 from mailflow.catalog.views import URGENT
 from mailflow.functions import text, urgency
-from mailflow.operators import alerts, enrich, model, search
+from mailflow.operators import alerts, enrich, index, model, search
+from mailflow.session import work_dir
 
 
 def words_sql(words) -> str:
@@ -368,6 +369,23 @@ def search_mail(spark, sf):
     return search.search_mail(tb.mails(spark, sf, True), tb.summaries(spark, sf, True), SEARCH)
 
 
+@query(
+    "search_stored",
+    tb.sql(tb.BASE, tb.MAILS, tb.SUMMARIES, bm25_sql(), select="""
+SELECT m.email_id, m.subject, m.sender_email, m.email_date,
+  round(h.score / (SELECT max(score) FROM hits), 6) AS relevance_score, s.summary_text AS brief_summary
+FROM hits h JOIN mails m USING (email_id)
+LEFT JOIN summaries s ON s.email_id = m.email_id AND s.summary_type = 'BRIEF'"""),
+)
+def search_stored(spark, sf):
+    """The same search on a stored term table that two batches were added to."""
+    mails, folder = tb.mails(spark, sf), work_dir(spark, "term-table")
+    half = F.pmod(F.xxhash64("email_id"), F.lit(2))
+    for batch in range(2):
+        index.add_batch(mails.filter(half == batch), folder, batch, buckets=16)
+    return index.search_stored(spark, folder, mails, tb.summaries(spark, sf), SEARCH, buckets=16)
+
+
 @query(
     "search_vectors",
     """

@@ -17,15 +17,19 @@ from mailflow.session import work_dir
 from mailflow.sources import files, landing
 from mailflow.streaming import queries as st
 
-# Several micro-batches whatever the number of files written.
+BATCHES = 3
 FILES_PER_TRIGGER = 3
 
 
 def _stored(spark, rows, name: str):
-    """Rows as a stored table, and the stream of its files."""
+    """Rows as a table of several committed batches, beside a write that failed before
+    its commit, and the feed of the batches, one at a time."""
     folder = work_dir(spark, name)
-    landing.write_batch(rows, folder, 0)
-    return st.table_stream(spark, folder, rows.schema, FILES_PER_TRIGGER)
+    part = F.pmod(F.xxhash64(rows.columns[0]), F.lit(BATCHES))
+    for n in range(BATCHES):
+        landing.write_batch(rows.filter(part == n), folder, n)
+    rows.filter(part == 0).write.parquet(f"{folder}/data/in_batch=failed")
+    return st.commits(spark, folder, rows.schema, 1)
 
 
 def _raw_stream(spark, sf, name):
@@ -74,6 +78,30 @@ def stream_parse(spark, sf):
     )
 
 
+@query(
+    "stream_intervals",
+    tb.sql(tb.BASE, tb.RAW, select="""
+SELECT 1 AS run, count(DISTINCT r.file_id) > 0 AS worked, count(*) AS rows_parsed FROM raw r WHERE processing_status = 'PENDING'
+UNION ALL SELECT 2, false, 0
+UNION ALL SELECT 3, true, count(*) FROM raw WHERE processing_status = 'PENDING' AND doc_id % 5 = 0"""),
+)
+def stream_intervals(spark, sf):
+    """Three runs of one query: all files, nothing new, and a fifth of them again."""
+    rows = tb.raw(spark, sf).select("file_id", "file_name", "upload_timestamp", "file_text", "processing_status", "doc_id")
+    folder, out = work_dir(spark, "interval-source"), work_dir(spark, "intervals")
+    seen, done = 0, []
+    for run, new in enumerate([rows, None, rows.filter("doc_id % 5 = 0")], 1):
+        if new is not None:
+            landing.write_batch(new.drop("doc_id"), folder, run)
+        feed = st.commits(spark, folder, new.drop("doc_id").schema if new is not None else rows.drop("doc_id").schema, 1)
+        query = st.stream_parse(feed, f"{out}/mails", f"{out}/jobs", f"{out}/c")
+        st.finish(query)
+        parsed = landing.read_table(spark, f"{out}/mails").count()
+        done.append((run, len(st.intervals(query)) > 0, parsed - seen))
+        seen = parsed
+    return spark.createDataFrame(done, "run int, worked boolean, rows_parsed bigint")
+
+
 @query(
     "stream_job_log",
     tb.sql(tb.SOLO, tb.RAW, select="""
@@ -112,7 +140,7 @@ def stream_alerts(spark, sf):
     mails = _mail_stream(spark, sf, "alert-source")
     out = work_dir(spark, "stream-alerts")
     st.finish(st.stream_alerts(mails, f"{out}/t", f"{out}/c"))
-    return spark.read.parquet(f"{out}/t").withColumn(
+    return landing.read_table(spark, f"{out}/t").withColumn(
         "urgency_indicators", F.array_join("urgency_indicators", ",")
     )
 
@@ -129,8 +157,8 @@ def stream_health(spark, sf):
     """Counts per half hour; windows the watermark has not passed are open."""
     raw = tb.raw(spark, sf).select("upload_timestamp", "processing_status")
     folder = work_dir(spark, "health-source")
-    landing.write_batch(raw.repartitionByRange(4, "upload_timestamp"), folder, 0)
-    stream = st.table_stream(spark, folder, raw.schema, 1000)
+    raw.repartitionByRange(4, "upload_timestamp").write.parquet(folder)
+    stream = st.folder_stream(spark, folder, raw.schema, 1000)
     out = work_dir(spark, "stream-health")
     st.finish(st.stream_health(stream, f"{out}/t", f"{out}/c"))
     return spark.read.schema(st.health_windows(raw).schema).parquet(f"{out}/t")
@@ -146,7 +174,9 @@ def stream_dedupe(spark, sf):
     rows = tb.mails(spark, sf).filter(F.col("email_body").isNotNull()).select(
         ids.content_hash(F.col("email_body")).alias("content"), "extracted_timestamp"
     )
-    stream = _stored(spark, rows, "dedupe-source")
+    folder = work_dir(spark, "dedupe-source")
+    rows.repartition(3 * FILES_PER_TRIGGER).write.parquet(folder)
+    stream = st.folder_stream(spark, folder, rows.schema, FILES_PER_TRIGGER)
     out = work_dir(spark, "stream-dedupe")
     st.finish(
         st.stream_dedupe(stream, ["content"], "extracted_timestamp", f"{out}/t", f"{out}/c", "60 days")

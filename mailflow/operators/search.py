@@ -76,6 +76,11 @@ def search_mail(mails: DataFrame, summaries: DataFrame, query: str, n: int = 10)
     summary tables again.
     """
     best = bm25(mails, query).orderBy(F.col("score").desc(), "email_id").limit(n)
+    return with_briefs(mails, summaries, best, n)
+
+
+def with_briefs(mails: DataFrame, summaries: DataFrame, best: DataFrame, n: int) -> DataFrame:
+    """The best ``n`` (email_id, score) with their mails and BRIEF, the first scoring 1."""
     top = F.max("score").over(Window.partitionBy())  # over the n rows only
     scored = best.select(
         "email_id",

@@ -1,20 +1,29 @@
-"""Landing tables: append-only parquet, one partition per batch.
+"""Landing tables: append-only parquet with a log of committed batches.
 
-A batch that is written again finds its own finished folder, so a job or query
-that is replayed leaves the table as it was.
+A batch's files go to a folder of their own below ``data``; the batch counts once its
+entry, a small file, stands in ``commits``.  Readers follow the entries and never list
+data files, so what a failed or repeated write left behind is not seen.  A batch that is
+written again finds its entry, so a job or query that is replayed leaves the table as it
+was.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailflow import values
 from mailflow.clock import moment
 from mailflow.functions import ids, payload
 
+COMMIT = "batch_id string, folder string"
+BATCH = "in_batch"  # names the batches' folders
+
 
-def batch_path(table_dir: str, batch_id) -> str:
-    return f"{table_dir}/batch_id={batch_id}"
+def commits_dir(table_dir: str) -> str:
+    return f"{table_dir}/commits"
 
 
 def _path(spark: SparkSession, name: str):
@@ -22,31 +31,61 @@ def _path(spark: SparkSession, name: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def is_complete(spark: SparkSession, folder: str) -> bool:
-    """True when a finished write left its marker in the folder."""
-    marker, system = _path(spark, f"{folder}/_SUCCESS")
-    return system.exists(marker)
-
-
 def make_folder(spark: SparkSession, folder: str) -> None:
     path, system = _path(spark, folder)
     system.mkdirs(path)
 
 
-def write_batch(rows: DataFrame, table_dir: str, batch_id) -> DataFrame:
-    """Write one batch and return it as stored; a complete batch is kept as it
-    is, an unfinished one is replaced."""
-    spark, path = rows.sparkSession, batch_path(table_dir, batch_id)
-    if not is_complete(spark, path):
-        rows.write.mode("overwrite").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+def make_table(spark: SparkSession, table_dir: str) -> None:
+    """An empty table, so that a reader may follow it before the first batch."""
+    make_folder(spark, commits_dir(table_dir))
 
 
-def read_table(spark: SparkSession, table_dir: str, schema=None) -> DataFrame:
-    """All batches of a table; give the schema to skip looking into files."""
-    reader = spark.read.option("recursiveFileLookup", True)
+def committed(spark: SparkSession, table_dir: str, batch_id) -> str | None:
+    """The data folder of a committed batch, or None."""
+    entry, system = _path(spark, f"{commits_dir(table_dir)}/{batch_id}.json")
+    if not system.exists(entry):
+        return None
+    return spark.read.schema(COMMIT).json(entry.toString()).first().folder
+
+
+def commit(spark: SparkSession, table_dir: str, batch_id, folder: str) -> None:
+    """Write the batch's entry under a hidden name and rename it: it is seen whole."""
+    make_table(spark, table_dir)
+    hidden, system = _path(spark, f"{commits_dir(table_dir)}/.{batch_id}-{uuid.uuid4().hex[:8]}")
+    out = system.create(hidden, True)
+    out.write(bytearray(json.dumps({"batch_id": str(batch_id), "folder": folder}).encode()))
+    out.close()
+    entry, _ = _path(spark, f"{commits_dir(table_dir)}/{batch_id}.json")
+    if not system.rename(hidden, entry):
+        raise OSError(f"cannot commit batch {batch_id} of {table_dir}")
+
+
+def write_batch(rows: DataFrame, table_dir: str, batch_id, partition_by: list[str] | None = None) -> DataFrame:
+    """Write one batch and return it as stored; a committed batch is kept as it is."""
+    spark = rows.sparkSession
+    folder = committed(spark, table_dir, batch_id)
+    if folder is None:
+        folder = f"{BATCH}={batch_id}-{uuid.uuid4().hex[:12]}"
+        rows.write.parquet(f"{table_dir}/data/{folder}", partitionBy=partition_by)
+        commit(spark, table_dir, batch_id, folder)
+    return read_folders(spark, table_dir, [folder], rows.schema)
+
+
+def read_folders(spark: SparkSession, table_dir: str, folders: list[str], schema=None) -> DataFrame:
+    """The rows of some batches."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", f"{table_dir}/data")
     reader = reader.schema(schema) if schema is not None else reader
-    return reader.parquet(table_dir)
+    return reader.parquet(*[f"{table_dir}/data/{f}" for f in folders]).drop(BATCH)
+
+
+def read_table(spark: SparkSession, table_dir: str, schema=None) -> DataFrame:
+    """All committed batches of a table; give the schema to skip looking into files.
+    The driver holds one entry per batch."""
+    entries = spark.read.schema(COMMIT).json(commits_dir(table_dir))
+    return read_folders(spark, table_dir, sorted(r.folder for r in entries.collect()), schema)
 
 
 def kept_text(content: Column, text: Column) -> Column:

@@ -2,21 +2,23 @@
 
 Each query has its own checkpoint.  ``every`` is a trigger interval such as
 ``"1 minute"``; without it a query works off what is there and ends, and does
-nothing when nothing is new.  Batches are written once: a replayed batch finds
-its finished folder (see ``sources.landing``).
+nothing when nothing is new.  One query hands its rows to the next by the log of
+committed batches (see ``sources.landing``): a reader takes whole batches, and never the
+files of a write that failed.  A replayed batch finds its entry in the log.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from mailflow import values
 from mailflow.operators import alerts, enrich, parse
-from mailflow.operators.lookup import SALTS
 from mailflow.plans import jobs
 from mailflow.sources import files, landing
 
@@ -27,12 +29,39 @@ def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+@dataclass(frozen=True)
+class Feed:
+    """Rows to work off batch by batch: a stream, and how its batches become rows."""
+
+    stream: DataFrame
+    rows: Callable[[DataFrame], DataFrame]
+
+    def filter(self, condition: Column) -> "Feed":
+        return replace(self, rows=lambda batch: self.rows(batch).filter(condition))
+
+
+def commits(spark: SparkSession, table_dir: str, schema, batches_per_trigger: int = 100) -> Feed:
+    """New committed batches of a table written by ``landing``."""
+    entries = (
+        spark.readStream.schema(landing.COMMIT)
+        .option("maxFilesPerTrigger", batches_per_trigger)
+        .json(landing.commits_dir(table_dir))
+    )
+
+    def rows(batch: DataFrame) -> DataFrame:
+        folders = sorted(r.folder for r in batch.collect())  # batches_per_trigger entries at most
+        return landing.read_folders(batch.sparkSession, table_dir, folders, schema)
+
+    return Feed(entries, rows)
+
+
 def for_each_batch(
-    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+    source: DataFrame | Feed, write: Callable[[DataFrame, int], None], checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+    feed = source if isinstance(source, Feed) else Feed(source, lambda batch: batch)
+    writer = feed.stream.writeStream.foreachBatch(lambda batch, n: write(feed.rows(batch), n))
+    return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
 def append_to(
@@ -48,16 +77,27 @@ def append_to(
     return _trigger(writer, every).start()
 
 
-def table_stream(spark: SparkSession, table_dir: str, schema, files_per_trigger: int = 1000) -> DataFrame:
-    """New rows of a table written by ``landing``."""
+def folder_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1000) -> DataFrame:
+    """New parquet files of a folder whose files appear whole, such as the sink of
+    ``append_to`` or a batch that is written; for the queries that keep state."""
     return (
         spark.readStream.schema(schema)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(table_dir)
+        .parquet(folder)
     )
 
 
+def intervals(query: StreamingQuery) -> list[dict]:
+    """What each interval of a query did: batch, start, rows read.  Intervals in which
+    nothing was new have no batch and are left out; Spark keeps the last hundred."""
+    return [
+        {"batch_id": p["batchId"], "started": p["timestamp"], "rows_read": p["numInputRows"]}
+        for p in query.recentProgress
+        if p["numInputRows"] > 0
+    ]
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -84,7 +124,7 @@ def stream_land(
 
 
 def stream_parse(
-    raw: DataFrame, mails_dir: str, jobs_dir: str, checkpoint: str, every: str | None = None,
+    raw: DataFrame | Feed, mails_dir: str, jobs_dir: str, checkpoint: str, every: str | None = None,
     keep: list[str] | None = None, **options,
 ) -> StreamingQuery:
     """New PENDING files into the mail table, with a run record per batch."""
@@ -102,27 +142,38 @@ def stream_parse(
 
 
 def stream_enrich(
-    mails: DataFrame, summaries_dir: str, classes_dir: str, jobs_dir: str, checkpoint: str,
+    mails: DataFrame | Feed, summaries_dir: str, classes_dir: str, jobs_dir: str, checkpoint: str,
     every: str | None = None, first_chars: int | None = None,
+    analyse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """BRIEF and SENTIMENT rows and the class of new mails that have a body."""
+    """BRIEF and SENTIMENT rows and the class of new mails that have a body.
+
+    ``analyse`` may replace ``enrich.analyze_realtime`` by a model of one's own, with the
+    same columns and, if it can fail, an ``error_message``.  A mail that lacks its BRIEF
+    or has an error counts as failed in the run record and gets no summary rows.
+    """
+    analyse = analyse or (lambda batch: enrich.analyze_realtime(batch, first_chars))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = _now()
-        analysed = landing.write_batch(enrich.analyze_realtime(batch, first_chars), classes_dir, batch_id)
-        now = F.current_timestamp()
-        tall = enrich.summary_rows(analysed, enrich.REALTIME_COLUMNS, now)
+        analysed = landing.write_batch(analyse(batch), classes_dir, batch_id)
+        error = F.col("error_message") if "error_message" in analysed.columns else F.lit(None)
+        failed = F.col("brief").isNull() | error.isNotNull()
+        tall = enrich.summary_rows(analysed.filter(~failed), enrich.REALTIME_COLUMNS, F.current_timestamp())
         landing.write_batch(tall, summaries_dir, batch_id)
-        done = analysed.select(F.lit(values.COMPLETED).alias("status"))
-        _log_batch(done, values.JOB_REALTIME_AI, started, jobs_dir, batch_id)
+        status = F.when(failed, values.FAILED).otherwise(values.COMPLETED)
+        _log_batch(analysed.select(status.alias("status")), values.JOB_REALTIME_AI, started, jobs_dir, batch_id)
 
     return for_each_batch(mails, write, checkpoint, every)
 
 
 def stream_alerts(
-    mails: DataFrame, alerts_dir: str, checkpoint: str, every: str | None = None, patterns=None
+    mails: DataFrame | Feed, alerts_dir: str, checkpoint: str, every: str | None = None, patterns=None
 ) -> StreamingQuery:
     """Alert rows of new urgent mails: a stateless filter and projection."""
+    if isinstance(mails, Feed):
+        write = lambda batch, n: landing.write_batch(alerts.urgent_alerts(batch, patterns), alerts_dir, n)
+        return for_each_batch(mails, write, checkpoint, every)
     return append_to(alerts.urgent_alerts(mails, patterns), alerts_dir, checkpoint, every)
 
 
@@ -164,21 +215,34 @@ def stream_dedupe(
 ) -> StreamingQuery:
     """The first mail per key; copies that follow within the watermark are dropped.
 
-    Copies are dropped twice: per slice of the source's tasks, then per key.  So
-    a key with very many copies meets its one state partition with at most one
-    row per slice.  Mails without any of the keys are only dropped when they are
-    equal in every column.
+    Each task drops the copies it reads itself, so a key with very many copies meets its
+    one state entry with a row per task.  The state holds one entry per key, by a digest
+    of the keys, and forgets it when the watermark has passed.  Mails without any of the
+    keys are only dropped when they are equal in every column.
     """
     _keep_state_on_disk(mails.sparkSession)
-    timed = mails.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark)
     no_key = F.coalesce(*[F.col(k).cast("string") for k in keys]).isNull()
-    whole = F.when(no_key, F.sha2(F.to_json(F.struct(*mails.columns)), 256))
-    sliced = timed.withColumn("_whole", whole).withColumn("_slice", F.spark_partition_id() % SALTS)
-    once = sliced.dropDuplicatesWithinWatermark([*keys, "_whole", "_slice"]).drop("_slice")
-    first = once.dropDuplicatesWithinWatermark([*keys, "_whole"]).drop("_at", "_whole")
+    whole = F.when(no_key, F.struct(*mails.columns))
+    digest = F.sha2(F.to_json(F.struct(F.struct(*keys).alias("keys"), whole.alias("whole")), {"ignoreNullFields": "false"}), 256)
+    marked = mails.withColumn("_key", digest)
+    cut = marked.mapInArrow(first_in_task, marked.schema)
+    timed = cut.withColumn("_at", F.col(time_col).cast("timestamp")).withWatermark("_at", watermark)
+    first = timed.dropDuplicatesWithinWatermark(["_key"]).drop("_at", "_key")
     return append_to(first, table_dir, checkpoint, every)
 
 
+def first_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose ``_key`` the task has not met before; 32 bytes are kept per key."""
+    met: set[bytes] = set()
+    for batch in batches:
+        fresh = []
+        for key in batch.column("_key").to_pylist():
+            code = bytes.fromhex(key)
+            fresh.append(code not in met)
+            met.add(code)
+        yield batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def finish(query: StreamingQuery, timeout: int = 3600) -> None:
     """Wait for a query that works off what is there."""
     if not query.awaitTermination(timeout):
@@ -197,13 +261,13 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
     mark = {n: f"{out}/_checkpoints/{n}" for n in tables}
 
     for folder in tables.values():
-        landing.make_folder(spark, folder)
+        landing.make_table(spark, folder)
 
     source = files.stream_raw_files(spark, path)
     raw_schema = files.explode_mail_batch(source).schema
     finish(stream_land(source, tables["raw"], mark["raw"]), timeout)
 
-    raw = table_stream(spark, tables["raw"], raw_schema)
+    raw = commits(spark, tables["raw"], raw_schema)
     carried = ["file_name"]
     no_mail = parse.parse_mail(spark.createDataFrame([], raw_schema), keep=carried).withColumn(
         "extracted_timestamp", F.current_timestamp().cast("timestamp_ntz")
@@ -212,9 +276,7 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
         stream_parse(raw, tables["mails"], tables["jobs"], mark["mails"], keep=carried), timeout
     )
 
-    mails = table_stream(spark, tables["mails"], no_mail.schema).filter(
-        F.col("status") == values.COMPLETED
-    )
+    mails = commits(spark, tables["mails"], no_mail.schema).filter(F.col("status") == values.COMPLETED)
     both = [
         stream_enrich(
             mails, tables["summaries"], tables["classes"], tables["jobs"], mark["classes"]

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from mailflow.operators import enrich
 from mailflow.sources import landing
 from mailflow.streaming import queries as st
 
@@ -43,7 +44,7 @@ def test_unfinished_batch_is_replaced(spark, tmp_path):
     rows = spark.range(5).select(F.col("id").cast("string").alias("x"))
     folder = str(tmp_path / "t")
     landing.write_batch(rows, folder, 1)
-    (tmp_path / "t" / "batch_id=1" / "_SUCCESS").unlink()
+    (tmp_path / "t" / "commits" / "1.json").unlink()
     landing.write_batch(rows.limit(2), folder, 1)
     assert landing.read_table(spark, folder).count() == 2
 
@@ -84,9 +85,11 @@ def test_dedupe_across_batches(spark, tmp_path):
         " timestamp_ntz'2024-01-01 00:00:00' AS at FROM range(12)"
     )
     for batch in range(3):
-        landing.write_batch(rows, folder, batch)
-    stream = st.table_stream(spark, folder, rows.schema, 1)
-    st.finish(st.stream_dedupe(stream, ["k"], "at", str(tmp_path / "o"), str(tmp_path / "c")))
+        rows.write.mode("append").parquet(folder)
+    stream = st.folder_stream(spark, folder, rows.schema, 1)
+    query = st.stream_dedupe(stream, ["k"], "at", str(tmp_path / "o"), str(tmp_path / "c"))
+    st.finish(query)
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 5  # one entry per key
     kept = [(r.k or "", r.x if r.k is None else 0) for r in spark.read.parquet(str(tmp_path / "o")).collect()]
     assert sorted(kept) == [("", 0), ("", 1), ("0", 0), ("1", 0), ("2", 0)]
 
@@ -98,3 +101,51 @@ def test_chain_on_an_empty_inbox(spark, tmp_path):
     assert set(empty.values()) == {0}
     put(inbox, "1.json", {"email_text": "first"})
     assert counts(st.run_chain(spark, str(inbox), str(tmp_path / "out")))["classes"] == 1
+
+
+def test_failed_commit_between_intervals(spark, tmp_path):
+    raw = [("1", "a.json", '{"email_text": "first"}'), ("2", "b.json", '{"email_text": "urgent"}')]
+    rows = spark.createDataFrame(raw, "file_id string, file_name string, file_text string").withColumn(
+        "processing_status", F.lit("PENDING")
+    ).withColumn("upload_timestamp", F.lit("2024-01-01").cast("timestamp_ntz"))
+    folder, out = str(tmp_path / "t"), str(tmp_path / "o")
+
+    def work():
+        st.finish(st.stream_parse(st.commits(spark, folder, rows.schema), f"{out}/m", f"{out}/j", f"{out}/c"))
+        return sorted(r.file_id for r in landing.read_table(spark, f"{out}/m").collect())
+
+    landing.write_batch(rows.filter("file_id = 1"), folder, 1)
+    assert work() == ["1"]
+    rows.filter("file_id = 2").write.parquet(f"{folder}/data/in_batch=2-broken")  # never committed
+    assert work() == ["1"]
+    landing.write_batch(rows.filter("file_id = 2"), folder, 2)
+    assert work() == ["1", "2"]
+    assert landing.read_table(spark, folder).count() == 2
+
+
+def test_enrichment_failures_are_counted(spark, tmp_path):
+    rows = spark.createDataFrame([("1", None, "fine"), ("2", None, "bad"), ("3", None, None)], "email_id string, subject string, email_body string")
+    folder, out = str(tmp_path / "t"), str(tmp_path / "o")
+    landing.write_batch(rows, folder, 0)
+
+    def model(batch):
+        done = enrich.analyze_realtime(batch)
+        error = F.when(F.col("brief") == "bad", "refused")
+        return done.withColumn("error_message", error)
+
+    feed = st.commits(spark, folder, rows.schema)
+    st.finish(st.stream_enrich(feed, f"{out}/s", f"{out}/k", f"{out}/j", f"{out}/c", analyse=model))
+    log = landing.read_table(spark, f"{out}/j").first()
+    assert (log.status, log.files_processed, log.files_failed) == ("PARTIAL_FAILURE", 1, 1)
+    assert {r.email_id for r in landing.read_table(spark, f"{out}/s").collect()} == {"1"}
+
+
+def test_a_run_without_new_files_adds_no_batch(spark, tmp_path):
+    rows = spark.range(3).select(F.col("id").cast("string").alias("email_id"), F.lit("asap").alias("subject"), F.lit("b").alias("email_body"), F.lit("s").alias("sender_email"))
+    folder, out = str(tmp_path / "t"), str(tmp_path / "o")
+    landing.write_batch(rows, folder, 0)
+    for wanted in (1, 0):
+        query = st.stream_alerts(st.commits(spark, folder, rows.schema), f"{out}/a", f"{out}/c")
+        st.finish(query)
+        assert len(st.intervals(query)) == wanted
+    assert landing.read_table(spark, f"{out}/a").count() == 3
