@@ -356,6 +356,13 @@ scored AS (SELECT email_id, round({parts}, 9) AS score FROM tfs, figures),
 hits AS (SELECT * FROM scored ORDER BY score DESC, email_id LIMIT 10)"""
 
 
+SEARCH_HITS = tb.sql(tb.BASE, tb.MAILS, tb.SUMMARIES, bm25_sql(), select="""
+SELECT m.email_id, m.subject, m.sender_email, m.email_date,
+  round(h.score / (SELECT max(score) FROM hits), 6) AS relevance_score, s.summary_text AS brief_summary
+FROM hits h JOIN mails m USING (email_id)
+LEFT JOIN summaries s ON s.email_id = m.email_id AND s.summary_type = 'BRIEF'""")
+
+
 @query(
     "search_mail",
     tb.sql(tb.SOLO, tb.MAILS, tb.SUMMARIES, bm25_sql(), select="""
@@ -369,14 +376,7 @@ def search_mail(spark, sf):
     return search.search_mail(tb.mails(spark, sf, True), tb.summaries(spark, sf, True), SEARCH)
 
 
-@query(
-    "search_stored",
-    tb.sql(tb.BASE, tb.MAILS, tb.SUMMARIES, bm25_sql(), select="""
-SELECT m.email_id, m.subject, m.sender_email, m.email_date,
-  round(h.score / (SELECT max(score) FROM hits), 6) AS relevance_score, s.summary_text AS brief_summary
-FROM hits h JOIN mails m USING (email_id)
-LEFT JOIN summaries s ON s.email_id = m.email_id AND s.summary_type = 'BRIEF'"""),
-)
+@query("search_stored", SEARCH_HITS)
 def search_stored(spark, sf):
     """The same search on a stored term table that two batches were added to."""
     mails, folder = tb.mails(spark, sf), work_dir(spark, "term-table")

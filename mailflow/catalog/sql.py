@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from mailflow.catalog import testbed as tb
+from mailflow.catalog import enrichment as en, testbed as tb
 from mailflow.catalog.registry import query
-from mailflow.operators import quality
-from mailflow.plans import store
+from mailflow.functions import text
+from mailflow.operators import enrich, quality
+from mailflow.plans import functions, store
 
 
 def _run(spark, sf, text: str):
@@ -79,3 +80,52 @@ def sql_overview(spark, sf):
     return _run(spark, sf, """
 SELECT processing_status, count(*) AS files, count(subject) AS subjects, count(brief_summary) AS briefs
 FROM email_processing_overview GROUP BY processing_status""")
+
+
+def _with_functions(spark, sf, statement: str, **lists):
+    tb.mails(spark, sf).createOrReplaceTempView("processed_emails")
+    tb.summaries(spark, sf).createOrReplaceTempView("email_summaries")
+    functions.create(spark, **lists)
+    return spark.sql(statement)
+
+
+@query(
+    "sql_summarize",
+    tb.sql(
+        tb.BASE, tb.MAILS, en.BOTH, en.ACTIONS, en.sentiment_sql(text.POSITIVE_WORDS, text.NEGATIVE_WORDS),
+        select=f"""
+SELECT t.email_id, t.brief, t.detailed, a.action_items, s.sentiment, {functions.literal(enrich.UNKNOWN_KIND)} AS other
+FROM texts t JOIN actions a USING (email_id) JOIN moods s USING (email_id)""",
+    ),
+)
+def sql_summarize(spark, sf):
+    """Every kind of summary by the SQL function."""
+    return _with_functions(spark, sf, """
+SELECT email_id, summarize_email(email_body, 'brief') AS brief, summarize_email(email_body, 'DETAILED') AS detailed,
+  summarize_email(email_body, 'Action_Items') AS action_items, summarize_email(email_body, 'sentiment') AS sentiment,
+  summarize_email(email_body, 'haiku') AS other
+FROM processed_emails WHERE email_body IS NOT NULL""")
+
+
+@query("sql_classify", tb.sql(tb.BASE, tb.MAILS, en.class_sql(en.RULES), select="SELECT * FROM classes"))
+def sql_classify(spark, sf):
+    """Class per mail by the SQL function."""
+    return _with_functions(spark, sf, """
+SELECT email_id, classify_email(email_body, subject) AS email_classification
+FROM processed_emails WHERE email_body IS NOT NULL""", rules=en.RULES)
+
+
+@query("sql_entities", tb.sql(tb.BASE, tb.MAILS, en.entities_sql(en.GAZETTEER), select="SELECT * FROM entities"))
+def sql_entities(spark, sf):
+    """Entities per mail by the SQL function."""
+    return _with_functions(spark, sf, """
+SELECT email_id, array_join(e.people, '; ') AS people, array_join(e.companies, '; ') AS companies, array_join(e.dates, '; ') AS dates,
+  array_join(e.locations, '; ') AS locations, array_join(e.amounts, '; ') AS amounts,
+  array_join(e.phone_numbers, '; ') AS phone_numbers, array_join(e.email_addresses, '; ') AS email_addresses
+FROM (SELECT email_id, extract_email_entities(email_body) AS e FROM processed_emails WHERE email_body IS NOT NULL)""", gazetteer=en.GAZETTEER)
+
+
+@query("sql_search", en.SEARCH_HITS)
+def sql_search(spark, sf):
+    """The ten best mails for a query, by the table function."""
+    return _with_functions(spark, sf, f"SELECT * FROM search_emails('{en.SEARCH}')")

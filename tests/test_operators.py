@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window, functions as F
@@ -117,8 +118,9 @@ def test_best_sentences_by_brute_force(parts):
     tf = Counter(itertools.chain(*scored))
     score = {i: sum(tf[w] for w in p) * 1000 // len(p) for i, p in enumerate(scored) if p}
     expected = sorted(score, key=lambda i: (-score[i], i))[:3] or list(range(min(3, len(parts))))
-    best = text.best_sentences(whole, 3, frozenset(text.STOP_WORDS))
-    assert [pos for pos, _ in best] == expected
+    said = [" ".join(p) + "." for p in parts]
+    made = text.summary_arrays(pa.array(["", whole, None]), [3], text.STOP_WORDS)[0].to_pylist()
+    assert made == ["", " ".join(said[i] for i in sorted(expected)), None]
 
 
 def test_summary_of_whole_long_text(spark):
