@@ -423,7 +423,48 @@ def score_with_model(spark, sf):
     return scored.select("email_id", "result", "error_message")
 
 
-@query("train_classifier")
+@query(
+    "score_stored",
+    tb.sql(tb.BASE, tb.MAILS, select="""
+SELECT email_id, CASE WHEN contains(email_body, 'idiot') THEN NULL WHEN length(email_body) + 6 > 1000 THEN 'LONG'
+    WHEN length(email_body) + 6 < 200 THEN 'SHORT' END AS result,
+  CASE WHEN contains(email_body, 'idiot') THEN 'ValueError: refused'
+    WHEN length(email_body) + 6 BETWEEN 200 AND 1000 THEN 'answer not allowed' END AS error_message,
+  CASE WHEN bool_or(doc_id % 2 = 0) OVER (PARTITION BY email_body) THEN '1' ELSE '2' END AS asked_in
+FROM mails WHERE email_body IS NOT NULL"""),
+)
+def score_stored(spark, sf):
+    """Answers kept by prompt: mails of even number first, then all of them; the second
+    run asks only for the texts that the first has not met."""
+    mails = tb.mails(spark, sf).filter(F.col("email_body").isNotNull())
+    prompt, folder = F.concat(F.lit("Text: "), F.col("email_body")), work_dir(spark, "answers")
+    even = mails.filter(F.substring("email_id", 2, 20).cast("bigint") % 2 == 0)
+    for batch, rows in enumerate([even, mails], 1):
+        scored = model.score_stored(rows, length_scorer, prompt, folder, batch, allowed=["LONG", "SHORT"])
+    return scored.drop("prompt_hash")
+
+
+BAYES = """
+WITH words AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents),
+tf AS (SELECT doc_id, w, count(*) AS n FROM words GROUP BY ALL),
+named AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'SUPPORT' ELSE 'INFORMATIONAL' END AS label FROM labels JOIN documents USING (doc_id)),
+counts AS (SELECT label, w, sum(n) AS n FROM tf JOIN named USING (doc_id) GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT w FROM counts),
+classes AS (SELECT label, count(*) AS mails FROM named GROUP BY label),
+totals AS (
+  SELECT c.label, ln(mails / sum(mails) OVER ()) AS prior, coalesce(t.n, 0) + (SELECT count(*) FROM vocabulary) AS size
+  FROM classes c LEFT JOIN (SELECT label, sum(n) AS n FROM counts GROUP BY label) t USING (label)),
+parts AS (
+  SELECT tf.doc_id, t.label, sum(tf.n * ln((coalesce(c.n, 0) + 1) / t.size)) AS part
+  FROM tf JOIN vocabulary v ON v.w = tf.w JOIN totals t ON true LEFT JOIN counts c ON c.label = t.label AND c.w = tf.w GROUP BY ALL),
+scores AS (
+  SELECT d.doc_id, t.label, round(t.prior + coalesce(p.part, 0), 6) AS score
+  FROM documents d JOIN totals t ON true LEFT JOIN parts p ON p.doc_id = d.doc_id AND p.label = t.label)
+SELECT CAST(doc_id AS VARCHAR) AS email_id, label AS predicted FROM scores
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1"""
+
+
+@query("train_classifier", BAYES)
 def train_classifier(spark, sf):
     """Classes predicted for every document by a model trained on the labelled ones."""
     documents = tb.spread(tb.table(spark, sf, "documents"), "doc_id").select(
@@ -432,8 +473,7 @@ def train_classifier(spark, sf):
     labels = tb.table(spark, sf, "labels").select(
         "doc_id", F.when(F.col("toxic") == 1, "SUPPORT").otherwise("INFORMATIONAL").alias("label")
     )
-    fitted = model.train_classifier(documents.join(labels, "doc_id"))
-    return model.predict(fitted, documents)
+    return model.predict(model.train_classifier(documents.join(labels, "doc_id")), documents)
 
 
 @query(
@@ -446,12 +486,12 @@ def urgent_predicate(spark, sf):
     return tb.mails(spark, sf, True).select("email_id", urgent.alias("urgent"))
 
 
-INDICATORS = """array_to_string([x for x in [
-  CASE WHEN subject ILIKE '%urgent%' THEN 'URGENT_SUBJECT' END,
-  CASE WHEN subject ILIKE '%asap%' THEN 'ASAP_SUBJECT' END,
-  CASE WHEN subject ILIKE '%critical%' THEN 'CRITICAL_SUBJECT' END,
-  CASE WHEN email_body ILIKE '%immediately%' THEN 'IMMEDIATE_CONTENT' END,
-  CASE WHEN email_body ILIKE '%emergency%' THEN 'EMERGENCY_CONTENT' END] if x IS NOT NULL], ',')"""
+CODES = [
+    f"CASE WHEN {column} ILIKE '{pattern}' THEN '{code}' END"
+    for column, found in (("subject", values.SUBJECT_INDICATORS), ("email_body", values.BODY_INDICATORS))
+    for pattern, code in found
+]
+INDICATORS = f"array_to_string([x for x in [{', '.join(CODES)}] if x IS NOT NULL], ',')"
 
 
 @query(

@@ -9,6 +9,7 @@ from mailflow.catalog import testbed as tb
 from mailflow.catalog.registry import query
 from mailflow.operators import parse
 from mailflow.plans import jobs
+from mailflow.session import work_dir
 
 
 @query(
@@ -63,6 +64,22 @@ def apply_retention(spark, sf):
     return jobs.apply_retention(tb.jobs(spark, sf))
 
 
+@query(
+    "retain_log",
+    tb.sql(tb.JOBS, select="""
+SELECT job_id, job_type, start_time, status, false AS dropped_day_left FROM jobs, job_now WHERE start_time >= t - INTERVAL 30 DAY
+UNION ALL SELECT concat('MAINTENANCE_', strftime(t, '%Y-%m-%d %H:%M:%S')), 'SIMPLE_MAINTENANCE', t, 'COMPLETED', false FROM job_now"""),
+)
+def retain_log(spark, sf):
+    """A stored log by day, its old days dropped, read again."""
+    log, folder = tb.jobs(spark, sf), work_dir(spark, "job-log")
+    jobs.append_log(log, folder)
+    dropped = jobs.retain(spark, folder, log.schema)
+    left = jobs.read_log(spark, folder, log.schema)
+    stale = F.to_date("start_time").cast("string").isin(dropped)
+    return left.select("job_id", "job_type", "start_time", "status", stale.alias("dropped_day_left"))
+
+
 @query(
     "threshold_breaches",
     tb.sql(tb.BASE, tb.RAW, tb.JOBS, """

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 
+from mailflow.functions.arrays import let
+
 WORD = "[a-z]+"
 SENTENCE = "[^.!?\n]+[.!?]*"
 
@@ -64,6 +66,26 @@ def count_in(tokens: Column, vocabulary: list[str]) -> Column:
     return F.size(F.filter(tokens, lambda w: w.isin(vocabulary)))
 
 
+def term_counts(words: Column) -> Column:
+    """(term, tf) of a list of words: sorted, equal words are neighbours."""
+
+    def counted(w: Column) -> Column:
+        at = F.filter(
+            F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, F.greatest(i - 1, F.lit(0))))
+        )
+        return let(
+            at,
+            lambda first: F.transform(
+                first,
+                lambda i, k: F.struct(
+                    F.get(w, i).alias("term"), (F.coalesce(F.get(first, k + 1), F.size(w)) - i).alias("tf")
+                ),
+            ),
+        )
+
+    return let(F.sort_array(words), lambda w: F.when(F.size(w) > 0, counted(w)))
+
+
 def polarity(positive: Column, negative: Column) -> Column:
     """(p - n) / (p + n), cut after four decimals, as text; no hits give zero.
 

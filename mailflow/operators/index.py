@@ -10,10 +10,9 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailflow.functions import text
-from mailflow.functions.arrays import let
 from mailflow.operators import search
 from mailflow.sources import landing
 
@@ -27,31 +26,11 @@ def bucket_of(term: str, buckets: int = BUCKETS) -> int:
     return zlib.crc32(term.encode()) % buckets
 
 
-def term_counts(words: Column) -> Column:
-    """(term, tf) of a list of words: sorted, equal words are neighbours."""
-
-    def counted(w: Column) -> Column:
-        at = F.filter(
-            F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i) != F.get(w, F.greatest(i - 1, F.lit(0))))
-        )
-        return let(
-            at,
-            lambda first: F.transform(
-                first,
-                lambda i, k: F.struct(
-                    F.get(w, i).alias("term"), (F.coalesce(F.get(first, k + 1), F.size(w)) - i).alias("tf")
-                ),
-            ),
-        )
-
-    return let(F.sort_array(words), lambda w: F.when(F.size(w) > 0, counted(w)))
-
-
 def postings(mails: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row per mail and word.  Words are counted within the row: no shuffle."""
     full = F.concat_ws(" ", F.coalesce("subject", F.lit("")), "email_body")
     words = mails.filter(F.col("email_body").isNotNull()).select("email_id", text.words(full).alias("_w"))
-    rows = words.select("email_id", F.size("_w").alias("dl"), F.explode(term_counts(F.col("_w"))).alias("_t"))
+    rows = words.select("email_id", F.size("_w").alias("dl"), F.explode(text.term_counts(F.col("_w"))).alias("_t"))
     return rows.select("_t.term", "email_id", "_t.tf", "dl", (F.crc32("_t.term") % buckets).cast("int").alias("bucket"))
 
 

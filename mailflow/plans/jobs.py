@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailflow import values
 from mailflow.clock import ago, as_of_column, moment
 from mailflow.operators.dedupe import latest_per_key
 
 
+DAY = "start_day"
+
+
 def job_status(failed: Column) -> Column:
     return F.when(failed == 0, values.COMPLETED).otherwise(values.PARTIAL_FAILURE)
 
@@ -65,6 +70,60 @@ def apply_retention(jobs: DataFrame, days: int = values.KEEP_JOB_DAYS, as_of=Non
     return kept.unionByName(record)
 
 
+def append_log(jobs: DataFrame, log_dir: str) -> None:
+    """Add run records to a log kept in one folder per day of their start."""
+    dated = jobs.withColumn(DAY, F.to_date("start_time"))
+    dated.write.partitionBy(DAY).mode("append").parquet(log_dir)
+
+
+def _days(spark: SparkSession, log_dir: str) -> dict[str, str]:
+    """Day and folder of every partition; rows without a start have no day."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(log_dir)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    folders = [str(f.getPath().toString()) for f in found if f.isDirectory()]
+    named = [f for f in folders if f.rsplit("/", 1)[1].startswith(f"{DAY}=2") or f.rsplit("/", 1)[1].startswith(f"{DAY}=1")]
+    return {f.rsplit("=", 1)[1]: f for f in named}
+
+
+def read_log(spark: SparkSession, log_dir: str, schema, days: int | None = values.KEEP_JOB_DAYS, as_of=None) -> DataFrame:
+    """The run records of the last ``days`` (all of them for None): folders of older days
+    are not opened, and of the first day only later starts are taken.  ``as_of`` is the
+    latest start unless given; only the latest day is read for it."""
+    log = spark.read.schema(schema).option("basePath", log_dir).parquet(log_dir)
+    if days is not None:
+        start = _since(spark, log_dir, schema, days, as_of)
+        log = log.filter((F.col(DAY) >= F.lit(start).cast("date")) & (F.col("start_time") >= F.lit(start)))
+    return log.drop(DAY)
+
+
+def _since(spark: SparkSession, log_dir: str, schema, days: int, as_of) -> datetime:
+    if as_of is None:
+        latest = max(_days(spark, log_dir))
+        log = spark.read.schema(schema).option("basePath", log_dir).parquet(f"{log_dir}/{DAY}={latest}")
+        as_of = log.select(F.max("start_time")).first()[0]
+    return as_of - timedelta(days=days)
+
+
+def retain(spark: SparkSession, log_dir: str, schema, days: int = values.KEEP_JOB_DAYS, as_of=None) -> list[str]:
+    """Drop the folders of days that end before the last ``days`` and add the record of
+    the clean-up; returns the days dropped.  No file that stays is read or written:
+    records of the first day kept may be older by hours, and ``read_log`` leaves them out.
+    """
+    start = _since(spark, log_dir, schema, days, as_of)
+    dropped = []
+    for day, folder in sorted(_days(spark, log_dir).items()):
+        if day < start.date().isoformat():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            dropped.append(day)
+    now = start + timedelta(days=days)
+    record = (f"MAINTENANCE_{now}", values.JOB_MAINTENANCE, now, values.COMPLETED)
+    named = spark.createDataFrame([record], "job_id string, job_type string, start_time timestamp_ntz, status string")
+    append_log(named, log_dir)
+    return dropped
+
+
 def threshold_breaches(
     jobs: DataFrame, raw: DataFrame, max_latency=values.MAX_LATENCY_SECONDS,
     max_error_percent=values.MAX_ERROR_PERCENT, max_queue=values.MAX_QUEUE_DEPTH,

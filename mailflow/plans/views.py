@@ -228,20 +228,25 @@ def error_messages(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7) -
     return rows(files, values.ERRORS_FILES).unionByName(rows(failed_jobs, values.ERRORS_JOBS))
 
 
-def recent_errors(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7) -> DataFrame:
+def recent_errors(raw: DataFrame, jobs: DataFrame, as_of=None, days: int = 7, most: int = 1000) -> DataFrame:
     """File errors and job errors of the last days, always two rows.
 
-    Repeated messages are grouped before they are joined to one text.  Where the
-    messages themselves are very many, use ``error_messages``.
+    Repeated messages are grouped, and the first ``most`` in order of the text are
+    joined to one; the text ends with how many there are besides.  ``error_messages``
+    has all of them as rows.
     """
 
     def row(errors: DataFrame, category: str) -> DataFrame:
-        joined = F.array_join(F.array_sort(F.collect_set("message")), "; ")
-        return _by_message(errors).agg(
+        grouped = _by_message(errors)
+        first = grouped.filter(F.col("message").isNotNull()).orderBy("message").limit(most)
+        joined = first.select(F.array_join(F.array_sort(F.collect_list("message")), "; ")).scalar()
+        others = F.count("message") - most
+        more = F.when(others > 0, F.concat(F.lit("; and "), others.cast("string"), F.lit(" more"))).otherwise("")
+        return grouped.agg(
             F.lit(category).alias("error_category"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("error_count"),
             F.max("latest").alias("latest_error"),
-            F.when(F.count("message") > 0, joined).alias("error_messages"),
+            F.when(F.count("message") > 0, F.concat(joined, more)).alias("error_messages"),
         )
 
     files, failed_jobs = _failures(raw, jobs, as_of, days)
