@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from mailflow import values
 from mailflow.catalog import testbed as tb
-from mailflow.catalog.enrichment import ALERTS, REALTIME, REALTIME_CTES
+from mailflow.catalog.enrichment import ALERTS, REALTIME, REALTIME_CTES, class_sql
 from mailflow.catalog.ingest import ITEM_MAILS, item_files, item_number, write_files
 from mailflow.catalog.parsing import ALL_SHAPES
 from mailflow.catalog.registry import query
+from mailflow.catalog.views import URGENT
 from mailflow.functions import ids
-from mailflow.operators import parse
+from mailflow.operators import enrich, parse
 from mailflow.session import work_dir
 from mailflow.sources import files, landing
 from mailflow.streaming import queries as st
@@ -33,14 +34,14 @@ def _stored(spark, rows, name: str):
 
 
 def _raw_stream(spark, sf, name):
-    rows = tb.raw(spark, sf, True).select(
+    rows = tb.raw(spark, sf).select(
         "file_id", "file_name", "upload_timestamp", "file_text", "processing_status"
     )
     return _stored(spark, rows, name)
 
 
 def _mail_stream(spark, sf, name):
-    rows = tb.mails(spark, sf, True).select("email_id", "sender_email", "subject", "email_body")
+    rows = tb.mails(spark, sf).select("email_id", "sender_email", "subject", "email_body")
     return _stored(spark, rows, name)
 
 
@@ -66,7 +67,7 @@ def _parsed_stream(spark, sf, name):
 
 @query(
     "stream_parse",
-    tb.sql(tb.SOLO, tb.RAW, select=f"""
+    tb.sql(tb.BASE, tb.RAW, select=f"""
 SELECT p.file_id, p.email_format, p.sender_email, p.subject, p.email_body, p.email_date, p.status
 FROM ({ALL_SHAPES}) p JOIN raw USING (file_id) WHERE processing_status = 'PENDING'"""),
 )
@@ -104,7 +105,7 @@ def stream_intervals(spark, sf):
 
 @query(
     "stream_job_log",
-    tb.sql(tb.SOLO, tb.RAW, select="""
+    tb.sql(tb.BASE, tb.RAW, select="""
 SELECT 'REALTIME_PROCESSING' AS job_type, count(*) FILTER (has_content) AS files_processed,
   count(*) FILTER (NOT has_content) AS files_failed
 FROM raw WHERE processing_status = 'PENDING'"""),
@@ -134,7 +135,7 @@ def stream_enrich(spark, sf):
     return rows.join(classes, "email_id")
 
 
-@query("stream_alerts", tb.sql(tb.SOLO, tb.MAILS, select=ALERTS))
+@query("stream_alerts", tb.sql(tb.BASE, tb.MAILS, select=ALERTS))
 def stream_alerts(spark, sf):
     """Alerts on new mails."""
     mails = _mail_stream(spark, sf, "alert-source")
@@ -184,18 +185,25 @@ def stream_dedupe(spark, sf):
     return spark.read.schema(rows.schema).parquet(f"{out}/t").select("content")
 
 
+CHAIN = [
+    """
+page_mails AS (
+  SELECT page_id, 0 AS place, concat('page ', page_id) AS subject,
+    concat(CASE WHEN page_id % 5 = 0 THEN 'Urgent: asap. ' ELSE 'Note. ' END, html) AS email_body FROM pages
+  UNION ALL SELECT page_id, 1, concat('reply ', page_id), html FROM pages WHERE page_id % 2 = 0
+), mails AS (SELECT *, concat(page_id, '-', place) AS email_id FROM page_mails)""",
+    class_sql(enrich.CLASS_RULES),
+]
+
+
 @query(
     "mail_chain",
-    """
-SELECT page_id, 0 AS place, concat('page ', page_id) AS subject,
-  CASE WHEN page_id % 5 = 0 THEN 'URGENT' ELSE 'OTHER' END AS email_classification,
-  page_id % 5 = 0 AS alerted
-FROM pages UNION ALL
-SELECT page_id, 1, concat('reply ', page_id), 'OTHER', false FROM pages WHERE page_id % 2 = 0""",
+    tb.sql(*CHAIN, select=f"""
+SELECT page_id, place, subject, email_classification, {URGENT} AS alerted FROM mails JOIN classes USING (email_id)"""),
 )
 def mail_chain(spark, sf):
-    """Files, raw table, mails, enrichment and alerts in one go: a file per
-    page, with one mail or an array of two."""
+    """Files, raw table, mails, enrichment and alerts in one go: a file per page with its
+    whole HTML, as one mail or an array of two."""
     number = F.col("page_id").cast("string")
 
     def mail(subject, body):
@@ -205,10 +213,9 @@ def mail_chain(spark, sf):
             body.alias("email_text"),
         )
 
-    # The class and urgency words of the pages themselves are left out of the test.
     flagged = F.when(F.col("page_id") % 5 == 0, "Urgent: asap. ").otherwise("Note. ")
-    first = mail("page ", F.concat(flagged, F.col("url")))
-    reply = mail("reply ", F.col("url"))
+    first = mail("page ", F.concat(flagged, F.col("html")))
+    reply = mail("reply ", F.col("html"))
     content = F.when(F.col("page_id") % 2 == 0, F.to_json(F.array(first, reply))).otherwise(F.to_json(first))
     pages = tb.table(spark, sf, "pages").select(content.alias("value"))
     folder = write_files(pages, work_dir(spark, "chain-files"))

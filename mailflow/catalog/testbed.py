@@ -1,7 +1,7 @@
 """Mail tables made from the given tables, for Spark and as SQL.
 
-``base`` joins documents with the event of the same number: the document is the
-mail's text, the event gives its time, sender and state.  From it come raw files
+``base`` joins documents with their events: the document is the mail's text, one of its
+events gives the mail's time, sender and state.  From it come raw files
 (payloads in every format), mails and summaries; orders and their line items are
 the job log.  Tables are built once per session and folder: what is kept is the
 plan, never data.
@@ -31,28 +31,18 @@ def pick(number: Column, options: list) -> Column:
 
 
 @lru_cache(maxsize=64)
-def base(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
-    """Mails as one flat table.  With ``solo`` the event's part is made from the
-    document's number, for the operators that only look at texts: they then read
-    documents and join nothing."""
-    documents = spread(
-        table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id"
+def base(spark: SparkSession, sf: str) -> DataFrame:
+    """Mails as one flat table: a document and, of all its events, the one of the
+    highest value.  Events belong to the document of their number modulo the number of
+    documents, so that every event takes part."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    size = documents.select(F.max("doc_id") + 1).scalar()
+    event = F.struct("value", "event_id", "ts", "user_id", "event_type")
+    events = (
+        table(spark, sf, "events").groupBy((F.col("event_id") % size).alias("doc_id"))
+        .agg(F.max(event).alias("_e")).select("doc_id", "_e.ts", "_e.user_id", "_e.event_type")
     )
-    if solo:
-        n = F.col("doc_id")
-        micros = n % 43200 * 60000000 + n * 7919 % 1000000
-        start = F.lit("2024-01-01").cast("timestamp_ntz")
-        rows = documents.select(
-            "*",
-            F.timestamp_add("MICROSECOND", micros, start).alias("ts"),
-            (n % 101).alias("user_id"),
-            pick((n * 31 + 7) % 5, EVENT_TYPES).alias("event_type"),
-        )
-    else:
-        events = table(spark, sf, "events").select(
-            F.col("event_id").alias("doc_id"), "ts", "user_id", "event_type"
-        )
-        rows = documents.join(events, "doc_id")
+    rows = spread(documents, "doc_id").join(events, "doc_id")
     kind, text = F.col("event_type"), F.col("text")
     address = F.concat(
         F.lit("user"), F.col("user_id").cast("string"), F.lit("@"), F.col("source"),
@@ -77,9 +67,6 @@ def base(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
     )
 
 
-EVENT_TYPES = ["error", "signup", "purchase", "view", "click"]
-
-
 def _base_sql(rows: str) -> str:
     return f"""
 base AS (
@@ -95,13 +82,11 @@ base AS (
 )"""
 
 
-BASE = _base_sql("SELECT d.*, e.ts, e.user_id, e.event_type FROM documents d JOIN events e ON e.event_id = d.doc_id")
-SOLO = _base_sql("""
-    SELECT *, doc_id % 101 AS user_id,
-      TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(doc_id % 43200 * 60000000 + doc_id * 7919 % 1000000) AS ts,
-      CASE (doc_id * 31 + 7) % 5 WHEN 0 THEN 'error' WHEN 1 THEN 'signup' WHEN 2 THEN 'purchase'
-        WHEN 3 THEN 'view' ELSE 'click' END AS event_type
-    FROM documents""")
+BASE = _base_sql("""
+    SELECT d.*, e.ts, e.user_id, e.event_type FROM documents d JOIN (
+      SELECT event_id % (SELECT max(doc_id) + 1 FROM documents) AS doc_id, ts, user_id, event_type FROM events
+      QUALIFY row_number() OVER (PARTITION BY event_id % (SELECT max(doc_id) + 1 FROM documents)
+        ORDER BY value DESC NULLS LAST, event_id DESC) = 1) e USING (doc_id)""")
 
 
 # --- raw files --------------------------------------------------------------
@@ -226,9 +211,9 @@ def raw_from(b: DataFrame, text: Column) -> DataFrame:
 
 
 @lru_cache(maxsize=64)
-def raw(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
+def raw(spark: SparkSession, sf: str) -> DataFrame:
     """Raw file table; the payload is composed here and parsed again."""
-    b = base(spark, sf, solo)
+    b = base(spark, sf)
     return raw_from(b, payload_text(b)).withColumn("file_content", F.try_parse_json("file_text"))
 
 
@@ -253,9 +238,9 @@ raw AS (
 
 
 @lru_cache(maxsize=64)
-def mails(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
+def mails(spark: SparkSession, sf: str) -> DataFrame:
     """Processed mails: every file that did not fail; some have no body."""
-    b, n = base(spark, sf, solo), F.col("doc_id")
+    b, n = base(spark, sf), F.col("doc_id")
     none = F.lit(0)
     return b.filter(F.col("processing_status") != values.FAILED).select(
         F.concat(F.lit("M"), n.cast("string")).alias("email_id"),
@@ -295,12 +280,12 @@ mails AS (
 
 
 @lru_cache(maxsize=64)
-def summaries(spark: SparkSession, sf: str, solo: bool = False) -> DataFrame:
+def summaries(spark: SparkSession, sf: str) -> DataFrame:
     """Four summary rows per COMPLETED mail; SENTIMENT only where labelled."""
     labels = table(spark, sf, "labels").select(
         "doc_id", (F.col("quality") - F.col("toxic")).cast("string").alias("feeling")
     )
-    b = base(spark, sf, solo).filter(F.col("processing_status") == values.COMPLETED)
+    b = base(spark, sf).filter(F.col("processing_status") == values.COMPLETED)
     with_label = b.join(labels, "doc_id", "left")
     kinds = F.array(*[F.lit(kind) for kind in values.SUMMARY_TYPES])
     kind, number = F.col("summary_type"), F.col("doc_id").cast("string")
