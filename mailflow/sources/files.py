@@ -87,7 +87,9 @@ def explode_mail_batch(raw: DataFrame) -> DataFrame:
     content, text = F.col("file_content"), F.col("file_text")
     large = content.isNull() & (F.octet_length(text) > VARIANT_BYTES) & F.rtrim(text).endswith("]")
     listed = F.when(large, F.from_json(text, "array<variant>"))
-    whole = F.when(F.size(listed) == F.json_array_length(text), listed)
+    # The text is one JSON value if it is the first of exactly two elements of an array.
+    ended = F.json_array_length(F.concat(F.lit("["), text, F.lit(", 0]"))) == 2
+    whole = F.when(ended & (F.size(listed) == F.json_array_length(text)), listed)
     elements = F.coalesce(F.try_variant_get(content, "$", "array<variant>"), whole)
     batch = F.col("_elements").isNotNull()
     filled = F.coalesce(F.size("_elements") > 0, F.lit(False))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from mailflow import values
-from mailflow.operators import alerts, enrich, parse
+from mailflow.operators import alerts, dedupe, enrich, parse, quality
 from mailflow.plans import jobs
 from mailflow.sources import files, landing
 
@@ -254,8 +254,9 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
     """Files → raw table → mails → enrichment and alerts, on what is new.
 
     Calling it again with the same ``out`` works off the files added since.
-    Returns the tables, and as ``files`` the raw files with their status after
-    parsing.
+    Returns the tables, and over all batches so far: ``files``, the raw files with their
+    status after parsing; ``invalid``, the mails that break a rule, with the rules;
+    ``unique``, the earliest mail of each content.
     """
     tables = {n: f"{out}/{n}" for n in ("raw", "mails", "classes", "summaries", "alerts", "jobs")}
     mark = {n: f"{out}/_checkpoints/{n}" for n in tables}
@@ -298,4 +299,10 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
         name: landing.read_table(spark, folder, schemas[name]) for name, folder in tables.items()
     }
     outcomes = stored["mails"].select("file_id", "status", "error_message")
-    return {**stored, "files": parse.apply_status(stored["raw"], outcomes)}
+    done = stored["mails"].filter(F.col("status") == values.COMPLETED)
+    return {
+        **stored,
+        "files": parse.apply_status(stored["raw"], outcomes),
+        "invalid": quality.invalid_mail(done),
+        "unique": dedupe.dedupe_exact(done),
+    }

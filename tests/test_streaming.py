@@ -24,11 +24,11 @@ def test_chain_takes_only_what_is_new(spark, tmp_path):
     put(inbox, "2.json", [{"email_text": "b"}, {"raw_text": "c"}])
     (inbox / "3.json").write_text("{broken")
     first = counts(st.run_chain(spark, str(inbox), out))
-    assert first == {"raw": 4, "mails": 4, "classes": 3, "summaries": 6, "alerts": 1, "jobs": 2, "files": 4}
+    assert first == {"raw": 4, "mails": 4, "classes": 3, "summaries": 6, "alerts": 1, "jobs": 2, "files": 4, "invalid": 3, "unique": 3}
     assert counts(st.run_chain(spark, str(inbox), out)) == first
     put(inbox, "4.json", {"email_text": "an emergency"})
     second = counts(st.run_chain(spark, str(inbox), out))
-    assert second == {"raw": 5, "mails": 5, "classes": 4, "summaries": 8, "alerts": 2, "jobs": 4, "files": 5}
+    assert second == {"raw": 5, "mails": 5, "classes": 4, "summaries": 8, "alerts": 2, "jobs": 4, "files": 5, "invalid": 4, "unique": 4}
 
 
 def test_replayed_batch_changes_nothing(spark, tmp_path):
