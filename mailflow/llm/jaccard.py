@@ -17,6 +17,10 @@ FREQUENT = 1 << 17  # frequent shingles known at most, of the sample and of all
 RECORDS = 1_000  # texts sent to Python at once, so that a worker stays small
 MISSED = 4  # documents that send a shingle the sample did not show to be frequent
 BITS = 23  # of the filter of documents whose shingles are needed again: 1 MB
+CROWD = 8  # groups that share a shingle from which on leaders go on merging them
+LEADERS = 16  # that a class meets in such a shingle each round
+BAND = 0.01  # of sizes: about one per cent
+FALL = 0.97  # as long as a round leaves less than this share of pairs of such groups
 FACTORS = mix(np.arange(1, 65, dtype=U)) | U(1)
 
 
@@ -193,17 +197,19 @@ def least_need(n: Column, low: Column, high: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.floor(F.least(free(low), free(high)) - 1e-6) + 1)
 
 
-def similar(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common.
-    Only texts that stand for a class of the pairs are read again."""
-    pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    ids = stored(ids.join(classes, "c").select(F.col("rep").alias("doc_id")), "wanted")
+def whole_sets(active: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(c, tokens) of the active classes: one text of each is read again."""
+    ids = stored(active.select("c").join(classes, "c").select(F.col("rep").alias("doc_id")), "wanted")
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS)).alias("bit")
     shown = texts.select("doc_id", "text", bit).mapInArrow(
         arrays(size, bitmap(ids.select(bit))), "doc_id long, c long, tokens array<long>"
     )
-    known = stored(shown.join(ids, "doc_id", "left_semi").select("c", "tokens"), "arrays", RECORDS)
+    shown = shown.join(ids, "doc_id", "left_semi").select("c", "tokens")
+    return stored(shown.groupBy("c").agg(F.first("tokens").alias("tokens")), "arrays", RECORDS)
+
+
+def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common."""
     one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(one, "a").join(two, "b")
@@ -212,15 +218,18 @@ def similar(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, p
     return stored(both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b"), "similar")
 
 
-def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, percent: int = 75, rounds: int = 2) -> DataFrame:
+def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, percent: int = 75, rounds: int = 8) -> DataFrame:
     """Documents linked by 100 * intersection >= ``percent`` * union of their shingle sets.
 
     Equal sets are one class.  A class sends its rarest shingles (``prefixes``); what meets
-    is compared first with one leader per shingle, which partitions similar classes into
-    groups.  The matrix then holds the union of each group's rarest shingles.  A class's
-    overlap with the union bounds its overlap with any member; only groups that reach the
-    least that ``need`` asks for over the group's sizes are opened, and only members that reach it
-    themselves are compared, on whole sets.  Pairs within a group are never formed.
+    is compared first with one leader per shingle, then, where many groups share a shingle,
+    with ``LEADERS`` members of larger groups there, others each round; this partitions
+    similar classes into groups.  The matrix then holds, for each group and band of sizes,
+    the union of its rarest shingles.  A class's overlap with the union bounds its overlap
+    with any member, so it asks by all but ``least`` - 1 of its shingles only, and a group
+    that reaches the bound is opened by the shingles rarest in it; members that reach what
+    ``need`` asks for are compared on whole sets.  Smaller groups ask larger ones, and pairs
+    within a group are never formed.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable).  Texts with fewer
     words than ``size`` have their whole sequence as one shingle; null and empty texts have
@@ -250,39 +259,78 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
 
     active = stored(posts.select("c").distinct().join(classes, "c").select("c", "n"), "active")
 
-    edges, groups = None, active.select("c", F.col("c").alias("g"))
+    known = whole_sets(active, texts, classes, size)
+    groups, edges, most = active.select("c", "n", F.col("c").alias("g")), None, None
     for step in range(rounds):
         placed = posts.join(groups, "c")
-        lead = placed.where("c = g").groupBy("token").agg(F.min_by("g", F.xxhash64("g", F.lit(step))).alias("leader"))
-        pairs = placed.join(lead, "token").where("g <> leader").groupBy("c", "leader").agg(F.count("*").alias("k"))
-        pairs = pairs.join(active, "c").join(active.select(F.col("c").alias("leader"), F.col("n").alias("m")), "leader")
+        if step == 0:  # a class meets the leaders of all its shingles, and takes the one it shares most with
+            lead = placed.groupBy("token").agg(F.min_by(F.struct(F.col("c").alias("b"), F.col("n").alias("m")), F.xxhash64("c")).alias("l"))
+            met = placed.join(lead.select("token", "l.*"), "token").where("c <> b").groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
+            met = met.where(F.col("k") >= need(F.col("n"), F.col("m"), percent))
+        else:  # it meets leaders in groups larger than its own: of its most crowded shingle, others each round
+            counted = placed.groupBy("g").agg(F.count_distinct("c").alias("size"))
+            room = placed.join(crowded, "token").groupBy("c", "g", "n").agg(F.max_by("token", F.struct("groups", "token")).alias("token"))
+            room = stored(room.join(counted, "g").withColumn("rank", F.struct("size", "g")), "rooms")
+            one = F.struct(F.col("c").alias("b"), F.col("rank").alias("other"), F.col("n").alias("m"))
+            drawn = F.array(*[F.min_by(one, F.struct(-F.col("size"), F.xxhash64("c", F.lit(step * LEADERS + i)))) for i in range(LEADERS)])
+            lead = room.groupBy("token").agg(F.array_distinct(drawn).alias("leads")).select("token", F.inline("leads"))
+            met = room.join(lead, "token").where("rank < other").select("c", "b", "n", "m")
         fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
-        pairs = pairs.where(fits & (F.col("k") >= need(F.col("n"), F.col("m"), percent)))
-        best = pairs.groupBy("c").agg(F.max_by("leader", F.struct("k", "leader")).alias("b")).select(F.col("c").alias("a"), "b")
-        found = similar(best, texts, classes, size, percent)
+        met = met.where(fits)
+        if step == 0:
+            met = met.groupBy("c").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
+        found = similar(met.select(F.col("c").alias("a"), "b"), known, percent)
         edges = found if edges is None else edges.unionByName(found)
         named = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
         groups = stored(
             active.join(named, F.col("c") == F.col("node"), "left").select("c", "n", F.coalesce("component", "c").alias("g")),
             "groups",
         )
-
-    # a class asks the groups of smaller name; the other direction is asked by their members
-    placed = posts.join(groups, "c")
+        # go on where many groups share a shingle, as long as they get fewer
+        crowded = posts.join(groups, "c").groupBy("token").agg(F.count_distinct("g").alias("groups"))
+        crowded = stored(crowded.where(F.col("groups") >= CROWD), "crowded")
+        still = crowded.agg(F.coalesce(F.sum(F.col("groups") * F.col("groups")), F.lit(0))).first()[0]
+        if still == 0 or (step > 0 and still > FALL * most):
+            break
+        most = still
+
+    # a class asks the groups larger than its own; the other direction is asked by their members.
+    # A group is asked by bands of about equal sizes, which makes the bounds tight.
+    band = F.xxhash64("g", F.floor(F.log("n") / BAND)).alias("h")
+    counted = groups.groupBy("g").agg(F.count("*").alias("members"))
+    banded = stored(groups.select("*", band).join(counted, "g"), "bands")
+    placed = posts.join(banded, "c")
     lists = placed.groupBy("token").agg(F.min("g").alias("one"), F.max("g").alias("two")).where("one < two").select("token")
-    placed = stored(placed.join(lists, "token").select("token", "c", "g", "n"), "matrix")
-    matrix = placed.select("token", F.col("g").alias("other")).distinct()
-    sizes = groups.groupBy(F.col("g").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    asked = placed.join(matrix, "token").where("other < g").groupBy("c", "n", "other").agg(F.count("*").alias("k")).join(sizes, "other")
+    placed = stored(placed.join(lists, "token").select("token", "c", "g", "h", "n", "members"), "matrix")
+    # the matrix: shingle and group, with the group's sizes and how many of it have the shingle
+    matrix = placed.groupBy("token", "h").agg(F.count("*").alias("holders"), F.struct(F.first("members"), F.first("g")).alias("others"))
+    spans = banded.groupBy("h").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    matrix = stored(matrix.join(spans, "h"), "token-groups")
+    # what shares ``least`` of a class's shingles shares one of all but ``least`` - 1, the least crowded ones
+    width = matrix.groupBy("token").agg(F.count("*").alias("width"))
+    own = Window.partitionBy("c")
+    asking = placed.drop("h").join(width, "token").withColumn("place", F.row_number().over(own.orderBy("width", "token")))
+    asking = asking.withColumn("shared", F.count("*").over(own))
     low, high = F.greatest("low", F.col("n") * share), F.least("high", F.col("n") / share)
-    enough = F.col("k") >= least_need(F.col("n"), F.ceil(low - 1e-9), F.floor(high + 1e-9), percent)
-    opened = stored(asked.where((low <= high + 1e-9) & enough).select("c", "other"), "opened")
-    members = placed.select("token", F.col("c").alias("b"), F.col("g").alias("other"), F.col("n").alias("m"))
-    near = placed.select("token", "c", "n").join(opened, "c").join(members, ["token", "other"])
-    near = near.groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
+    least = least_need(F.col("n"), F.ceil(low - 1e-9), F.floor(high + 1e-9), percent)
+    fits = (low <= high + 1e-9) & (F.col("place") <= F.col("shared") - least + 1)
+    larger_one = F.col("others") > F.struct("members", "g")
+    asked = asking.join(matrix, "token").where(larger_one & fits).select("c", "h", least.alias("least")).distinct()
+    asked = stored(asked, "asked")
+    # bound the overlap with the group; a member that reaches it has one of the k - least + 1 shingles rarest there
+    bound = placed.select("token", "c").join(asked, "c").join(matrix.select("token", "h", "holders"), ["token", "h"])
+    pair = Window.partitionBy("c", "h")
+    bound = bound.withColumn("k", F.count("*").over(pair)).where("k >= least")
+    bound = bound.withColumn("place", F.row_number().over(pair.orderBy("holders", "token")))
+    probes = stored(bound.where("place <= k - least + 1").select("c", "h", "token"), "opened")
+    members = placed.select("token", "h", F.col("c").alias("b"))
+    near = probes.join(members, ["token", "h"]).select("c", "b").distinct()
+    short = stored(placed.groupBy("c", "n").agg(F.collect_list("token").alias("rare")), "rare")
+    near = near.join(short, "c").join(short.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("rare").alias("theirs")), "b")
     fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
-    near = near.where(fits & (F.col("k") >= need(F.col("n"), F.col("m"), percent)))
-    links = similar(near.select(F.col("c").alias("a"), "b"), texts, classes, size, percent)
+    shared = F.size(F.array_intersect("rare", "theirs"))
+    near = near.where(fits & (shared >= need(F.col("n"), F.col("m"), percent)))
+    links = similar(near.select(F.col("c").alias("a"), "b"), known, percent)
     # links within a group say nothing new, and those between two groups say the same
     links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
     links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
