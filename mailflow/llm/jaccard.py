@@ -17,6 +17,7 @@ FREQUENT = 1 << 17  # frequent shingles known at most, of the sample and of all
 RECORDS = 1_000  # texts sent to Python at once, so that a worker stays small
 MISSED = 4  # documents that send a shingle the sample did not show to be frequent
 BITS = 23  # of the filter of documents whose shingles are needed again: 1 MB
+NAMES = 200_000  # ids that are broadcast at most, 8 bytes each
 CROWD = 8  # groups that share a shingle from which on leaders go on merging them
 LEADERS = 16  # that a class meets in such a shingle each round
 BAND = 0.01  # of sizes: about one per cent
@@ -208,8 +209,19 @@ def whole_sets(active: DataFrame, texts: DataFrame, classes: DataFrame, size: in
     return stored(shown.groupBy("c").agg(F.first("tokens").alias("tokens")), "arrays", RECORDS)
 
 
+def named_by(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """Those rows (c, ...) that ``pairs`` (a, b) name, so that a join with both ends moves
+    no others.  The names are broadcast while they are at most ``NAMES``."""
+    ids = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    ids = stored(ids, f"{name}-ids")
+    few = ids.count() <= NAMES
+    return stored(rows.join(F.broadcast(ids) if few else ids, "c", "left_semi"), name, RECORDS)
+
+
 def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common."""
+    pairs = stored(pairs, "pairs")
+    known = named_by(known, pairs, "compared")
     one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(one, "a").join(two, "b")
@@ -260,15 +272,15 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     active = stored(posts.select("c").distinct().join(classes, "c").select("c", "n"), "active")
 
     known = whole_sets(active, texts, classes, size)
-    groups, edges, most = active.select("c", "n", F.col("c").alias("g")), None, None
+    groups, edges, most, dense = active.select("c", "n", F.col("c").alias("g")), None, None, posts
     for step in range(rounds):
-        placed = posts.join(groups, "c")
+        placed = (posts if step == 0 else dense).join(groups, "c")
         if step == 0:  # a class meets the leaders of all its shingles, and takes the one it shares most with
             lead = placed.groupBy("token").agg(F.min_by(F.struct(F.col("c").alias("b"), F.col("n").alias("m")), F.xxhash64("c")).alias("l"))
             met = placed.join(lead.select("token", "l.*"), "token").where("c <> b").groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
             met = met.where(F.col("k") >= need(F.col("n"), F.col("m"), percent))
         else:  # it meets leaders in groups larger than its own: of its most crowded shingle, others each round
-            counted = placed.groupBy("g").agg(F.count_distinct("c").alias("size"))
+            counted = groups.groupBy("g").agg(F.count("*").alias("size"))
             room = placed.join(crowded, "token").groupBy("c", "g", "n").agg(F.max_by("token", F.struct("groups", "token")).alias("token"))
             room = stored(room.join(counted, "g").withColumn("rank", F.struct("size", "g")), "rooms")
             one = F.struct(F.col("c").alias("b"), F.col("rank").alias("other"), F.col("n").alias("m"))
@@ -286,12 +298,14 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
             active.join(named, F.col("c") == F.col("node"), "left").select("c", "n", F.coalesce("component", "c").alias("g")),
             "groups",
         )
-        # go on where many groups share a shingle, as long as they get fewer
-        crowded = posts.join(groups, "c").groupBy("token").agg(F.count_distinct("g").alias("groups"))
+        # go on where many groups share a shingle, as long as they get fewer; merging crowds no other
+        crowded = dense.join(groups, "c").groupBy("token").agg(F.count_distinct("g").alias("groups"))
         crowded = stored(crowded.where(F.col("groups") >= CROWD), "crowded")
         still = crowded.agg(F.coalesce(F.sum(F.col("groups") * F.col("groups")), F.lit(0))).first()[0]
         if still == 0 or (step > 0 and still > FALL * most):
             break
+        if step == 0:
+            dense = stored(posts.join(crowded.select("token"), "token"), "dense")
         most = still
 
     # a class asks the groups larger than its own; the other direction is asked by their members.
@@ -325,12 +339,14 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     probes = stored(bound.where("place <= k - least + 1").select("c", "h", "token"), "opened")
     members = placed.select("token", "h", F.col("c").alias("b"))
     near = probes.join(members, ["token", "h"]).select("c", "b").distinct()
-    short = stored(placed.groupBy("c", "n").agg(F.collect_list("token").alias("rare")), "rare")
-    near = near.join(short, "c").join(short.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("rare").alias("theirs")), "b")
+    near = stored(near.select(F.col("c").alias("a"), "b"), "near")
+    short = named_by(posts, near, "rare").groupBy("c").agg(F.collect_list("token").alias("rare")).join(active, "c")
+    near = near.join(short.select(F.col("c").alias("a"), "n", "rare"), "a")
+    near = near.join(short.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("rare").alias("theirs")), "b")
     fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
     shared = F.size(F.array_intersect("rare", "theirs"))
     near = near.where(fits & (shared >= need(F.col("n"), F.col("m"), percent)))
-    links = similar(near.select(F.col("c").alias("a"), "b"), known, percent)
+    links = similar(near.select("a", "b"), known, percent)
     # links within a group say nothing new, and those between two groups say the same
     links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
     links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
