@@ -125,17 +125,23 @@ def prefixes(size: int, share: float, tokens: np.ndarray, counts: np.ndarray):
 
 
 def arrays(size: int, wanted: np.ndarray):
-    """(doc_id, c, tokens) of the texts whose bit is set."""
+    """(c, tokens) of the texts whose bit is set; a class comes once from a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            bit = batch.column(2).to_numpy()
+            bit = batch.column(1).to_numpy()
             chosen = batch.filter(pa.array((wanted[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1))
-            for a, rows, owner, grams in shingle_sets(chosen.column(1), size):
+            for _, rows, owner, grams in shingle_sets(chosen.column(0), size):
                 n, c = class_of(rows, owner, grams)
                 offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(grams.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([chosen.column(0).slice(a, rows), pa.array(c), lists], ["doc_id", "c", "tokens"])
+                fresh = []
+                for key, some in zip(c.tolist(), n.tolist()):
+                    fresh.append(some > 0 and key not in seen)
+                    seen.add(key)
+                found = pa.RecordBatch.from_arrays([pa.array(c), lists], ["c", "tokens"])
+                yield found.filter(pa.array(fresh, pa.bool_()))
 
     return run
 
@@ -199,14 +205,12 @@ def least_need(n: Column, low: Column, high: Column, percent: int) -> Column:
 
 
 def whole_sets(active: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """(c, tokens) of the active classes: one text of each is read again."""
-    ids = stored(active.select("c").join(classes, "c").select(F.col("rep").alias("doc_id")), "wanted")
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS)).alias("bit")
-    shown = texts.select("doc_id", "text", bit).mapInArrow(
-        arrays(size, bitmap(ids.select(bit))), "doc_id long, c long, tokens array<long>"
-    )
-    shown = shown.join(ids, "doc_id", "left_semi").select("c", "tokens")
-    return stored(shown.groupBy("c").agg(F.first("tokens").alias("tokens")), "arrays", RECORDS)
+    """(c, tokens) of the active classes: one text of each is read again.  Where the filter
+    is crowded, sets of other classes come along, and some come from several tasks."""
+    ids = active.select("c").join(classes, "c").select(F.col("rep").alias("doc_id"))
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITS)).alias("bit")
+    shown = texts.select("text", bit("doc_id")).mapInArrow(arrays(size, bitmap(ids.select(bit("doc_id")))), "c long, tokens array<long>")
+    return stored(shown, "arrays", RECORDS)
 
 
 def named_by(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
@@ -221,7 +225,7 @@ def named_by(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common."""
     pairs = stored(pairs, "pairs")
-    known = named_by(known, pairs, "compared")
+    known = named_by(known, pairs, "compared").dropDuplicates(["c"])
     one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
     two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(one, "a").join(two, "b")

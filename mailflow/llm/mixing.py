@@ -77,7 +77,8 @@ def mix(
     the fraction is rounded by the pivotal method in a reduction tree: units of one source
     and size first (by hash, 64 at a time), then residuals of neighbouring sizes, up to one
     unit per source, which is drawn.  Sizes fall along each array, so what is left open is
-    small; the taken words differ from a target by about one large document at most.  Draws depend on key, size and ``seed`` only: reruns agree.
+    small; the taken words differ from a target by about one large document at most.  Draws depend on key, size and ``seed`` (without a key on
+    the text) only: reruns agree.
 
     Returns doc_id, size (words), source_size, target, taken, copies, source.  A null or
     empty text has no words and is taken 0 times; the null source is a source; null keys
@@ -85,7 +86,8 @@ def mix(
     columns of ``rows`` are not looked at.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    units = stored(rows.select(F.col(key).cast("long").alias("doc_id"), F.col(source).alias("source"), size.alias("size")), "words")
+    units = stored(rows.select(F.col(key).cast("long").alias("doc_id"), F.col(source).alias("source"), size.alias("size"),
+        F.when(F.col(key).isNull(), F.xxhash64(text)).alias("salt")), "words")
     sizes = units.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, share, most), "targets")
     targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
@@ -94,7 +96,7 @@ def mix(
     same = F.col("t.source").eqNullSafe(F.col("u.source"))
     wanted = units.alias("u").join(targets.alias("t"), same).select(
         "u.doc_id", "u.source", "u.size", "t.source_size", "t.target", F.col("t.whole"), "t.p",
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), "u.doc_id", "u.size"), 2).alias("h"),
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), "u.doc_id", "u.size", "u.salt"), 2).alias("h"),
     )
     fixed = (F.col("size") == 0) | (F.col("p") <= EPS)
     decided = [wanted.where(fixed).select("doc_id", "source", "size", F.lit(0.0).alias("p"))]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,22 +21,23 @@ Pattern = tuple[tuple[int, ...], int]  # lengths of a sequence, number of such s
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str):
-    """The byte-level BPE given as ranks; strings of special tokens are ordinary text."""
+def encoder(path: str, pattern: str, special: tuple[tuple[str, int], ...]):
+    """The byte-level BPE given as ranks; a special token's string in a text is its id."""
     import base64
 
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    found = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+    return partial(found.encode, allowed_special="all", disallowed_special=())
 
 
-def tokenize(path: str, pattern: str, size: int):
+def tokenize(path: str, pattern: str, special: tuple[tuple[str, int], ...], size: int):
     """Pieces of each text: its ids and then id 0, cut only if longer than ``size``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern).encode_ordinary
+        encode = encoder(path, pattern, special)
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -207,7 +208,7 @@ def assign(plan: dict[int, tuple[np.ndarray, ...]]):
     return run
 
 
-def packed(rows: DataFrame, key: str, text: str, path: str, pattern: str, size: int = 2048) -> DataFrame:
+def packed(rows: DataFrame, key: str, text: str, path: str, pattern: str, special: tuple = (), size: int = 2048) -> DataFrame:
     """Pack tokenized documents into as few sequences of ``size`` tokens as it can.
 
     Texts are tokenized where they lie.  The plan needs only how many pieces there are of
@@ -220,7 +221,7 @@ def packed(rows: DataFrame, key: str, text: str, path: str, pattern: str, size:
     documents like others.  No rows: no sequences.  Other columns are not looked at.
     """
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    pieces = stored(given.mapInArrow(tokenize(path, pattern, size), PIECES), "pieces")
+    pieces = stored(given.mapInArrow(tokenize(path, pattern, special, size), PIECES), "pieces")
     counts = np.zeros(size + 1, dtype=np.int64)
     for length, n in pieces.groupBy("length").count().collect():
         counts[length] = n

@@ -72,11 +72,15 @@ def op9_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-def vocabulary() -> tuple[str, str]:
-    """The 50k byte-level BPE as ranks, and how it cuts words."""
+def vocabulary() -> tuple[str, str, tuple[tuple[str, int], ...]]:
+    """The 50k byte-level BPE as ranks, how it cuts words, and its special tokens."""
+    import json
+
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        special = tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special
 
 
 @query("op4_packed_sequences")
