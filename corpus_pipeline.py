@@ -1,14 +1,14 @@
 """The corpus pipeline: each stage works on all that the one before it kept.
 
 Stages take (spark, docs, sf_dir) and give a DataFrame, which is written as Parquet and
-read again as the next one's ``docs``.  All but the last give the columns of documents.
-A row without doc_id passes the filters unless its text is toxic; rows that repeat a
-doc_id are treated alike.
+read again as the next one's ``docs``.  All but the last give the columns of documents,
+others that ``docs`` has among them.  Rows are told apart by doc_id and, without one, by
+their text; rows equal in both are one document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mailflow.llm import jaccard, linechunks, mixing, packing, toxicity
 from mailflow.llm.queries import vocabulary
@@ -21,37 +21,52 @@ def recounted(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(columns)
 
 
+def row_key() -> Column:
+    """A number for each row: its doc_id, else one beyond all of these by its text."""
+    by_text = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 2)
+    return F.coalesce(F.col("doc_id").cast("long"), by_text)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the field rejects go.  The texts themselves are scored in place."""
+    """Documents that the field rejects go, every row by its own text."""
     labels = table(spark, sf_dir, "labels")
     field = toxicity.learn(docs, labels, "doc_id", "text", "toxic")
-    scored = toxicity.score_toxicity(docs, field, "doc_id", "text").where("predicted = 1").select("doc_id", "score")
-    bad = stored(scored.select(F.col("doc_id").alias("_bad")).distinct(), "toxic")
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    own = F.xxhash64("doc_id", "text")
+    scored = toxicity.score_toxicity(docs.select(own.alias("_own"), "text"), field, "_own", "text")
+    bad = stored(scored.where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct(), "toxic")
+    return docs.join(bad, own == F.col("_bad"), "left_anti")
 
 
 def drop_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the chunks of lines that an earlier document has."""
-    cut = linechunks.drop_chunks(docs, "doc_id", "text", keep=["lang", "source"])
-    return recounted(cut, docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    return recounted(linechunks.drop_chunks(docs, "doc_id", "text", keep=others), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that with the smallest doc_id."""
-    found = jaccard.jaccard_components(docs, "doc_id", "text")
+    """One document of each group of near copies stays, that with the smallest doc_id;
+    rows without one stay only where no row of their group has one."""
+    found = jaccard.jaccard_components(docs.select(row_key().alias("_key"), "text"), "_key", "text")
     copies = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct(), "copies")
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    left = docs.join(copies, row_key() == F.col("_copy"), "left_anti")
+    # rows that repeat key and text are few, and only these are shuffled
+    pair = F.struct(row_key().alias("k"), F.xxhash64("text").alias("h"))
+    twice = stored(docs.groupBy(pair.alias("_pair")).agg(F.count("*").alias("_n")).where("_n > 1").select("_pair"), "twice")
+    once = left.join(twice, pair == F.col("_pair"), "left_anti")
+    again = left.join(twice, pair == F.col("_pair"), "left_semi")
+    return once.unionByName(again.withColumn("_pair", pair).dropDuplicates(["_pair"]).drop("_pair"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs, "doc_id", "text", "source", [3, 1, 2])
+    keyed = docs.withColumn("_key", row_key())
+    mixed = mixing.mix(keyed.select("_key", "text", "source"), "_key", "text", "source", [3, 1, 2])
     nth = F.row_number().over(Window.partitionBy("_id").orderBy("_size"))
     taken = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "copies")
-    taken = stored(taken.withColumn("_nth", nth).select("_id", "_nth", "copies"), "taken")
-    rows = docs.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.length("text"), "text")))
-    both = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_nth")))
-    return both.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    taken = stored(taken.withColumn("_nth", nth).select("_id", "_nth", F.col("copies").alias("_copies")), "taken")
+    rows = keyed.withColumn("_row", F.row_number().over(Window.partitionBy("_key").orderBy(F.length("text"), "text")))
+    both = rows.join(taken, (F.col("_key") == F.col("_id")) & (F.col("_row") == F.col("_nth")))
+    return both.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
