@@ -1,6 +1,7 @@
 """Corpus operators against SQL, brute force and awkward rows."""
 
 import math
+import random
 import re
 
 import numpy as np
@@ -193,6 +194,35 @@ def test_repeats_and_chunks(odd, none):
     assert linechunks.drop_chunks(none, "doc_id", "text").count() == 0
 
 
+def test_chunks_by_length_of_passage(spark):
+    """Each passage stands in two documents, with own lines around it."""
+    rng, rows, at = random.Random(5), [], {}
+    for length in (2, 3, 4, 8, 20):
+        for _ in range(80):
+            passage = [f"shared {rng.random()} line" for _ in range(length)]
+            for again in (0, 1):
+                a, b = rng.randint(1, 6), rng.randint(1, 6)
+                own = [f"own line {rng.random()}" for _ in range(a + b)]
+                at[len(rows)] = (length if again else 0, set(range(a, a + length)))
+                rows.append((len(rows), "\n".join([*own[:a], *passage, *own[a:]])))
+    share = dict.fromkeys((0, 2, 3, 4, 8, 20), 0.0)
+    for r in linechunks.drop_chunks(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect():
+        length, lines = at[r.doc_id]
+        gone = {i for first, n in r.removed for i in range(first, first + n)}
+        assert gone <= (lines if length else set())
+        whole = rows[r.doc_id][1].split("\n")
+        assert r.text == "\n".join(t for i, t in enumerate(whole) if i not in gone) and r.n_removed == len(gone)
+        share[length] += len(gone) / len(lines) / 80
+    assert share[2] > 0.25 and share[3] > 0.5 and share[4] > 0.7 and share[8] > 0.9 and share[20] > 0.95
+
+
+def test_chunks_of_one_text(spark):
+    texts = ["x\nx\nx\nx\nx\nx", "\n\n\n\n", "a\nb\nc\nd\na\nb\nc\nd", "solo", "solo"]
+    rows = {r.doc_id: r for r in linechunks.drop_chunks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text").collect()}
+    assert all(r.text == "\n".join(texts[d].split("\n")[i] for i in range(r.n_lines) if not any(f <= i < f + n for f, n in r.removed)) for d, r in rows.items())
+    assert "x" in rows[0].text and rows[1].n_removed == 0 and {"a", "b", "c", "d"} <= set(rows[2].text) and rows[4].text == "solo"
+
+
 def test_shards(odd, none):
     rows = sharding.shards(odd, "doc_id", "text", 3).toPandas()
     assert len(rows) == 12 and rows.groupby("text_crc32").shard.nunique().max() == 1
