@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from mailflow.llm.spans import U, Words, mix, slices
 
 SAMPLE = 5_000  # labelled documents a model is learnt from, at most
-TRAIN = 400  # of each label, for the field's weights
+PER_LABEL = 400  # of these, of each label, for the field's weights
 PREFIXES = (4, 5, 6)
 CHUNK = 512
 PUNCTUATION = np.zeros(256, dtype=bool)
@@ -162,16 +162,18 @@ def telling(texts: pa.Array, toxic: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, U)
 
 
-def fit(texts: list[str | None], toxic: list[int], steps: int = 25, rate: float = 0.6, decay: float = 1e-4) -> Field:
+def fit(texts: list[str | None], toxic: list[int], steps: int = 25, rate: float = 0.6, decay: float = 1e-4,
+        per_label: int = PER_LABEL) -> Field:
     """Learn a field from labelled documents.  Words of toxic documents with a telling
     feature are labelled 1, all other words 0; the field's likelihood of these labels is
-    raised by Adam, with gradients from forward-backward."""
+    raised by Adam, with gradients from forward-backward.  All documents decide which
+    features tell; the weights are fitted to the first ``per_label`` of each label."""
     column, label = pa.array([t or "" for t in texts], pa.large_string()), np.array(toxic, dtype=float)
     known = telling(column, label) if len(label) and 0 < label.mean() < 1 else np.zeros(0, U)
     moves, start = np.array([[0.99, 0.01], [0.7, 0.3]]), np.array([0.99, 0.01])
     if not len(known):
         return Field(known, np.zeros(0), -12.0, moves, start)
-    chosen = np.sort(np.concatenate([np.flatnonzero(label == v)[:TRAIN] for v in (0, 1)]))
+    chosen = np.sort(np.concatenate([np.flatnonzero(label == v)[:per_label] for v in (0, 1)]))
     parts = []
     for a, _, offsets, data in slices(column.take(pa.array(chosen))):
         words = Words(offsets, data)
@@ -211,21 +213,25 @@ def fit(texts: list[str | None], toxic: list[int], steps: int = 25, rate: float
     return Field(known, theta[: len(known)], float(theta[-3]), np.stack([1 - up, up], axis=1), start)
 
 
-def fitter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def fitter(per_label: int):
     """One row, the field learnt from all (text, label) of the task."""
-    texts, toxic = [], []
-    for batch in batches:
-        texts += batch.column(0).to_pylist()
-        toxic += batch.column(1).to_pylist()
-    field = fit(texts, toxic)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array([field.known.view(np.int64).tolist()], pa.list_(pa.int64())), pa.array([field.weights.tolist()], pa.list_(pa.float64())),
-            pa.array([field.bias], pa.float64()), pa.array([field.moves.ravel().tolist()], pa.list_(pa.float64())),
-            pa.array([field.start.tolist()], pa.list_(pa.float64())),
-        ],
-        ["known", "weights", "bias", "moves", "start"],
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            toxic += batch.column(1).to_pylist()
+        field = fit(texts, toxic, per_label=per_label)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([field.known.view(np.int64).tolist()], pa.list_(pa.int64())), pa.array([field.weights.tolist()], pa.list_(pa.float64())),
+                pa.array([field.bias], pa.float64()), pa.array([field.moves.ravel().tolist()], pa.list_(pa.float64())),
+                pa.array([field.start.tolist()], pa.list_(pa.float64())),
+            ],
+            ["known", "weights", "bias", "moves", "start"],
+        )
+
+    return run
 
 
 def tagger(field: Field, least: float):
@@ -263,15 +269,16 @@ def held_out(key: str):
     return F.pmod(F.crc32(F.col(key).cast("string")), F.lit(3)) == 1
 
 
-def learn(rows: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE) -> Field:
+def learn(rows: DataFrame, labels: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE,
+          per_label: int = PER_LABEL) -> Field:
     """Fit a field on at most ``sample`` labelled documents outside the held-out third, in
-    the order of a hash.  One task fits, on that many texts; the driver sees the field only."""
+    the order of a hash; ``per_label`` of each label, at most, for its weights.  One task fits, on that many texts; the driver sees the field only."""
     asked = labels.where(~held_out(key) & F.col(label).isNotNull()).select(F.col(key).alias("_k"), F.col(label).cast("int").alias("_y"))
     asked = asked.orderBy(F.xxhash64("_k"), "_k", "_y").limit(sample)
     found = rows.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t")).join(F.broadcast(asked), "_k")
     found = found.select("_k", "_t", "_y").orderBy(F.xxhash64("_k"), "_k", "_t").limit(sample)
     kind = "known array<long>, weights array<double>, bias double, moves array<double>, start array<double>"
-    learnt = found.select("_t", "_y").coalesce(1).mapInArrow(fitter, kind).first()
+    learnt = found.select("_t", "_y").coalesce(1).mapInArrow(fitter(per_label), kind).first()
     if learnt is None:
         return fit([], [])
     return Field(

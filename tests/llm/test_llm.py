@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import compare
 from mailflow.llm import fingerprints, jaccard, linechunks, mixing, packing, pages, repeats, sharding, toxicity, vectors
@@ -116,6 +117,24 @@ def test_toxicity(spark, odd, none):
         assert np.allclose(p[doc == d], (a * b)[:, 1] / (a * b).sum(1))
 
 
+def test_toxicity_of_held_out_documents(spark, sf):
+    sf = sf.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    out = toxicity.held_out("doc_id")
+    odd = labels.withColumn("toxic", F.when(out, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    odd = odd.unionByName(labels.limit(5).withColumn("doc_id", F.lit(None).cast("long"))).unionByName(
+        labels.where(out).limit(5).withColumn("toxic", F.lit(None).cast(labels.schema["toxic"].dataType)))
+    field, same = (toxicity.learn(docs, given, "doc_id", "text", "toxic") for given in (labels, odd))
+    assert np.array_equal(field.known, same.known) and np.allclose(field.weights, same.weights)
+    fewer = toxicity.learn(docs, labels, "doc_id", "text", "toxic", per_label=20)
+    assert np.array_equal(field.known, fewer.known) and not np.allclose(field.weights, fewer.weights)
+    scored = toxicity.score_toxicity(docs, field, "doc_id", "text").where("held_out")
+    rows = scored.join(labels.where("toxic IS NOT NULL"), "doc_id").select("predicted", "score", F.col("toxic").cast("int").alias("y")).collect()
+    caught = sum(r.predicted for r in rows if r.y) / sum(r.y for r in rows)
+    right = sum(r.y for r in rows if r.predicted) / max(1, sum(r.predicted for r in rows))
+    assert caught > 0.6 and right > 0.8
+
+
 def test_mixing(spark, sf, odd, none):
     rows = QUERIES["op3_mix_sources"](spark, sf).collect()
     assert rows and sorted(rows) == sorted(QUERIES["op3_mix_sources"](spark, sf).collect())
