@@ -56,21 +56,20 @@ def with_chunks(rows: DataFrame) -> DataFrame:
 
 def marked(given: DataFrame) -> DataFrame:
     """Add ``gone``, numbers of the chunks whose digest occurs before, and ``own``, of those
-    that are the first of several.  Only digests are shuffled, combined within each task; the
-    first place of each goes back to its document, and no join is on a digest."""
+    that are the first of several.  Texts are cut once, to a table of digests; these are
+    combined within each task, the first place of each meets the places of its document,
+    and no join is on a digest.  Whole texts meet only what is marked in them."""
     place = F.posexplode_outer("chunks").alias("at", "c")  # outer: else Spark cuts once more, to see that there is any
     found = with_chunks(given.where(F.col("doc_id").isNotNull())).select("doc_id", "own_hash", place)
-    found = found.where("c.digest IS NOT NULL")
-    first = found.groupBy("c.digest").agg(F.min(F.struct("doc_id", "own_hash", "at")).alias("f"), F.count("*").alias("n"))
-    first = first.select("f.doc_id", "f.own_hash", F.col("f.at").alias("at"), F.when(F.col("n") > 1, F.col("f.at")).alias("often"))
-    known = first.groupBy("doc_id", "own_hash").agg(F.collect_list("at").alias("firsts"), F.collect_list("often").alias("own"))
-
+    found = stored(found.where("c.digest IS NOT NULL").select("doc_id", "own_hash", "at", "c.digest"), "chunk-digests")
+    first = found.groupBy("digest").agg(F.min(F.struct("doc_id", "own_hash", "at")).alias("f"), F.count("*").alias("often"))
+    each = found.drop("digest").join(first.select("f.*", "often"), ["doc_id", "own_hash", "at"], "left").where("often IS NULL OR often > 1")
+    known = each.groupBy("doc_id", "own_hash").agg(
+        F.collect_set(F.when(F.col("often").isNull(), F.col("at"))).alias("gone"), F.collect_set(F.when(F.col("often") > 1, F.col("at"))).alias("own"))
+    known = stored(known, "chunk-marks")
     none = F.array().cast("array<int>")
-    cut = with_chunks(given.join(known, ["doc_id", "own_hash"], "left"))
-    numbers = F.transform("chunks", lambda c, i: F.when(c["digest"].isNotNull(), i))
-    cut = cut.withColumn("numbers", F.filter(numbers, lambda i: i.isNotNull())).drop("chunks", "lines")
-    gone = F.when(F.col("doc_id").isNotNull(), F.array_except("numbers", F.coalesce("firsts", none))).otherwise(none)
-    return cut.withColumn("gone", gone).withColumn("own", F.coalesce("own", none)).drop("numbers", "firsts")
+    both = given.join(known, ["doc_id", "own_hash"], "left")
+    return both.withColumn("gone", F.coalesce("gone", none)).withColumn("own", F.coalesce("own", none))
 
 
 def units(repeated: DataFrame) -> DataFrame:
