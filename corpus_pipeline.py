@@ -64,8 +64,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("_id").orderBy("_size"))
     taken = mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "copies")
     taken = stored(taken.withColumn("_nth", nth).select("_id", "_nth", F.col("copies").alias("_copies")), "taken")
-    rows = keyed.withColumn("_row", F.row_number().over(Window.partitionBy("_key").orderBy(F.length("text"), "text")))
-    both = rows.join(taken, (F.col("_key") == F.col("_id")) & (F.col("_row") == F.col("_nth")))
+    # rows that share a key are few, and only these are numbered, by length and text
+    twice = stored(keyed.groupBy(F.col("_key").alias("_twice")).agg(F.count("*").alias("_n")).where("_n > 1").select("_twice"), "twice")
+    repeats = F.col("_key") == F.col("_twice")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.length("text"), "text"))
+    rows = keyed.join(twice, repeats, "left_semi").withColumn("_row", nth)
+    both = keyed.join(twice, repeats, "left_anti").withColumn("_row", F.lit(1)).unionByName(rows)
+    both = both.join(taken, (F.col("_key") == F.col("_id")) & (F.col("_row") == F.col("_nth")))
     return both.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
 
 
