@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mailflow.llm.store import stored
+from mailflow.llm.store import passing, stored
 
 DIVISOR = 3  # a line ends no chunk in one of so many cases
 FACTOR = 31
@@ -68,7 +68,7 @@ def marked(given: DataFrame) -> DataFrame:
         F.collect_set(F.when(F.col("often").isNull(), F.col("at"))).alias("gone"), F.collect_set(F.when(F.col("often") > 1, F.col("at"))).alias("own"))
     known = stored(known, "chunk-marks")
     none = F.array().cast("array<int>")
-    both = given.join(known, ["doc_id", "own_hash"], "left")
+    both = given.join(known.hint("merge"), ["doc_id", "own_hash"], "left")  # at any size alike, no table of marks is broadcast
     return both.withColumn("gone", F.coalesce("gone", none)).withColumn("own", F.coalesce("own", none))
 
 
@@ -136,11 +136,13 @@ def drop_chunks(rows: DataFrame, key: str, text: str, keep: list[str] | None = N
     carried = [F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep or [])]
     given = rows.select(
         F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("own_hash"), F.col(text).alias("text"), *carried)
-    known = stored(marked(given), "chunks")
-    asked = stored(units(known.where("size(gone) > 0 OR size(own) > 0").select("doc_id", "own_hash", "text", "gone", "own")), "chunk-units")
-    ranges = stored(repeated_ranges(asked), "chunk-ranges")
+    with passing(rows.sparkSession):
+        known = stored(marked(given), "chunks", stays=True)
+    with passing(rows.sparkSession):
+        asked = stored(units(known.where("size(gone) > 0 OR size(own) > 0").select("doc_id", "own_hash", "text", "gone", "own")), "chunk-units")
+        ranges = stored(repeated_ranges(asked), "chunk-ranges", stays=True)
     none = F.array().cast("array<struct<first: int, n: int>>")
-    changed = known.where("size(gone) > 0").join(ranges, ["doc_id", "own_hash"], "left").withColumn("removed", F.coalesce("removed", none))
+    changed = known.where("size(gone) > 0").join(ranges.hint("merge"), ["doc_id", "own_hash"], "left").withColumn("removed", F.coalesce("removed", none))
     both = known.where("size(gone) = 0").withColumn("removed", none).unionByName(changed)
     both = both.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     out = F.flatten(F.transform("removed", lambda r: F.sequence(r["first"], r["first"] + r["n"] - 1)))

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from mailflow.llm import packing
+from mailflow.llm import linechunks, packing
 from mailflow.llm.queries import vocabulary
+from mailflow.llm.store import passing, stored
 
 ROWS = "doc_id long, text string, lang string, source string, n_chars long, lines string, c int, n int"
 
@@ -103,3 +104,35 @@ def test_special_tokens_and_checksums(spark):
 def test_stages_of_nothing(spark, sf, docs):
     for _, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), sf).count() == 0
+
+
+@pytest.fixture
+def tables_left(monkeypatch, tmp_path):
+    """Gives a function: names of the tables that ``work`` leaves in the shared folder, and its rows."""
+    def run(name, work):
+        monkeypatch.setattr("mailflow.session.shared_root", lambda spark: str(tmp_path / name))
+        rows = work().collect()
+        return sorted(re.sub(r"-\w{12}\Z", "", p.name) for p in (tmp_path / name / "mailflow").iterdir()), rows
+
+    return run
+
+
+def test_passing_tables_go(spark, tables_left):
+    def work():
+        with passing(spark):
+            with passing(spark):
+                inner = stored(spark.range(3), "inner")
+                outer = stored(inner.selectExpr("id + 1 AS id"), "outer", stays=True)
+            return stored(outer.selectExpr("id * 2 AS id"), "left", stays=True)
+
+    left, rows = tables_left("p", work)
+    assert left == ["llm-left"] and sorted(r.id for r in rows) == [2, 4, 6]
+
+
+def test_texts_meet_marks_alike_at_any_size(spark, tables_left):
+    """No table of marks is broadcast: what shuffles grows with the texts from the first."""
+    given = spark.createDataFrame([(1, 5, "a\nb"), (2, 6, "a\nb")], "doc_id long, own_hash long, text string")
+    plan = linechunks.marked(given)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    left, rows = tables_left("l", lambda: linechunks.drop_chunks(given, "doc_id", "text"))
+    assert left == ["llm-chunk-ranges", "llm-chunks"] and sorted(r.n_removed for r in rows) == [0, 2]
