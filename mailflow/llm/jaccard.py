@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow.llm.graph import components
 from mailflow.llm.spans import U, Words, mix, slices
-from mailflow.llm.store import stored
+from mailflow.llm.store import passing, stored
 
 ORDER_SAMPLE = 16_384  # documents whose shingles tell which are frequent; the order costs or saves time only
 FREQUENT = 1 << 17  # frequent shingles known at most, of the sample and of all documents
@@ -224,14 +224,16 @@ def named_by(rows: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
 def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Those pairs (a, b) of classes whose sets have ``percent`` of their union in common."""
-    pairs = stored(pairs, "pairs")
-    known = named_by(known, pairs, "compared").dropDuplicates(["c"])
-    one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
-    two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("ta", "tb"))
-    both = both.select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("total"))
-    return stored(both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b"), "similar")
+    with passing(pairs.sparkSession):
+        pairs = stored(pairs, "pairs")
+        known = named_by(known, pairs, "compared").dropDuplicates(["c"])
+        one = known.select(F.col("c").alias("a"), F.col("tokens").alias("ta"))
+        two = known.select(F.col("c").alias("b"), F.col("tokens").alias("tb"))
+        both = pairs.join(one, "a").join(two, "b")
+        common = F.size(F.array_intersect("ta", "tb"))
+        both = both.select("a", "b", common.alias("common"), (F.size("ta") + F.size("tb")).alias("total"))
+        alike = both.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
+        return stored(alike, "similar", stays=True)
 
 
 def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, percent: int = 75, rounds: int = 8) -> DataFrame:
@@ -253,13 +255,23 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     that repeat a key are one document to its links.  Other columns are not looked at.
     Shingles and sets are told apart by 64-bit hashes.
     """
-    share = percent / 100
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = stored(given.mapInArrow(sized(size), "doc_id long, n long, c long"), "sets", RECORDS)
     linked = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy("c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
-    texts = given.where("doc_id IS NOT NULL")
+    with passing(rows.sparkSession):  # the shingles' tables take more than the texts
+        grouped = stored(class_groups(given.where("doc_id IS NOT NULL"), classes, size, percent, rounds), "grouped", stays=True)
+    labelled = classes.join(grouped, "c", "left").select("c", "rep", F.coalesce("g", "c").alias("g"))
+    least = labelled.groupBy("g").agg(F.min("rep").alias("component_id"))
+    final = labelled.join(least, "g").select("c", "component_id")
+    alone = sets.where("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    together = linked.join(final, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return together.unionByName(alone)
+
 
+def class_groups(texts: DataFrame, classes: DataFrame, size: int, percent: int, rounds: int) -> DataFrame:
+    """(c, g) of the classes that meet others: the group of each, see ``jaccard_components``."""
+    share = percent / 100
     rate = max(1, classes.count() // ORDER_SAMPLE)
     drawn = texts.where(F.pmod(F.xxhash64("text", F.lit("order")), F.lit(rate)) == 0).dropDuplicates(["text"])
     seen = drawn.mapInArrow(all_shingles(size), "token long").groupBy("token").count().where("count > 1")
@@ -355,11 +367,4 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
     links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
     named = components(links).select(F.col("node").alias("g"), "component")
-    grouped = groups.join(named, "g", "left").select("c", F.coalesce("component", "g").alias("g"))
-
-    labelled = classes.join(grouped, "c", "left").select("c", "rep", F.coalesce("g", "c").alias("g"))
-    least = labelled.groupBy("g").agg(F.min("rep").alias("component_id"))
-    final = labelled.join(least, "g").select("c", "component_id")
-    alone = sets.where("n = 0 OR doc_id IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    together = linked.join(final, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return together.unionByName(alone)
+    return groups.join(named, "g", "left").select("c", F.coalesce("component", "g").alias("g"))

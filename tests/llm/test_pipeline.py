@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from mailflow.llm import linechunks, packing
+from mailflow.llm import jaccard, linechunks, packing
 from mailflow.llm.queries import vocabulary
 from mailflow.llm.store import passing, stored
 
@@ -129,6 +129,15 @@ def test_passing_tables_go(spark, tables_left):
     assert left == ["llm-left"] and sorted(r.id for r in rows) == [2, 4, 6]
 
 
+def test_stages_leave_small_tables(spark, sf, tables_left, docs):
+    left, _ = tables_left("a", lambda: pipeline.drop_near_copies(spark, docs, sf))
+    assert left == ["llm-copies", "llm-twice"]
+    left, _ = tables_left("b", lambda: pipeline.mix_sources(spark, docs, sf))
+    assert left == ["llm-taken", "llm-twice"]
+    left, _ = tables_left("c", lambda: jaccard.jaccard_components(docs, "doc_id", "text"))
+    assert left == ["llm-classes", "llm-grouped", "llm-sets"]
+
+
 def test_texts_meet_marks_alike_at_any_size(spark, tables_left):
     """No table of marks is broadcast: what shuffles grows with the texts from the first."""
     given = spark.createDataFrame([(1, 5, "a\nb"), (2, 6, "a\nb")], "doc_id long, own_hash long, text string")
