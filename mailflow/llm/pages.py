@@ -199,9 +199,9 @@ def templates(found: DataFrame) -> DataFrame:
     """(host, main, constant) from (host, path, number, n, chars, depth, role, mark, whole).
 
     A path's occurrence vector over the pages of its host is summed to a fingerprint; paths
-    with equal vectors are an equivalence class.  Valid are the classes that occur exactly
-    once on more than half of the pages, whatever the others hold, and whose parents do so too; nested by their
-    paths they are the template.  Its slots are those whose text differs between pages.
+    with equal vectors are an equivalence class.  Valid are the classes all of whose paths occur exactly
+    once on more than half of the pages, whatever the others hold, and of these the paths whose parents
+    are of a valid class; nested they are the template.  Its slots are those whose text differs between pages.
     Main is the slot with an article's name nearest the root that holds 70 % of the text of
     the widest so named.  Where none has such a name it is the widest, so all slots in page
     order, without ``constant``: the template's paths whose text is the same on all pages
@@ -212,9 +212,10 @@ def templates(found: DataFrame) -> DataFrame:
         F.sum("chars").alias("chars"), F.max("depth").alias("depth"), F.max("role").alias("role"),
         (F.min("mark") != F.max("mark")).alias("varies"), F.approx_count_distinct("whole").alias("unlike"),
     )
-    often = stats.join(pages, "host").where("once * 2 > pages")
-    classes = often.groupBy("host", "vector").agg(F.count("*").alias("together"))
-    valid = often.join(classes, ["host", "vector"])
+    # a row a path of a host: written once, else each step below would parse all pages again
+    stats = stored(stats.join(pages, "host"), "path-statistics")
+    classes = stats.groupBy("host", "vector").agg(F.min("once").alias("often"), F.max("pages").alias("of"))
+    valid = stats.join(classes.where("often * 2 > of").select("host", "vector"), ["host", "vector"], "left_semi")
     parent = F.regexp_replace("path", r"/[^/]*\z", "")
     known = valid.select("host", F.col("path").alias("parent")).unionByName(valid.select("host", F.lit("").alias("parent"))).distinct()
     nested = valid.withColumn("parent", parent).join(known, ["host", "parent"], "left_semi")

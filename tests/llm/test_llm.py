@@ -301,3 +301,13 @@ def test_pages_without_article_names(spark):
     long = "Body {0} goes on and on, longer than the lead and the title and all that stands before it"
     want = {i: "\n".join([f"Title {i}", f"Lead {i} of the page", long.format(i), f"End {i}"]) for i in range(5)}
     assert main_of(spark, rows) == want
+
+
+def test_templates_come_through_valid_classes(spark):
+    """Paths are kept by their class, and pages are not parsed again for each step."""
+    rows = [(f"h{h}", p, n, k, 10 + n, d, 1, n, n) for h in range(2) for n in range(4) for p, k, d in (("/a", 1, 1), ("/a/b", 1, 2), ("/a/c", n % 2 + 1, 2))]
+    schema = "host string, path string, number long, n long, chars long, depth long, role long, mark long, whole long"
+    found = pages.templates(spark.createDataFrame(rows, schema).mapInPandas(lambda batches: batches, schema))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and "together" not in plan and "vector" in plan
+    assert {(r.host, r.main) for r in found.collect()} == {("h0", "/a/b"), ("h1", "/a/b")}
