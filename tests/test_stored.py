@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from mailflow.catalog import testbed
 from mailflow.functions import text
 from mailflow.operators import dedupe, enrich, index, model, search, similar
 from mailflow.plans import functions, jobs
@@ -216,3 +217,10 @@ def test_word_counts_in_a_row(spark):
     rows = got.select(text.term_counts(F.col("w")).alias("c")).collect()
     assert [(c.term, c.tf) for c in rows[0].c] == [("a", 1), ("b", 2)]
     assert rows[1].c is None and rows[2].c is None
+
+
+def test_subjects_and_briefs_shuffle_no_texts(spark, sf):
+    for rows in (testbed.mails(spark, sf).select("email_id", "subject"), testbed.summaries(spark, sf)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        join = plan.index("Join ")
+        assert "substring(text" not in plan[:join] and "substring(text" in plan[join:]
