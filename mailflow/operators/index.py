@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mailflow.functions import text
 from mailflow.operators import search
+from mailflow.session import kept
 from mailflow.sources import landing
 
 BUCKETS = 256
@@ -26,29 +27,35 @@ def bucket_of(term: str, buckets: int = BUCKETS) -> int:
     return zlib.crc32(term.encode()) % buckets
 
 
-def postings(mails: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row per mail and word.  Words are counted within the row: no shuffle."""
+def counted(mails: DataFrame) -> DataFrame:
+    """Each mail with a body: its length in words and its distinct words.  Words are
+    counted within the row: no shuffle."""
     full = F.concat_ws(" ", F.coalesce("subject", F.lit("")), "email_body")
     words = mails.filter(F.col("email_body").isNotNull()).select("email_id", text.words(full).alias("_w"))
-    rows = words.select("email_id", F.size("_w").alias("dl"), F.explode(text.term_counts(F.col("_w"))).alias("_t"))
+    return words.select("email_id", F.size("_w").alias("dl"), text.term_counts(F.col("_w")).alias("terms"))
+
+
+def postings(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """One row per mail and word, from ``counted``."""
+    rows = counts.select("email_id", "dl", F.explode("terms").alias("_t"))
     return rows.select("_t.term", "email_id", "_t.tf", "dl", (F.crc32("_t.term") % buckets).cast("int").alias("bucket"))
 
 
 def add_batch(mails: DataFrame, index_dir: str, batch_id=0, buckets: int = BUCKETS, parts: int = 1) -> None:
     """Append the words of new mails; a batch that is complete is left as it is.
 
-    ``parts`` files per bucket hold the batch, split by mail, so that a bucket with a
-    very frequent word is written by several tasks.
+    The mails are read once, into a work table of their words.  ``parts`` files per bucket
+    hold the batch, split by mail, so that a bucket with a very frequent word is written
+    by several tasks.
     """
-    spark = mails.sparkSession
-    found = postings(mails, buckets)
+    if landing.committed(mails.sparkSession, f"{index_dir}/figures", batch_id) is not None:  # written last
+        return
+    counts = kept(counted(mails), "counted-words")
     split = F.pmod(F.xxhash64("email_id"), F.lit(parts))
-    dealt = found.repartition(buckets * parts, "bucket", split).sortWithinPartitions("bucket", "term", "email_id")
+    dealt = postings(counts, buckets).repartition(buckets * parts, "bucket", split).sortWithinPartitions("bucket", "term", "email_id")
     landing.write_batch(dealt, f"{index_dir}/postings", batch_id, partition_by=["bucket"])
-    with_body = mails.filter(F.col("email_body").isNotNull())
-    landing.write_batch(with_body.select("email_id"), f"{index_dir}/members", batch_id)
-    full = F.concat_ws(" ", F.coalesce("subject", F.lit("")), "email_body")
-    size = with_body.agg(F.count("*").alias("mails"), F.coalesce(F.sum(F.size(text.words(full))), F.lit(0)).alias("words"))
+    landing.write_batch(counts.select("email_id"), f"{index_dir}/members", batch_id)
+    size = counts.agg(F.count("*").alias("mails"), F.coalesce(F.sum("dl"), F.lit(0)).alias("words"))
     landing.write_batch(size, f"{index_dir}/figures", batch_id)
 
 

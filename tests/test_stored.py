@@ -219,6 +219,27 @@ def test_word_counts_in_a_row(spark):
     assert rows[1].c is None and rows[2].c is None
 
 
+def met(spark, mails):
+    """The mails, and a counter of the rows of them that were read."""
+    counter = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counter.add(len(batch))
+            yield batch
+
+    return mails.mapInPandas(count, mails.schema), counter
+
+
+def test_index_reads_mails_once(spark, tmp_path):
+    rows = [("1", "a", "b c"), ("2", None, "c"), ("3", "x", None), ("4", "", "")]
+    mails, counter = met(spark, spark.createDataFrame(rows, "email_id string, subject string, email_body string"))
+    index.add_batch(mails, str(tmp_path / "i"), 0)
+    assert counter.value == 4
+    index.add_batch(mails, str(tmp_path / "i"), 0)  # complete: left as it is
+    assert counter.value == 4
+
+
 def test_subjects_and_briefs_shuffle_no_texts(spark, sf):
     for rows in (testbed.mails(spark, sf).select("email_id", "subject"), testbed.summaries(spark, sf)):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
