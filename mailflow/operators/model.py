@@ -125,6 +125,7 @@ def predict(counts: DataFrame, mails: DataFrame, text_col: str = "text") -> Data
     Scores are rounded to six decimals; of equal ones the first label wins.  Words are
     counted within a mail first; a mail's distinct words meet one row per known word.
     """
+    counts = kept(counts, "word-counts")  # asked three times, and may be the training itself
     totals = counts.groupBy("label").agg(
         F.sum(F.when(F.col("word").isNull(), F.col("n"))).alias("mails"),
         F.coalesce(F.sum(F.when(F.col("word").isNotNull(), F.col("n"))), F.lit(0)).alias("words"),

@@ -240,6 +240,13 @@ def test_index_reads_mails_once(spark, tmp_path):
     assert counter.value == 4
 
 
+def test_prediction_trains_once(spark):
+    labelled, counter = met(spark, spark.createDataFrame([("A", "x y"), ("B", "z")], "label string, text string"))
+    mails = spark.createDataFrame([("1", "x"), ("2", "z z"), ("3", None)], "email_id string, text string")
+    got = {r.email_id: r.predicted for r in model.predict(model.train_classifier(labelled), mails).collect()}
+    assert got == {"1": "A", "2": "B", "3": "A"} and counter.value == 2
+
+
 def test_subjects_and_briefs_shuffle_no_texts(spark, sf):
     for rows in (testbed.mails(spark, sf).select("email_id", "subject"), testbed.summaries(spark, sf)):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
