@@ -236,6 +236,47 @@ def similar(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         return stored(alike, "similar", stays=True)
 
 
+def rarest(bound: DataFrame) -> DataFrame:
+    """Of the shingles (c, h, token, holders, least) that a class shares with a group, the
+    k - ``least`` + 1 rarest there, one of which all members have that share ``least``."""
+    pair = Window.partitionBy("c", "h")
+    bound = bound.withColumn("k", F.count("*").over(pair)).where("k >= least")
+    bound = bound.withColumn("place", F.row_number().over(pair.orderBy("holders", "token")))
+    return bound.where("place <= k - least + 1").select("c", "h", "token", "holders")
+
+
+def merged(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """(g, component) of the groups that links (a, b) join.  Links within a group say
+    nothing new, and those between two groups say the same."""
+    links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
+    links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
+    return components(links).select(F.col("node").alias("g"), "component")
+
+
+def whole_bound(wide: DataFrame, banded: DataFrame, linked: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """(c, b): the members that classes may link with in the groups they ask (c, h), without
+    those that ``linked`` has joined already.
+
+    The bound is that of the rarest shingles, on whole sets: a class must share
+    ceil(share (x + y) / (1 + share)) shingles with a member, so that one that lies just
+    beyond a group of near copies opens the few members that have its own shingles, not
+    all that have the group's."""
+    now = banded.join(merged(linked, banded), "g", "left").select("c", "n", "h", F.coalesce("component", "g").alias("top"))
+    now = stored(now, "merged")
+    spans = now.groupBy("h").agg(F.first("top").alias("other"), F.min("n").alias("low"))
+    rest = wide.join(now.select("c", "n", "top"), "c").join(spans, "h").where("top <> other")
+    low = F.greatest("low", F.ceil(percent * F.col("n") / 100.0 - 1e-9))
+    least = F.ceil(percent * (F.col("n") + low) / (100.0 + percent) - 1e-9)
+    rest = stored(rest.select("c", "h", least.alias("least")), "unlinked")
+    members = stored(now.select("h", "c").join(rest.select("h").distinct(), "h", "left_semi"), "asked-members")
+    ids = rest.select("c").unionByName(members.select("c")).select(F.col("c").alias("a"), F.col("c").alias("b"))
+    sets = named_by(known, ids, "whole").dropDuplicates(["c"])
+    held = stored(members.join(sets, "c").select("h", F.col("c").alias("b"), F.explode("tokens").alias("token")), "held")
+    own = rest.join(sets, "c").select("c", "h", "least", F.explode("tokens").alias("token"))
+    bound = own.join(held.groupBy("h", "token").agg(F.count("*").alias("holders")), ["h", "token"])
+    return rarest(bound).join(held, ["h", "token"]).select("c", "b")
+
+
 def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, percent: int = 75, rounds: int = 8) -> DataFrame:
     """Documents linked by 100 * intersection >= ``percent`` * union of their shingle sets.
 
@@ -246,7 +287,8 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     the union of its rarest shingles.  A class's overlap with the union bounds its overlap
     with any member, so it asks by all but ``least`` - 1 of its shingles only, and a group
     that reaches the bound is opened by the shingles rarest in it; members that reach what
-    ``need`` asks for are compared on whole sets.  Smaller groups ask larger ones, and pairs
+    ``need`` asks for are compared on whole sets.  Where that would open more than ``LEADERS``
+    members, the group's most typical ones are compared first and the rest by ``whole_bound``.  Smaller groups ask larger ones, and pairs
     within a group are never formed.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable).  Texts with fewer
@@ -349,12 +391,17 @@ def class_groups(texts: DataFrame, classes: DataFrame, size: int, percent: int,
     asked = stored(asked, "asked")
     # bound the overlap with the group; a member that reaches it has one of the k - least + 1 shingles rarest there
     bound = placed.select("token", "c").join(asked, "c").join(matrix.select("token", "h", "holders"), ["token", "h"])
-    pair = Window.partitionBy("c", "h")
-    bound = bound.withColumn("k", F.count("*").over(pair)).where("k >= least")
-    bound = bound.withColumn("place", F.row_number().over(pair.orderBy("holders", "token")))
-    probes = stored(bound.where("place <= k - least + 1").select("c", "h", "token"), "opened")
-    members = placed.select("token", "h", F.col("c").alias("b"))
-    near = probes.join(members, ["token", "h"]).select("c", "b").distinct()
+    probes = stored(rarest(bound), "opened")
+    opens = stored(probes.groupBy("c", "h").agg(F.sum("holders").alias("opens")), "opens")
+    narrow = probes.join(opens.where(F.col("opens") <= LEADERS).select("c", "h"), ["c", "h"])
+    near = narrow.join(placed.select("token", "h", F.col("c").alias("b")), ["token", "h"]).select("c", "b")
+    # what would open many members meets the typical ones first; whole sets bound what these leave
+    wide = opens.where(F.col("opens") > LEADERS).select("c", "h")
+    held = placed.join(matrix.select("token", "h", "holders"), ["token", "h"]).groupBy("h", "c").agg(F.sum("holders").alias("held"))
+    first = F.row_number().over(Window.partitionBy("h").orderBy(F.desc("held"), "c"))
+    typical = held.withColumn("place", first).where(F.col("place") <= LEADERS).select("h", F.col("c").alias("b"))
+    linked = similar(wide.join(typical, "h").select(F.col("c").alias("a"), "b"), known, percent)
+    near = near.unionByName(whole_bound(wide, banded, linked, known, percent)).distinct()
     near = stored(near.select(F.col("c").alias("a"), "b"), "near")
     short = named_by(posts, near, "rare").groupBy("c").agg(F.collect_list("token").alias("rare")).join(active, "c")
     near = near.join(short.select(F.col("c").alias("a"), "n", "rare"), "a")
@@ -362,9 +409,6 @@ def class_groups(texts: DataFrame, classes: DataFrame, size: int, percent: int,
     fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
     shared = F.size(F.array_intersect("rare", "theirs"))
     near = near.where(fits & (shared >= need(F.col("n"), F.col("m"), percent)))
-    links = similar(near.select("a", "b"), known, percent)
-    # links within a group say nothing new, and those between two groups say the same
-    links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
-    links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
-    named = components(links).select(F.col("node").alias("g"), "component")
+    links = similar(near.select("a", "b"), known, percent).unionByName(linked)
+    named = merged(links, groups)
     return groups.join(named, "g", "left").select("c", F.coalesce("component", "g").alias("g"))

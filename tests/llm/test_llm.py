@@ -1,5 +1,6 @@
 """Corpus operators against SQL, brute force and awkward rows."""
 
+import contextlib
 import math
 import random
 import re
@@ -185,6 +186,45 @@ def test_jaccard(spark, sf, odd, none):
     assert jaccard.jaccard_components(none, "doc_id", "text").count() == 0
 
 
+def test_jaccard_asks_a_large_group_by_few_pairs(spark, monkeypatch):
+    """Texts beyond a group of near copies, by shingles that are frequent elsewhere, are not
+    paired with all its members."""
+    rng = random.Random(7)
+    core, common = [f"c{i}" for i in range(150)], [f"p{i}" for i in range(42)]
+
+    def edited(changes, other=()):
+        at = rng.choice([0, 54, 108])
+        text = core[:at] + [*other] + core[at + len(other) :]
+        for at in rng.sample(range(150), changes):
+            text[at] = f"e{rng.randrange(400)}"
+        return text
+
+    texts = [edited(1 + i % 2) for i in range(300)] + [edited(1, common) for _ in range(80)]
+    texts += [[f"u{i}-{j}" for j in range(60)] + common for i in range(500)]
+    counts = {}
+    stored = jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, name, *a, **k: counts.__setitem__(name, stored(df, name, *a, **k)) or counts[name])
+    monkeypatch.setattr(jaccard, "passing", lambda spark: contextlib.nullcontext())
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, "doc_id", "text").collect()}
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    least = list(range(len(texts)))
+
+    def root(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    assert got == {i: root(i) for i in range(len(texts))}
+    assert len(set(got.values())) > 500
+    assert counts["near"].count() <= 10 * len(texts)
+
+
 def test_jaccard_opens_groups_of_mixed_sizes(spark):
     from pyspark.sql import functions as F
 
