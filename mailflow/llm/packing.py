@@ -15,6 +15,7 @@ from mailflow.llm.store import stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 CHOICES = 24  # fillings looked at around one largest document
+RECORDS = 1_000  # texts sent to Python at once, so that an executor keeps no large buffers
 NODES = 20_000  # of the search; then the best solution so far stands
 
 Pattern = tuple[tuple[int, ...], int]  # lengths of a sequence, number of such sequences
@@ -221,7 +222,7 @@ def packed(rows: DataFrame, key: str, text: str, path: str, pattern: str, specia
     documents like others.  No rows: no sequences.  Other columns are not looked at.
     """
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    pieces = stored(given.mapInArrow(tokenize(path, pattern, special, size), PIECES), "pieces")
+    pieces = stored(given.mapInArrow(tokenize(path, pattern, special, size), PIECES), "pieces", RECORDS)
     counts = np.zeros(size + 1, dtype=np.int64)
     for length, n in pieces.groupBy("length").count().collect():
         counts[length] = n

@@ -167,6 +167,25 @@ def test_packing(spark, odd, none):
     assert sum(k for _, k in plan) <= sum(k for _, k in packing.best_fit(counts, 100))
 
 
+def test_packing_sends_few_texts_at_once(spark, monkeypatch):
+    tokenize = packing.tokenize
+
+    def counted(*given):
+        def run(batches):
+            def few():
+                for batch in batches:
+                    assert batch.num_rows <= 1000
+                    yield batch
+
+            return tokenize(*given)(few())
+
+        return run
+
+    monkeypatch.setattr(packing, "tokenize", counted)
+    docs = spark.range(0, 3000, numPartitions=1).selectExpr("id AS doc_id", "'a few words' AS text")
+    assert packing.packed(docs, "doc_id", "text", *vocabulary()).count() == 3000
+
+
 def test_jaccard(spark, sf, odd, none):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = {r.doc_id: r for r in jaccard.jaccard_components(docs, "doc_id", "text").collect()}
