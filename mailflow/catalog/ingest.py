@@ -3,6 +3,9 @@ folder and read back."""
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from mailflow import values
@@ -16,9 +19,29 @@ from mailflow.sources import files, landing, pull
 
 
 def write_files(rows, folder: str) -> str:
-    """One text file per row."""
+    """One text file per row.
+
+    A writer of Spark's is opened, checked and moved for every file, which takes longer
+    than the file itself; where the folder's file system is known to Arrow, tasks write the
+    files themselves.  A task that is run again writes the same files again.
+    """
     tasks = rows.sparkSession.sparkContext.defaultParallelism
-    rows.repartition(tasks).write.option("maxRecordsPerFile", 1).text(folder)
+    rows = rows.repartition(tasks)
+    try:
+        system, path = FileSystem.from_uri(folder)
+        system.create_dir(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        rows.write.option("maxRecordsPerFile", 1).text(folder)
+        return folder
+
+    def write(part):
+        system, path = FileSystem.from_uri(folder)
+        task = TaskContext.get().partitionId()
+        for n, (value,) in enumerate(part):
+            with system.open_output_stream(f"{path}/part-{task:05d}-{n:09d}.txt") as file:
+                file.write(bytes(value or b"") + b"\n")
+
+    rows.select(F.col(rows.columns[0]).cast("binary")).foreachPartition(write)
     return folder
 
 

@@ -15,6 +15,8 @@ from mailflow.functions.payload import header_time, parse_whole
 
 # Texts up to this size always fit one VARIANT.
 VARIANT_BYTES = 16 << 20
+LISTING_TASKS = 4  # per core
+OPEN_COST = 64 << 10  # bytes that a file counts for besides its own when files are dealt to tasks
 
 
 def _metadata():
@@ -74,6 +76,16 @@ def stream_raw_files(
     return _as_raw_rows(files, parse_whole(F.col("file_text")))
 
 
+def small_files(spark: SparkSession) -> dict[str, str]:
+    """Session settings for a stream of very many small files.  Spark's own give every file
+    of a batch a task to be listed in, and a few files to a task that reads them, which
+    then writes a file of its own."""
+    return {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(LISTING_TASKS * spark.sparkContext.defaultParallelism),
+        "spark.sql.files.openCostInBytes": str(OPEN_COST),
+    }
+
+
 def explode_mail_batch(raw: DataFrame) -> DataFrame:
     """One row per mail: a file holding a JSON array gives a row per element.
 

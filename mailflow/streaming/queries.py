@@ -20,6 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from mailflow import values
 from mailflow.operators import alerts, dedupe, enrich, parse, quality
 from mailflow.plans import jobs
+from mailflow.session import settings
 from mailflow.sources import files, landing
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -266,7 +267,8 @@ def run_chain(spark: SparkSession, path: str, out: str, timeout: int = 3600) ->
 
     source = files.stream_raw_files(spark, path)
     raw_schema = files.explode_mail_batch(source).schema
-    finish(stream_land(source, tables["raw"], mark["raw"]), timeout)
+    with settings(spark, files.small_files(spark)):
+        finish(stream_land(source, tables["raw"], mark["raw"]), timeout)
 
     raw = commits(spark, tables["raw"], raw_schema)
     carried = ["file_name"]

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from mailflow.catalog.ingest import write_files
 from mailflow.operators import enrich
 from mailflow.sources import landing
 from mailflow.streaming import queries as st
@@ -149,3 +150,16 @@ def test_a_run_without_new_files_adds_no_batch(spark, tmp_path):
         st.finish(query)
         assert len(st.intervals(query)) == wanted
     assert landing.read_table(spark, f"{out}/a").count() == 3
+
+
+def test_many_small_files_are_landed_by_few_tasks(spark, tmp_path):
+    texts = [json.dumps({"email_text": f"mail {n}", "subject": "s"}) for n in range(599)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, texts[0]]], "value string")
+    inbox = write_files(rows, str(tmp_path / "in"))
+    files = [p.read_text() for p in (tmp_path / "in").glob("*.txt")]
+    assert sorted(files) == sorted(t + "\n" for t in [*texts, texts[0]])
+    before = dict(spark.conf.getAll)
+    tables = st.run_chain(spark, inbox, str(tmp_path / "out"))
+    assert tables["mails"].filter("status = 'COMPLETED'").select("email_id").distinct().count() == 600
+    assert dict(spark.conf.getAll) == before
+    assert len(list((tmp_path / "out" / "raw" / "data").rglob("*.parquet"))) <= 2 * spark.sparkContext.defaultParallelism
