@@ -112,7 +112,8 @@ def _members(marked: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _similar(mails: DataFrame, form: Column, threshold: float) -> DataFrame:
     formed = mails.select("email_id", form.alias("form")).withColumn("_form", ids.content_hash(F.col("form")))
-    formed = kept(formed.filter("form != ''"), "similar-forms")
+    # Testing for text after writing keeps the form from being computed once more.
+    formed = kept(formed, "similar-forms").filter("form != ''")
     # A form is stored with the group, not with each of its mails.
     forms = formed.groupBy("_form").agg(
         F.min("email_id").alias("id"), F.min("form").alias("form"), F.count("*").alias("copies")

@@ -17,6 +17,7 @@ BANDS = 40
 ROWS = 3  # MinHash values in a band
 ROUNDS = 3
 SEED = 20240501
+BITS = 23  # of the filter of ids that pairs name: 1 MB
 
 
 def shingles(form: Column, words: int = WORDS) -> Column:
@@ -24,7 +25,7 @@ def shingles(form: Column, words: int = WORDS) -> Column:
 
     def runs(w: Column) -> Column:
         last = F.greatest(F.size(w) - words, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(w, i + 1, words)))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(words)]))
 
     return F.array_distinct(let(F.split(form, " "), runs))
 
@@ -69,26 +70,54 @@ def jaccard(a: Column, b: Column) -> Column:
     )
 
 
-def links(sets: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
-    """(id, first, similarity) of sets alike in ``threshold`` or more, found by bands.
+def among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id is among ``ids``, and a few others: a join with ``ids`` then need
+    not move the rest.  The filter is of 2^23 bits, collected as at most 256 pieces of 4 KB."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << BITS))
+    parts = ids.groupBy(F.bitmap_bucket_number(bit + 1).alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit + 1)).alias("m")
+    )
+    wanted = np.zeros(1 << (BITS - 3), np.uint8)
+    for row in parts.collect():
+        wanted[(row.b - 1) * 4096 : row.b * 4096] = np.frombuffer(row.m, np.uint8)
+
+    @F.arrow_udf("boolean")
+    def named(bits: pa.Array) -> pa.Array:
+        at = bits.to_numpy(zero_copy_only=False)
+        return pa.array((wanted[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return rows.filter(named(bit))
+
+
+def links(
+    forms: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS, words: int = WORDS
+) -> DataFrame:
+    """(id, first, similarity) of texts (id, form) whose sets of shingles are alike in
+    ``threshold`` or more, found by bands.
 
-    All sets with a band's key meet the smallest id among them, never each other, so a
-    key of any size gives one pair per member; the pair is then compared exactly.
+    Sets are larger than their texts, so they are made where they are needed and never
+    moved; only texts that a pair names are.  All sets with a band's key meet the smallest
+    id among them, never each other, so a key of any size gives one pair per member; the pair is then compared exactly.
     Members unlike their first form the group of the next round.  A set unlike the first
     ``rounds`` of all its groups, but like another of their members, keeps no link to it.
     """
+    sets = forms.select("id", shingles(F.col("form"), words).alias("hashes"))
     rows = kept(band_keys(sets).select("id", F.posexplode("bands").alias("band", "key")), "similar-bands")
     found = []
     for round_ in range(rounds):
         firsts = rows.groupBy("band", "key").agg(F.min("id").alias("first"), F.count("*").alias("n"))
         met = rows.join(firsts.filter("n > 1").drop("n"), ["band", "key"]).filter("id != first")
         met = kept(met, f"similar-met{round_}")
-        pairs = met.select("id", "first").distinct()
-        here = sets.select("id", "hashes")
-        there = sets.select(F.col("id").alias("first"), F.col("hashes").alias("others"))
-        compared = pairs.join(here, "id").join(there, "first")
-        compared = compared.select("id", "first", jaccard(F.col("hashes"), F.col("others")).alias("similarity"))
-        alike = kept(compared.filter(F.col("similarity") >= threshold), f"similar-links{round_}")
+        pairs = kept(met.select("id", "first").distinct(), f"similar-pairs{round_}")
+        here = among(forms.select("id", "form"), pairs.select("id"))
+        ends = pairs.select(F.col("first").alias("id"))
+        there = among(forms.select("id", "form"), ends).select(F.col("id").alias("first"), F.col("form").alias("other"))
+        both = pairs.join(here, "id").join(there, "first")
+        one, two = shingles(F.col("form"), words), shingles(F.col("other"), words)
+        compared = both.select("id", "first", one.alias("a"), two.alias("b"))
+        compared = compared.select("id", "first", jaccard(F.col("a"), F.col("b")).alias("similarity"))
+        # Testing after writing keeps the sets from being made once more for the filter.
+        alike = kept(compared, f"similar-links{round_}").filter(F.col("similarity") >= threshold)
         found.append(alike)
         rows = met.join(alike, ["id", "first"], "left_anti").select("id", "band", "key")
         if round_ + 1 < rounds:
@@ -125,5 +154,5 @@ def similar_groups(
     forms: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, rounds: int = ROUNDS
 ) -> DataFrame:
     """(id, first_id) of the texts (id, form) that are alike, directly or through others."""
-    sets = forms.filter("form != ''").select("id", shingles(F.col("form"), words).alias("hashes"))
-    return components(links(kept(sets, "similar-sets"), threshold, rounds))
+    texts = forms.filter("form != ''").select("id", "form")
+    return components(links(texts, threshold, rounds, words))

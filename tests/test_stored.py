@@ -252,3 +252,30 @@ def test_subjects_and_briefs_shuffle_no_texts(spark, sf):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         join = plan.index("Join ")
         assert "substring(text" not in plan[:join] and "substring(text" in plan[join:]
+
+
+def test_pairs_move_the_texts_they_name_only(spark):
+    rows = spark.range(5000).select(F.format_string("m%05d", "id").alias("id"), F.lit("x").alias("form"))
+    ids = rows.where("id < 'm00040'").select("id")
+    kept = {r.id for r in similar.among(rows, ids).collect()}
+    assert {f"m{n:05d}" for n in range(40)} <= kept and len(kept) < 60
+    assert similar.among(rows, ids.limit(0)).count() == 0
+
+
+def test_links_are_those_of_all_pairs(spark):
+    texts = {f"t{n:02d}": [f"w{n // 3}x{k}" for k in range(40)] for n in range(30)}
+    for n, words in enumerate(texts.values()):
+        words[n % 7 * 5] += "y" * (n % 3)
+    texts["u"], texts["v"], texts["w"] = ["one", "two"], ["one", "two", "three"], ["one", "two"]
+
+    def runs(words):
+        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "id string, form string")
+    got = {(r.id, r.first): r.similarity for r in similar.links(rows, 0.6).collect()}
+    for (one, two), alike in got.items():
+        a, b = runs(texts[one]), runs(texts[two])
+        assert alike == len(a & b) / len(a | b) >= 0.6
+    # each meets the first of its kind, as the second and third of ten kinds, and the two equal short texts
+    assert {one for one, _ in got} >= {i for n, i in enumerate(list(texts)[:30]) if n % 3} | {"w"}
+    assert not {"v"} & {x for pair in got for x in pair}
