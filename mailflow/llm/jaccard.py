@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailflow.llm.graph import components
 from mailflow.llm.spans import U, Words, mix, slices
-from mailflow.llm.store import passing, stored
+from mailflow.llm.store import BATCH, passing, stored
+from mailflow.session import settings
 
 ORDER_SAMPLE = 16_384  # documents whose shingles tell which are frequent; the order costs or saves time only
 FREQUENT = 1 << 17  # frequent shingles known at most, of the sample and of all documents
@@ -64,62 +65,72 @@ def class_of(rows: int, owner: np.ndarray, grams: np.ndarray) -> tuple[np.ndarra
         return n, mix(sums[edges[1:]] - sums[edges[:-1]] + n.astype(U)).view(np.int64)
 
 
-def sized(size: int):
-    """(doc_id, n, class) of each text."""
-
+def all_shingles(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, rows, owner, grams in shingle_sets(batch.column(1), size):
-                n, c = class_of(rows, owner, grams)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, rows), pa.array(n.astype(np.int64)), pa.array(c)], ["doc_id", "n", "c"]
-                )
+            for _, _, _, grams in shingle_sets(batch.column(1), size):
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["token"])
 
     return run
 
 
-def all_shingles(size: int):
+def rare_ones(
+    size: int, share: float, tokens: np.ndarray, counts: np.ndarray, texts: pa.Array, valid: np.ndarray, seen: set[int]
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, rows, n, class, row, hash): the rarest shingles of each text, so many that
+    two texts as similar as asked for have one in common: n - ceil(share n) + 1, frequent
+    ones last.  Copies that follow each other in a task send them once."""
+    for a, rows, owner, grams in shingle_sets(texts, size):
+        n, c = class_of(rows, owner, grams)
+        fresh = np.zeros(rows, bool)
+        for i in np.flatnonzero((n > 0) & valid[a : a + rows]):
+            if c[i] not in seen:
+                fresh[i] = True
+                seen.add(c[i])
+        if len(seen) > 50_000:
+            seen.clear()
+        keep = fresh[owner]
+        owner, grams = owner[keep], grams[keep]
+        often = np.zeros(len(grams), np.int64)
+        if len(tokens):
+            at = np.minimum(np.searchsorted(tokens, grams), len(tokens) - 1)
+            often = np.where(tokens[at] == grams, counts[at], 0)
+        order = np.lexsort((grams, often, owner))
+        owner, grams = owner[order], grams[order]
+        m = np.where(fresh, n, 0)
+        place = np.arange(len(grams)) - (np.cumsum(m) - m)[owner]
+        take = place < (n - np.ceil(share * n - 1e-9).astype(np.int64) + 1)[owner]
+        yield a, rows, n, c, owner[take], grams[take]
+
+
+def sized(size: int, share: float, tokens: np.ndarray, counts: np.ndarray):
+    """(doc_id, n, class, rarest shingles) of each text; a text without doc_id sends none."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for _, _, _, grams in shingle_sets(batch.column(1), size):
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64))], ["token"])
+            valid = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            for a, rows, n, c, row, grams in rare_ones(size, share, tokens, counts, batch.column(1), valid, seen):
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, rows), pa.array(n.astype(np.int64)), pa.array(c), lists],
+                    ["doc_id", "n", "c", "tokens"],
+                )
 
     return run
 
 
-def prefixes(size: int, share: float, tokens: np.ndarray, counts: np.ndarray):
-    """The rarest shingles of each text, so many that two texts as similar as asked for
-    have one in common: n - ceil(share n) + 1, frequent ones last.  Copies that follow
-    each other in a task are sent once."""
+def prefixes(size: int, share: float, tokens: np.ndarray, counts: np.ndarray, wanted: np.ndarray):
+    """(token, c): the rarest shingles of the texts whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, rows, owner, grams in shingle_sets(batch.column(1), size):
-                n, c = class_of(rows, owner, grams)
-                fresh = np.zeros(rows, bool)
-                for i in np.flatnonzero(n):
-                    if c[i] not in seen:
-                        fresh[i] = True
-                        seen.add(c[i])
-                if len(seen) > 50_000:
-                    seen.clear()
-                keep = fresh[owner]
-                owner, grams = owner[keep], grams[keep]
-                n = np.where(fresh, n, 0)
-                if not len(grams):
-                    continue
-                often = np.zeros(len(grams), np.int64)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, grams), len(tokens) - 1)
-                    often = np.where(tokens[at] == grams, counts[at], 0)
-                order = np.lexsort((grams, often, owner))
-                owner, grams = owner[order], grams[order]
-                place = np.arange(len(grams)) - (np.cumsum(n) - n)[owner]
-                take = place < (n - np.ceil(share * n - 1e-9).astype(np.int64) + 1)[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams[take].view(np.int64)), pa.array(c[owner[take]])], ["token", "c"]
-                )
+            bit = batch.column(1).to_numpy()
+            chosen = batch.filter(pa.array((wanted[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)).column(0)
+            for _, _, _, c, row, grams in rare_ones(size, share, tokens, counts, chosen, np.ones(len(chosen), bool), seen):
+                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(c[row])], ["token", "c"])
 
     return run
 
@@ -208,8 +219,7 @@ def whole_sets(active: DataFrame, texts: DataFrame, classes: DataFrame, size: in
     """(c, tokens) of the active classes: one text of each is read again.  Where the filter
     is crowded, sets of other classes come along, and some come from several tasks."""
     ids = active.select("c").join(classes, "c").select(F.col("rep").alias("doc_id"))
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITS)).alias("bit")
-    shown = texts.select("text", bit("doc_id")).mapInArrow(arrays(size, bitmap(ids.select(bit("doc_id")))), "c long, tokens array<long>")
+    shown = texts.select("text", bit_of("doc_id")).mapInArrow(arrays(size, bitmap(ids.select(bit_of("doc_id")))), "c long, tokens array<long>")
     return stored(shown, "arrays", RECORDS)
 
 
@@ -280,7 +290,8 @@ def whole_bound(wide: DataFrame, banded: DataFrame, linked: DataFrame, known: Da
 def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, percent: int = 75, rounds: int = 8) -> DataFrame:
     """Documents linked by 100 * intersection >= ``percent`` * union of their shingle sets.
 
-    Equal sets are one class.  A class sends its rarest shingles (``prefixes``); what meets
+    Equal sets are one class.  A class sends its rarest shingles (``sized``), and those of a
+    better order where that changes them (``class_posts``); what meets
     is compared first with one leader per shingle, then, where many groups share a shingle,
     with ``LEADERS`` members of larger groups there, others each round; this partitions
     similar classes into groups.  The matrix then holds, for each group and band of sizes,
@@ -298,11 +309,17 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     Shingles and sets are told apart by 64-bit hashes.
     """
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    sets = stored(given.mapInArrow(sized(size), "doc_id long, n long, c long"), "sets", RECORDS)
+    texts = given.where("doc_id IS NOT NULL")
+    with passing(rows.sparkSession):
+        sampled = sample_order(texts, size)
+        sent = given.mapInArrow(sized(size, percent / 100, *sampled), "doc_id long, n long, c long, tokens array<long>")
+        sent = stored(sent, "sent", RECORDS)
+        sets = stored(sent.drop("tokens"), "sets", stays=True)
+        posts = stored(class_posts(sent, texts, sampled, size, percent / 100), "posts", RECORDS, stays=True)
     linked = sets.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(linked.groupBy("c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
     with passing(rows.sparkSession):  # the shingles' tables take more than the texts
-        grouped = stored(class_groups(given.where("doc_id IS NOT NULL"), classes, size, percent, rounds), "grouped", stays=True)
+        grouped = stored(class_groups(posts, texts, classes, size, percent, rounds), "grouped", stays=True)
     labelled = classes.join(grouped, "c", "left").select("c", "rep", F.coalesce("g", "c").alias("g"))
     least = labelled.groupBy("g").agg(F.min("rep").alias("component_id"))
     final = labelled.join(least, "g").select("c", "component_id")
@@ -311,22 +328,58 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     return together.unionByName(alone)
 
 
-def class_groups(texts: DataFrame, classes: DataFrame, size: int, percent: int, rounds: int) -> DataFrame:
-    """(c, g) of the classes that meet others: the group of each, see ``jaccard_components``."""
-    share = percent / 100
-    rate = max(1, classes.count() // ORDER_SAMPLE)
+def bit_of(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(1 << BITS)).alias("bit")
+
+
+def sample_order(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles of a sample, with what their counts would be in all texts."""
+    rate = max(1, texts.count() // ORDER_SAMPLE)
     drawn = texts.where(F.pmod(F.xxhash64("text", F.lit("order")), F.lit(rate)) == 0).dropDuplicates(["text"])
     seen = drawn.mapInArrow(all_shingles(size), "token long").groupBy("token").count().where("count > 1")
-    sampled = frequent(seen.select("token", (F.col("count") * rate).alias("count")))
-    # shingles that the sample missed and yet many documents sent as rare ones are frequent too
-    sent = texts.mapInArrow(prefixes(size, share, *sampled), "token long, c long")
-    missed = sent.groupBy("token").agg(F.count("*").alias("count"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return frequent(seen.select("token", (F.col("count") * rate).alias("count")))
+
+
+def class_posts(
+    sent: DataFrame, texts: DataFrame, sampled: tuple[np.ndarray, np.ndarray], size: int, share: float
+) -> DataFrame:
+    """(token, c): the rarest shingles of the classes that another class has among its own.
+
+    Shingles that the sample missed and yet many documents sent as rare ones are frequent
+    too.  Their counts only rise, so they only fall back in the order: a text that sent none
+    of them keeps its rarest ones, and only the others are read again."""
+    flat = lambda some: some.select(F.explode("tokens").alias("token"), "c")
+    missed = flat(sent).groupBy("token").agg(F.count("*").alias("count"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     counted = frequent(missed.where(f"lo < hi AND count >= {MISSED}").select("token", "count"))
-    sent = texts.mapInArrow(prefixes(size, share, *larger(sampled, counted)), "token long, c long")
+    risen = counted[0]
+
+    @F.arrow_udf("boolean")
+    def asked_again(tokens: pa.Array) -> pa.Array:
+        own = tokens.flatten().to_numpy(zero_copy_only=False).view(U)
+        hit = np.zeros(len(own) + 1, np.int64)
+        if len(risen):
+            hit[1:] = np.cumsum(risen[np.minimum(np.searchsorted(risen, own), len(risen) - 1)] == own)
+        at = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
+        return pa.array(hit[at[1:]] > hit[at[:-1]])
+
+    own = sent.where(F.size("tokens") > 0)
+    again = asked_again("tokens")
+    with settings(sent.sparkSession, {BATCH: str(RECORDS)}):
+        wanted = bitmap(own.where(again).select(bit_of("doc_id")))
+    read = texts.select("text", bit_of("doc_id")).mapInArrow(
+        prefixes(size, share, *larger(sampled, counted), wanted), "token long, c long"
+    )
+    sent = flat(own.where(~again)).unionByName(read)
     w = Window.partitionBy("token")
     met = sent.withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w)).where("lo < hi")
-    posts = stored(met.select("token", "c").distinct(), "posts", RECORDS)
+    return met.select("token", "c").distinct()
 
+
+def class_groups(
+    posts: DataFrame, texts: DataFrame, classes: DataFrame, size: int, percent: int, rounds: int
+) -> DataFrame:
+    """(c, g) of the classes that meet others: the group of each, see ``jaccard_components``."""
+    share = percent / 100
     active = stored(posts.select("c").distinct().join(classes, "c").select("c", "n"), "active")
 
     known = whole_sets(active, texts, classes, size)

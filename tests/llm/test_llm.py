@@ -1,11 +1,13 @@
 """Corpus operators against SQL, brute force and awkward rows."""
 
+import collections
 import contextlib
 import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -370,3 +372,28 @@ def test_templates_come_through_valid_classes(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInPandas" not in plan and "together" not in plan and "vector" in plan
     assert {(r.host, r.main) for r in found.collect()} == {("h0", "/a/b"), ("h1", "/a/b")}
+
+
+def test_only_texts_with_missed_shingles_are_read_again(spark):
+    J, words = jaccard, [[f"d{n}w{k}" for k in range(30)] for n in range(60)]
+    for n, w in enumerate(words):
+        w[n % 20 : n % 20] = [f"common{k}" for k in range(8)] if n % 4 else [f"pair{n // 8}x{k}" for k in range(6)]
+    texts = [" ".join(w) for w in words] + [" ".join(words[0]), "too short", "", None]
+    none = (np.zeros(0, J.U), np.zeros(0, np.int64))
+
+    def rare(order):
+        found = collections.defaultdict(set)
+        for _, _, _, c, row, grams in J.rare_ones(5, 0.75, *order, pa.array(texts), np.ones(len(texts), bool), set()):
+            for r, g in zip(row, grams.view(np.int64).tolist()):
+                found[g].add(int(c[r]))
+        return found
+
+    often = {g: len(cs) for g, cs in rare(none).items() if len(cs) >= J.MISSED}
+    assert often
+    tokens = np.sort(np.array(list(often), np.int64).view(J.U))
+    order = tokens, np.array([often[int(t)] for t in tokens.view(np.int64)])
+    expected = {(g, c) for g, cs in rare(order).items() if len(cs) > 1 for c in cs}
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string").repartition(1)
+    sent = rows.mapInArrow(J.sized(5, 0.75, *none), "doc_id long, n long, c long, tokens array<long>")
+    got = [(r.token, r.c) for r in J.class_posts(sent, rows, none, 5, 0.75).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
