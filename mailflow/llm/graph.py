@@ -4,34 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mailflow.llm.store import stored
+from mailflow.llm.store import passing, stored
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst): the component is its
     smallest node.  Alternating large and small stars; each round is written out.
 
+    The table of least neighbours that a round needs also tells whether all edges are stars
+    already: then it is the result, and no round is spent on seeing that nothing changes.
     Loops, repeated edges and edges with a null end do no harm; no edges, no rows.
     A hub is aggregated map-side, and its join is one that Spark splits at run time.
     """
-    found = stored(
-        edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(),
-        "edges",
-    )
-    mark = None
-    for _ in range(rounds):
-        seen = found.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark or not seen[0]:
-            break
-        mark = seen
-        both = found.unionByName(found.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    with passing(edges.sparkSession):
         found = stored(
-            small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges"
+            edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(),
+            "edges",
         )
-    roots = found.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return found.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+        for _ in range(rounds):
+            both = found.unionByName(found.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            below = F.when(F.col("v") < F.col("u"), F.col("v"))
+            knot = F.min(below).isNotNull() & ((F.min(below) != F.max(below)) | (F.max("v") > F.col("u")))
+            low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), knot.alias("knot"))
+            low = stored(low, "lows")
+            if not low.where("knot").limit(1).count():
+                break
+            large = both.where("v > u").join(low.drop("knot"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            # a node keeps the edge to its least neighbour, the other neighbours get one to that
+            moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+            found = stored(large.join(least, "u").select(moved.alias("u"), F.col("m").alias("v")), "edges")
+        return stored(low.select(F.col("u").alias("node"), F.col("m").alias("component")), "components", stays=True)

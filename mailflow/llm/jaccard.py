@@ -255,11 +255,14 @@ def rarest(bound: DataFrame) -> DataFrame:
     return bound.where("place <= k - least + 1").select("c", "h", "token", "holders")
 
 
-def merged(links: DataFrame, groups: DataFrame) -> DataFrame:
-    """(g, component) of the groups that links (a, b) join.  Links within a group say
-    nothing new, and those between two groups say the same."""
-    links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
-    links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
+def merged(links: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """(g, component) of the groups that links (a, b) join; without ``groups`` each class is
+    its own.  Links within a group say nothing new, and those between two groups say the same."""
+    if groups is None:
+        links = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    else:
+        links = links.join(groups.select(F.col("c").alias("a"), F.col("g").alias("src")), "a")
+        links = links.join(groups.select(F.col("c").alias("b"), F.col("g").alias("dst")), "b").select("src", "dst")
     return components(links).select(F.col("node").alias("g"), "component")
 
 
@@ -310,16 +313,17 @@ def jaccard_components(rows: DataFrame, key: str, text: str, size: int = 5, perc
     """
     given = rows.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     texts = given.where("doc_id IS NOT NULL")
-    with passing(rows.sparkSession):
-        sampled = sample_order(texts, size)
-        sent = given.mapInArrow(sized(size, percent / 100, *sampled), "doc_id long, n long, c long, tokens array<long>")
-        sent = stored(sent, "sent", RECORDS)
-        sets = stored(sent.drop("tokens"), "sets", stays=True)
-        posts = stored(class_posts(sent, texts, sampled, size, percent / 100), "posts", RECORDS, stays=True)
-    linked = sets.where("n > 0 AND doc_id IS NOT NULL")
-    classes = stored(linked.groupBy("c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes")
     with passing(rows.sparkSession):  # the shingles' tables take more than the texts
-        grouped = stored(class_groups(posts, texts, classes, size, percent, rounds), "grouped", stays=True)
+        with passing(rows.sparkSession):
+            sampled = sample_order(texts, size)
+            sent = given.mapInArrow(sized(size, percent / 100, *sampled), "doc_id long, n long, c long, tokens array<long>")
+            sent = stored(sent, "sent", RECORDS)
+            sets = stored(sent.drop("tokens"), "sets", stays=2)
+            posts = stored(class_posts(sent, texts, sampled, size, percent / 100), "posts", RECORDS, stays=1)
+        linked = sets.where("n > 0 AND doc_id IS NOT NULL")
+        classes = linked.groupBy("c").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"))
+        classes = stored(classes, "classes", stays=1)
+        grouped = stored(class_groups(posts, texts, classes, size, percent, rounds), "grouped", stays=1)
     labelled = classes.join(grouped, "c", "left").select("c", "rep", F.coalesce("g", "c").alias("g"))
     least = labelled.groupBy("g").agg(F.min("rep").alias("component_id"))
     final = labelled.join(least, "g").select("c", "component_id")
@@ -383,32 +387,29 @@ def class_groups(
     active = stored(posts.select("c").distinct().join(classes, "c").select("c", "n"), "active")
 
     known = whole_sets(active, texts, classes, size)
-    groups, edges, most, dense = active.select("c", "n", F.col("c").alias("g")), None, None, posts
+    groups, most, dense = active.select("c", "n", F.col("c").alias("g")), None, posts
     for step in range(rounds):
-        placed = (posts if step == 0 else dense).join(groups, "c")
-        if step == 0:  # a class meets the leaders of all its shingles, and takes the one it shares most with
-            lead = placed.groupBy("token").agg(F.min_by(F.struct(F.col("c").alias("b"), F.col("n").alias("m")), F.xxhash64("c")).alias("l"))
-            met = placed.join(lead.select("token", "l.*"), "token").where("c <> b").groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
-            met = met.where(F.col("k") >= need(F.col("n"), F.col("m"), percent))
-        else:  # it meets leaders in groups larger than its own: of its most crowded shingle, others each round
-            counted = groups.groupBy("g").agg(F.count("*").alias("size"))
-            room = placed.join(crowded, "token").groupBy("c", "g", "n").agg(F.max_by("token", F.struct("groups", "token")).alias("token"))
-            room = stored(room.join(counted, "g").withColumn("rank", F.struct("size", "g")), "rooms")
-            one = F.struct(F.col("c").alias("b"), F.col("rank").alias("other"), F.col("n").alias("m"))
-            drawn = F.array(*[F.min_by(one, F.struct(-F.col("size"), F.xxhash64("c", F.lit(step * LEADERS + i)))) for i in range(LEADERS)])
-            lead = room.groupBy("token").agg(F.array_distinct(drawn).alias("leads")).select("token", F.inline("leads"))
-            met = room.join(lead, "token").where("rank < other").select("c", "b", "n", "m")
-        fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
-        met = met.where(fits)
-        if step == 0:
-            met = met.groupBy("c").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
-        found = similar(met.select(F.col("c").alias("a"), "b"), known, percent)
-        edges = found if edges is None else edges.unionByName(found)
-        named = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-        groups = stored(
-            active.join(named, F.col("c") == F.col("node"), "left").select("c", "n", F.coalesce("component", "c").alias("g")),
-            "groups",
-        )
+        with passing(posts.sparkSession):  # tables of a round go with it
+            placed = dense.join(groups, "c")
+            if step == 0:  # a class meets the leaders of all its shingles, and takes the one it shares most with
+                lead = placed.groupBy("token").agg(F.min_by(F.struct(F.col("c").alias("b"), F.col("n").alias("m")), F.xxhash64("c")).alias("l"))
+                met = placed.join(lead.select("token", "l.*"), "token").where("c <> b").groupBy("c", "b", "n", "m").agg(F.count("*").alias("k"))
+                met = met.where(F.col("k") >= need(F.col("n"), F.col("m"), percent))
+            else:  # it meets leaders in groups larger than its own: of its most crowded shingle, others each round
+                counted = groups.groupBy("g").agg(F.count("*").alias("size"))
+                room = placed.join(crowded, "token").groupBy("c", "g", "n").agg(F.max_by("token", F.struct("groups", "token")).alias("token"))
+                room = stored(room.join(counted, "g").withColumn("rank", F.struct("size", "g")), "rooms")
+                one = F.struct(F.col("c").alias("b"), F.col("rank").alias("other"), F.col("n").alias("m"))
+                drawn = F.array(*[F.min_by(one, F.struct(-F.col("size"), F.xxhash64("c", F.lit(step * LEADERS + i)))) for i in range(LEADERS)])
+                lead = room.groupBy("token").agg(F.array_distinct(drawn).alias("leads")).select("token", F.inline("leads"))
+                met = room.join(lead, "token").where("rank < other").select("c", "b", "n", "m")
+            fits = (100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))
+            met = met.where(fits)
+            if step == 0:
+                met = met.groupBy("c").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
+            found = similar(met.select(F.col("c").alias("a"), "b"), known, percent)
+            named = merged(found, None if step == 0 else groups)  # links of earlier rounds are in the groups
+            groups = stored(groups.join(named, "g", "left").select("c", "n", F.coalesce("component", "g").alias("g")), "groups", stays=True)
         # go on where many groups share a shingle, as long as they get fewer; merging crowds no other
         crowded = dense.join(groups, "c").groupBy("token").agg(F.count_distinct("g").alias("groups"))
         crowded = stored(crowded.where(F.col("groups") >= CROWD), "crowded")

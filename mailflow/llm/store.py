@@ -32,14 +32,14 @@ def passing(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, name: str, records: int | None = None, stays: bool = False) -> DataFrame:
+def stored(df: DataFrame, name: str, records: int | None = None, stays: int = 0) -> DataFrame:
     """Write a table once and read it back: the lineage ends here, a lost executor
     costs nothing, and Spark knows the table's size when it plans later joins.  Shuffle
-    files of the write go with its end, as nothing asks for them again.  ``records``: rows that go to Python at once.  ``stays``: the table outlives the
-    innermost block of ``passing``, up to the end of the one around it."""
+    files of the write go with its end, as nothing asks for them again.  ``records``: rows that go to Python at once.  ``stays``: how many of the
+    innermost blocks of ``passing`` the table outlives, up to the end of the one around them."""
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
-    blocks = BLOCKS.get()[:-1] if stays else BLOCKS.get()
+    blocks = BLOCKS.get()[: max(0, len(BLOCKS.get()) - stays)]
     if blocks:
         blocks[-1].append(path)
     wanted = {CLEANUP: "true"} | ({BATCH: str(records)} if records else {})

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from mailflow.llm import jaccard, linechunks, packing
+from mailflow.llm import graph, jaccard, linechunks, packing
 from mailflow.llm.queries import vocabulary
 from mailflow.llm.store import passing, stored
 
@@ -138,6 +138,25 @@ def test_stages_leave_small_tables(spark, sf, tables_left, docs):
     assert left == ["llm-classes", "llm-grouped", "llm-sets"]
 
 
+def test_components_take_no_round_to_see_the_end(spark, tables_left, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "stored", lambda df, name, **more: (written.append(name), stored(df, name, **more))[1])
+    stars = spark.createDataFrame([(1, 5), (5, 1), (6, 1), (3, 8), (4, 4), (None, 2)], "src long, dst long")
+    left, rows = tables_left("g", lambda: graph.components(stars))
+    assert left == ["llm-components"] and written == ["edges", "lows", "components"]
+    assert sorted(map(tuple, rows)) == [(1, 1), (3, 3), (5, 1), (6, 1), (8, 3)]
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(7, 7), (30, 3)], "src long, dst long")
+    left, rows = tables_left("h", lambda: graph.components(path))
+    assert left == ["llm-components"] and sorted(map(tuple, rows)) == [(i, 0) for i in range(41)]
+
+
+def test_links_of_a_round_join_the_groups_of_those_before(spark):
+    groups = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5)], "c long, g long")
+    links = spark.createDataFrame([(2, 4), (1, 2)], "a long, b long")
+    assert sorted(map(tuple, jaccard.merged(links, groups).collect())) == [(1, 1), (3, 1)]
+    assert sorted(map(tuple, jaccard.merged(links, None).collect())) == [(1, 1), (2, 1), (4, 1)]
+
+
 def test_texts_meet_marks_alike_at_any_size(spark, tables_left):
     """No table of marks is broadcast: what shuffles grows with the texts from the first."""
     given = spark.createDataFrame([(1, 5, "a\nb"), (2, 6, "a\nb")], "doc_id long, own_hash long, text string")
