@@ -100,34 +100,38 @@ def fingerprints(rows: DataFrame, key: str, text: str) -> DataFrame:
         "bucket", "place", "doc_id", "last", "text", "next_text", n.cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), n - q), F.substring("next_text", F.lit(1), q)).alias("edited"),
     )
-    # forms 0 and 1 are the text and its edited form; 2 is the text after the last of a bucket
+    # forms 0 and 1 are the text and its edited form; 2, the text after the last of a bucket, stands as a
+    # document without n_chars of its own behind it
     form = lambda i, body: F.struct(F.lit(i).alias("form"), body.alias("body"))
     forms = F.array(form(0, F.col("text")), form(1, F.col("edited")), form(2, F.when(F.col("last"), F.col("next_text"))))
     keys = ["bucket", "place", "doc_id", "n_chars", "sha"]
     shown = both.withColumn("sha", F.unhex(F.sha2("edited", 256))).select(*keys, F.inline(forms)).where("body IS NOT NULL")
+    behind = F.col("form") == 2
+    shown = shown.select(
+        "bucket", F.when(behind, F.col("place") + 1).otherwise(F.col("place")).alias("place"), "doc_id",
+        F.when(~behind, F.col("n_chars")).alias("n_chars"), F.when(~behind, F.col("sha")).alias("sha"),
+        F.when(behind, 0).otherwise(F.col("form")).alias("form"), "body",
+    )
     words = shown.select(*keys, "form", F.explode(F.split(F.lower("body"), SPACE)).alias("word"))
     words = words.select(*keys, F.xxhash64("word").alias("h"), F.length("word").alias("len"), "form")
     times = lambda i: F.sum(F.when(F.col("form") == i, 1).otherwise(0)).cast("int")
-    counted = words.groupBy(*keys, "h").agg(F.max("len").alias("len"), times(0).alias("n0"), times(1).alias("n1"), times(2).alias("n2"))
+    counted = words.groupBy(*keys, "h").agg(F.max("len").alias("len"), times(0).alias("n0"), times(1).alias("n1"))
     # rows of equal counts: ``forms`` is a bit per form; the empty word only stands for a text without others
     case = lambda on, n, bits: F.when(on, F.struct(n.alias("n"), bits.alias("forms")))
-    n0, n1, n2 = F.col("n0"), F.col("n1"), F.col("n2")
+    n0, n1 = F.col("n0"), F.col("n1")
     same = n0 == n1
-    cases = F.array(
-        case(n0 > 0, n0, F.when(same, 3).otherwise(1)), case((n1 > 0) & ~same, n1, F.lit(2)), case(n2 > 0, n2, F.lit(4))
-    )
+    cases = F.array(case(n0 > 0, n0, F.when(same, 3).otherwise(1)), case((n1 > 0) & ~same, n1, F.lit(2)))
     weighed = counted.select(*keys, "h", "len", F.inline(cases)).where("n IS NOT NULL").select(
         *keys, "h", F.log(F.col("n") * F.greatest(F.col("len"), F.lit(0.05)) * F.greatest(F.col("len"), F.lit(0.05))).alias("logw"),
-        *[F.when(F.col("forms").bitwiseAND(F.lit(1 << i)) == 0, F.lit(ABSENT)).otherwise(F.lit(0)).alias(f"off{i}") for i in range(3)],
+        *[F.when(F.col("forms").bitwiseAND(F.lit(1 << i)) == 0, F.lit(ABSENT)).otherwise(F.lit(0)).alias(f"off{i}") for i in range(2)],
     )
     least = weighed.groupBy(*keys).agg(
-        *[F.min(F.greatest(sample(k), F.col(f"off{i}"))).alias(f"s{i}_{k}") for k in range(SAMPLES) for i in range(3)]
+        *[F.min(F.greatest(sample(k), F.col(f"off{i}"))).alias(f"s{i}_{k}") for k in range(SAMPLES) for i in range(2)]
     )
-    none = F.col("s2_0") >= F.lit(ABSENT)
     sig = lambda i: F.array(*[F.col(f"s{i}_{k}").bitwiseAND(F.lit(0xFFFF)).cast("int") for k in range(SAMPLES)])
-    signed = least.select(*keys, sig(0).alias("sig0"), sig(1).alias("sig1"), F.when(~none, sig(2)).alias("sig2"))
+    signed = least.select(*keys, sig(0).alias("sig0"), sig(1).alias("sig1"))
     by = Window.partitionBy("bucket").orderBy("place")
-    whole = signed.withColumn("follows", F.coalesce("sig2", F.lead("sig0").over(by)))
+    whole = signed.withColumn("follows", F.lead("sig0").over(by)).where("n_chars IS NOT NULL")
     return whole.select(
         "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), written("sig0").alias("fingerprint"),
         written("sig1").alias("edited_fingerprint"), likeness("sig0", "sig1").alias("near_edited"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import compare
 from mailflow.llm import fingerprints, jaccard, linechunks, mixing, packing, pages, repeats, sharding, toxicity, vectors
 from mailflow.llm.queries import ORACLES, QUERIES, vocabulary
+from mailflow.session import settings
 
 DOCS = "doc_id long, text string, source string, c long, n string, token int, u int, v int, h1 int"
 
@@ -397,3 +398,15 @@ def test_only_texts_with_missed_shingles_are_read_again(spark):
     sent = rows.mapInArrow(J.sized(5, 0.75, *none), "doc_id long, n long, c long, tokens array<long>")
     got = [(r.token, r.c) for r in J.class_posts(sent, rows, none, 5, 0.75).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_fingerprints_sample_two_forms_a_row(spark):
+    """The text behind a bucket is a row of its own, not a third set of samples of every row."""
+    rows = [(510, "alpha beta gamma"), (511, "same words here now"), (512, "same words here now"), (513, None)]
+    found = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    with settings(spark, {"spark.sql.debug.maxToStringFields": "1000"}):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min(greatest(") == 2 * fingerprints.SAMPLES
+    got = {r.doc_id: r for r in found.collect()}
+    assert sorted(got) == [510, 511, 512, 513] and got[511].near_next == 1.0 and got[512].near_next == 0.0
+    assert got[511].fingerprint == got[512].fingerprint and got[513].n_chars == 0
