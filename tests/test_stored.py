@@ -279,3 +279,40 @@ def test_links_are_those_of_all_pairs(spark):
     # each meets the first of its kind, as the second and third of ten kinds, and the two equal short texts
     assert {one for one, _ in got} >= {i for n, i in enumerate(list(texts)[:30]) if n % 3} | {"w"}
     assert not {"v"} & {x for pair in got for x in pair}
+
+
+def one_text(n, changes, of=220):
+    """``of`` words of one text with every so many of them replaced by words of its own."""
+    words = [f"b{k}" for k in range(of)]
+    for k in range(changes):
+        words[(n * 7 + k * of // max(changes, 1)) % of] = f"own{n}x{k}"
+    return " ".join(words)
+
+
+def test_alike_mails_behind_many_others_are_found(spark):
+    """The last two are alike, but all their bands begin with more mails unlike them than there are rounds."""
+    bodies = [one_text(n, 8) for n in range(90)] + [one_text(900, 3), one_text(901, 0)]
+    mails = mails_of(spark, bodies)
+    got = {(r.email_id, r.first_id, r.copies) for r in dedupe.near_duplicates(mails, 0.75).collect()}
+    assert got == {("M0090", "M0090", 2), ("M0091", "M0090", 2)}
+
+
+@pytest.mark.parametrize("again", [False, True])
+def test_rare_shingles_find_all_links_alone(spark, monkeypatch, again):
+    """Without any group to begin with, and with an order that is made again."""
+    if again:
+        monkeypatch.setattr(similar, "PAIRS", 0)
+        monkeypatch.setattr(similar, "CROWD", 2)
+    rng = random.Random(7)
+    texts = [one_text(rng.randrange(10**6), rng.choice([0, 2, 3, 4, 5, 6, 8]), rng.choice([60, 75, 90])) for _ in range(60)]
+    texts += [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.choice([2, 5, 6, 40]))) for _ in range(20)]
+    texts += ["a a a a a", "a a a a a a", "a a a a a a a b", "a b", "b a"]
+    forms = {f"t{n:03d}": form for n, form in enumerate(dict.fromkeys(texts))}
+    rows = spark.createDataFrame(list(forms.items()), "id string, form string")
+    none = (similar.np.zeros(0, "uint64"), similar.np.zeros(0, "int64"))
+    order = none if again else similar.sampled(rows, 5, 1)
+    keys = similar.signatures(rows, 0.75, 5, order, bands=0)
+    alone = spark.createDataFrame([], "id string, first_id string")
+    got = {r.id: r.first_id for r in similar.joined(rows, keys, alone, order, 0.75, 5).collect()}
+    wanted = brute_groups(forms, 0.75)
+    assert got == wanted and len(set(wanted.values())) > 1
